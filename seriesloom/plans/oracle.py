@@ -46,6 +46,8 @@ MONTH_ORIGIN = 1995 * 12
 SECOND_ORIGIN = 19723 * 86400
 DAY_ORIGIN = 19723
 
+RATE_DIGITS = 9
+
 VARIABLES = ("population", "birth_rate", "death_rate", "migration_rate")
 RATES = VARIABLES[1:]
 SERIES = "PARTITION BY series_key"
@@ -268,7 +270,7 @@ def _coefficients(panel: str, origin: int, digits) -> str:
     return f"WITH {panel}, {_lines(origin)} SELECT series_key, {_list(columns)} FROM lines"
 
 
-def _rates(digits: int = 6) -> list[str]:
+def _rates(digits: int = RATE_DIGITS) -> list[str]:
     return [f"{_round(r, digits)} AS {r}" for r in RATES]
 
 
@@ -295,7 +297,7 @@ rolled AS (
   FROM rolled WHERE step < 6
 )
 SELECT r.series_key, CAST(r.year AS INTEGER) AS year, one AS population,
-       {_list(_round(f"{c}_slope * CAST(r.year - {DAY_ORIGIN} AS DOUBLE) + {c}_intercept", 6)
+       {_list(_round(f"{c}_slope * CAST(r.year - {DAY_ORIGIN} AS DOUBLE) + {c}_intercept", RATE_DIGITS)
               + f" AS {c}" for c in RATES)}
 FROM rolled AS r JOIN lines AS l ON r.series_key = l.series_key
 WHERE step > 0"""
@@ -336,10 +338,10 @@ FROM panel GROUP BY 1"""
     sql["last_k_rows_long"] = _last(SECONDS, 3)
 
     sql["trend_coefficients"] = _coefficients(
-        MONTHS, MONTH_ORIGIN, lambda c, part: 4 if c == "population" else 6
+        MONTHS, MONTH_ORIGIN, lambda c, part: 3 if c == "population" else RATE_DIGITS
     )
     sql["trend_coefficients_long"] = _coefficients(
-        SECONDS, SECOND_ORIGIN, lambda c, part: 9 if part == "slope" else 6
+        SECONDS, SECOND_ORIGIN, lambda c, part: 12 if part == "slope" else 6
     )
     sql["future_frame"] = f"""WITH {DAYS}
 SELECT series_key, step, CAST(last_period + step AS INTEGER) AS year
@@ -476,7 +478,7 @@ points AS (
   SELECT series_key, year, 'Forecast', {_list(RATES)} FROM ahead
 )
 """ + "\nUNION ALL\n".join(
-        f"SELECT series_key, year, kind, '{r}' AS indicator, {_round(r, 6)} AS value FROM points"
+        f"SELECT series_key, year, kind, '{r}' AS indicator, {_round(r, RATE_DIGITS)} AS value FROM points"
         for r in RATES
     )
     sql["recursive_forecast_linear"] = _recursion()

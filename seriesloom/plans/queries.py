@@ -54,11 +54,15 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
+# Rates are quotients of small counts. Nine digits keep their halves off the
+# rounding edge, where the last bit of a sum would decide.
+RATE_DIGITS = 9
+
 FORECAST_DIGITS = {
     "population": 2,
-    "birth_rate": 6,
-    "death_rate": 6,
-    "migration_rate": 6,
+    "birth_rate": RATE_DIGITS,
+    "death_rate": RATE_DIGITS,
+    "migration_rate": RATE_DIGITS,
 }
 METRIC_DIGITS = {
     "train_mae": 4,
@@ -147,14 +151,14 @@ def last_k_rows_long(spark, folder):
 @query
 def trend_coefficients(spark, folder):
     lines = trend.fit_lines(months(spark, folder), MONTH_SPEC)
-    digits = {c: 4 if c.startswith("population") else 6 for c in lines.columns[1:]}
+    digits = {c: 3 if c.startswith("population") else RATE_DIGITS for c in lines.columns[1:]}
     return rounded(lines, digits)
 
 
 @query
 def trend_coefficients_long(spark, folder):
     lines = trend.fit_lines(seconds(spark, folder), SECOND_SPEC)
-    return rounded(lines, {c: 9 if c.endswith("slope") else 6 for c in lines.columns[1:]})
+    return rounded(lines, {c: 12 if c.endswith("slope") else 6 for c in lines.columns[1:]})
 
 
 @query
@@ -166,7 +170,7 @@ def future_frame(spark, folder):
 @query
 def rate_extrapolation(spark, folder):
     forecast = trend.driver_forecast(months(spark, folder), MONTH_SPEC)
-    return rounded(forecast, {d: 6 for d in MONTH_SPEC.drivers})
+    return rounded(forecast, {d: RATE_DIGITS for d in MONTH_SPEC.drivers})
 
 
 @query
@@ -414,7 +418,7 @@ def chart_target_band(spark, folder):
 def chart_indicators_long(spark, folder):
     panel = months(spark, folder)
     forecast = trend.driver_forecast(panel, MONTH_SPEC)
-    return rounded(charts.indicators_long(panel, forecast, MONTH_SPEC), {"value": 6})
+    return rounded(charts.indicators_long(panel, forecast, MONTH_SPEC), {"value": RATE_DIGITS})
 
 
 # --- recursive forecasts and boosted trees ---
@@ -427,7 +431,7 @@ def recursive_forecast_linear(spark, folder):
     steps = recursion.recursive_steps(
         days(spark, folder), DAY_SPEC, picked, recursion.mean_of_lags(DAY_SPEC, picked)
     )
-    return rounded(steps, {d: 6 for d in DAY_SPEC.drivers}).drop("last_actual")
+    return rounded(steps, {d: RATE_DIGITS for d in DAY_SPEC.drivers}).drop("last_actual")
 
 
 def _model(spark, folder) -> model.TrainedModel:

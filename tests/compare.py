@@ -1,7 +1,6 @@
 """Exact comparison of a query's rows with those of its SQL in DuckDB."""
 
 import glob
-import math
 import os
 
 import duckdb
@@ -20,9 +19,27 @@ def _sort_key(row):
 
 
 def _normal(value):
-    if isinstance(value, float) and math.isnan(value):
-        return "nan"
-    return value
+    """Floats as text, so that a negative zero or NaN shows."""
+    return repr(value) if isinstance(value, float) else value
+
+
+# DuckDB's names of the types the queries return
+TYPE_NAMES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
+def spark_types(df):
+    return {name: TYPE_NAMES.get(kind, kind) for name, kind in df.dtypes}
+
+
+def sql_types(connection, sql):
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    return {row[0]: row[1] for row in described}
 
 
 def ordered_rows(names, rows):
