@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.operators.history import join_series
 from seriesloom.operators.split import TEST_SIZE, split_time_ordered
-from seriesloom.operators.trend import fit_lines, fitted
+from seriesloom.operators.trend import fitted, with_lines
 from seriesloom.spec import PanelSpec
 
 MEASURES = ("mae", "rmse", "r2")
@@ -62,9 +61,8 @@ def trend_predictions(
     """Target, split flag and the line fitted to the training rows, for every row."""
     rows = df.select(spec.series_key, spec.order_col, spec.target)
     split = split_time_ordered(rows, spec, test_size)
-    lines = fit_lines(split, spec, [spec.target], where=~F.col("is_test"))
-    joined = join_series(split, lines, spec)
-    return joined.select(
+    lined = with_lines(split, spec, [spec.target], where=~F.col("is_test"))
+    return lined.select(
         *rows.columns,
         "is_test",
         fitted(spec, spec.target, F.col(spec.order_col)).alias("prediction"),

@@ -242,6 +242,7 @@ def fit(
     scored = trained.predict(table).select(
         spec.series_key, spec.order_col, spec.target, *flags, "prediction"
     )
+    scored = written(scored, "scored")
     return replace(trained, scored=scored, series_metrics=score_by_series(scored, spec))
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seriesloom.functions.arithmetic import line_at
+from seriesloom.operators.history import join_series
 from seriesloom.operators.report import with_change, with_millions
 from seriesloom.spec import PanelSpec
 
@@ -16,18 +18,21 @@ HORIZON = 6
 
 def _line_aggregates(
     spec: PanelSpec, columns: Sequence[str], where: Column | None = None
-) -> list[Column]:
+) -> dict[str, Column]:
     x = (F.col(spec.order_col) - F.lit(spec.origin)).cast("double")
     if where is not None:
         x = F.when(where, x)
-    aggregates = []
+    aggregates = {}
     for c in columns:
-        y = F.col(c)
-        aggregates.append(F.regr_slope(y, x).alias(f"{c}_slope"))
-        aggregates.append(F.regr_intercept(y, x).alias(f"{c}_intercept"))
+        aggregates[f"{c}_slope"] = F.regr_slope(F.col(c), x)
+        aggregates[f"{c}_intercept"] = F.regr_intercept(F.col(c), x)
     return aggregates
 
 
+def _aliased(aggregates: dict[str, Column]) -> list[Column]:
+    return [aggregate.alias(name) for name, aggregate in aggregates.items()]
+
+
 def fit_lines(
     df: DataFrame,
     spec: PanelSpec,
@@ -40,7 +45,26 @@ def fit_lines(
     count; with fewer than two different periods left, both are null.
     """
     columns = spec.variables if columns is None else columns
-    return df.groupBy(spec.series_key).agg(*_line_aggregates(spec, columns, where))
+    return df.groupBy(spec.series_key).agg(*_aliased(_line_aggregates(spec, columns, where)))
+
+
+def with_lines(
+    df: DataFrame,
+    spec: PanelSpec,
+    columns: Sequence[str] | None = None,
+    where: Column | None = None,
+) -> DataFrame:
+    """Every row with the lines of its series.
+
+    Series in one piece are already together for a window, so the lines cost no
+    join; series cut into blocks get them from :func:`fit_lines`.
+    """
+    columns = spec.variables if columns is None else columns
+    if spec.block is not None:
+        return join_series(df, fit_lines(df, spec, columns, where), spec)
+    series = W.partitionBy(spec.series_key)
+    lines = _line_aggregates(spec, columns, where)
+    return df.select("*", *[line.over(series).alias(name) for name, line in lines.items()])
 
 
 def last_values(spec: PanelSpec) -> list[Column]:
@@ -80,7 +104,7 @@ def line_forecast(
     """
     columns = spec.variables if columns is None else columns
     lines = df.groupBy(spec.series_key).agg(
-        *_line_aggregates(spec, columns), *last_values(spec)
+        *_aliased(_line_aggregates(spec, columns)), *last_values(spec)
     )
     has_line = F.col(f"{columns[0]}_slope").isNotNull()
     future = future_frame(lines.filter(has_line), spec, horizon)

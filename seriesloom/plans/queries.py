@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seriesloom.functions.arithmetic import lenient_double, pct_change, whole_part
 from seriesloom.operators import charts, features, history, metrics, model, recursion, report
 from seriesloom.operators import split, trend
-from seriesloom.session import scratch_path
+from seriesloom.session import scratch_path, written
 from seriesloom.sources import panel_csv, tables
 from seriesloom.sources.tables import DAY_SPEC, MONTH_SPEC, SECOND_SPEC
 
@@ -50,6 +50,11 @@ def seconds(spark: SparkSession, folder: str) -> DataFrame:
     return tables.kind_second(tables.read_table(spark, folder, "events"))
 
 
+def once(panel: DataFrame) -> DataFrame:
+    """A panel that is read more than once: written, so the raw tables are scanned once."""
+    return written(panel, "panel")
+
+
 def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
@@ -127,7 +132,7 @@ def min_history_filter(spark, folder):
 
 @query
 def min_history_filter_long(spark, folder):
-    return history.with_min_length(seconds(spark, folder), SECOND_SPEC, MIN_ROWS)
+    return history.with_min_length(once(seconds(spark, folder)), SECOND_SPEC, MIN_ROWS)
 
 
 @query
@@ -247,7 +252,7 @@ def features_full_nation_month(spark, folder):
 
 @query
 def features_full_long(spark, folder):
-    return features.full_features(seconds(spark, folder), SECOND_SPEC)
+    return features.full_features(once(seconds(spark, folder)), SECOND_SPEC)
 
 
 @query
@@ -271,7 +276,7 @@ def split_time_ordered(spark, folder):
 
 @query
 def split_time_ordered_long(spark, folder):
-    return split.split_time_ordered(_basic(seconds(spark, folder)), SECOND_SPEC)
+    return split.split_time_ordered(_basic(once(seconds(spark, folder))), SECOND_SPEC)
 
 
 @query
@@ -282,7 +287,7 @@ def split_random(spark, folder):
 
 @query
 def split_random_long(spark, folder):
-    return split.split_random(_basic(seconds(spark, folder)), SECOND_SPEC)
+    return split.split_random(_basic(once(seconds(spark, folder))), SECOND_SPEC)
 
 
 @query
@@ -293,7 +298,7 @@ def metrics_by_series(spark, folder):
 
 @query
 def metrics_by_series_long(spark, folder):
-    predicted = metrics.trend_predictions(seconds(spark, folder), SECOND_SPEC)
+    predicted = metrics.trend_predictions(once(seconds(spark, folder)), SECOND_SPEC)
     return rounded(metrics.score_by_series(predicted, SECOND_SPEC), METRIC_DIGITS)
 
 
@@ -315,7 +320,7 @@ def _finished(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @query
 def forecast_band(spark, folder):
-    forecast, _ = _finished(months(spark, folder))
+    forecast, _ = _finished(once(months(spark, folder)))
     banded = forecast.select("series_key", "year", "population", "lower_bound", "upper_bound")
     return rounded(banded, {"population": 2, "lower_bound": 2, "upper_bound": 2})
 
@@ -336,7 +341,7 @@ def forecast_yoy(spark, folder):
 
 @query
 def growth_report(spark, folder):
-    panel = months(spark, folder)
+    panel = once(months(spark, folder))
     forecast, errors = _finished(panel)
     full = report.growth_report(panel, forecast, MONTH_SPEC, errors)
     flat = full.select(
@@ -369,13 +374,13 @@ def growth_report(spark, folder):
 
 @query
 def forecast_table(spark, folder):
-    forecast, _ = _finished(months(spark, folder))
+    forecast, _ = _finished(once(months(spark, folder)))
     return report.forecast_table(forecast, MONTH_SPEC)
 
 
 @query
 def history_and_forecast(spark, folder):
-    panel = months(spark, folder)
+    panel = once(months(spark, folder))
     lines = trend.line_forecast(panel, MONTH_SPEC, columns=["population"])
     table = report.history_and_forecast(panel, lines, MONTH_SPEC)
     return report.sorted_by_period(table, MONTH_SPEC)
@@ -383,14 +388,14 @@ def history_and_forecast(spark, folder):
 
 @query
 def history_and_forecast_long(spark, folder):
-    panel = seconds(spark, folder)
+    panel = once(seconds(spark, folder))
     lines = trend.line_forecast(panel, SECOND_SPEC, columns=["population"])
     return report.history_and_forecast(panel, lines, SECOND_SPEC)
 
 
 @query
 def formatted_summary(spark, folder):
-    panel = months(spark, folder)
+    panel = once(months(spark, folder))
     lines = trend.line_forecast(panel, MONTH_SPEC)
     return report.summary_lines(report.growth_report(panel, lines, MONTH_SPEC), MONTH_SPEC)
 
@@ -408,7 +413,7 @@ def historical_listing(spark, folder):
 
 @query
 def chart_target_band(spark, folder):
-    panel = months(spark, folder)
+    panel = once(months(spark, folder))
     forecast, _ = _finished(panel)
     points = charts.target_with_band(panel, forecast, MONTH_SPEC)
     return rounded(points, {"value": 2, "lower": 2, "upper": 2})
@@ -416,7 +421,7 @@ def chart_target_band(spark, folder):
 
 @query
 def chart_indicators_long(spark, folder):
-    panel = months(spark, folder)
+    panel = once(months(spark, folder))
     forecast = trend.driver_forecast(panel, MONTH_SPEC)
     return rounded(charts.indicators_long(panel, forecast, MONTH_SPEC), {"value": RATE_DIGITS})
 
@@ -429,13 +434,13 @@ def recursive_forecast_linear(spark, folder):
     """The recursion with a rule in place of the model: the mean of the last three values."""
     picked = features.full_feature_list(DAY_SPEC)
     steps = recursion.recursive_steps(
-        days(spark, folder), DAY_SPEC, picked, recursion.mean_of_lags(DAY_SPEC, picked)
+        once(days(spark, folder)), DAY_SPEC, picked, recursion.mean_of_lags(DAY_SPEC, picked)
     )
     return rounded(steps, {d: RATE_DIGITS for d in DAY_SPEC.drivers}).drop("last_actual")
 
 
 def _model(spark, folder) -> model.TrainedModel:
-    return model.train(months(spark, folder), MONTH_SPEC, MODEL_SETTINGS)
+    return model.train(once(months(spark, folder)), MONTH_SPEC, MODEL_SETTINGS)
 
 
 @query
@@ -476,4 +481,6 @@ def model_round_trip(spark, folder):
 
 @query
 def recursive_forecast(spark, folder):
-    return recursion.recursive_forecast(months(spark, folder), _model(spark, folder))
+    panel = once(months(spark, folder))
+    trained = model.train(panel, MONTH_SPEC, MODEL_SETTINGS)
+    return recursion.recursive_forecast(panel, trained)
