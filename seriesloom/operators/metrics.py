@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.operators.split import TEST_SIZE, split_time_ordered
 from seriesloom.operators.trend import fitted, with_lines
+from seriesloom.session import written
 from seriesloom.spec import PanelSpec
 
 MEASURES = ("mae", "rmse", "r2")
@@ -58,9 +59,15 @@ def score_by_series(df: DataFrame, spec: PanelSpec, **options) -> DataFrame:
 def trend_predictions(
     df: DataFrame, spec: PanelSpec, test_size: float = TEST_SIZE
 ) -> DataFrame:
-    """Target, split flag and the line fitted to the training rows, for every row."""
+    """Target, split flag and the line fitted to the training rows, for every row.
+
+    For series cut into blocks the split is read three times (lines, blocks,
+    rows) and is written once instead of shuffled for each.
+    """
     rows = df.select(spec.series_key, spec.order_col, spec.target)
     split = split_time_ordered(rows, spec, test_size)
+    if spec.block is not None:
+        split = written(split, "split")
     lined = with_lines(split, spec, [spec.target], where=~F.col("is_test"))
     return lined.select(
         *rows.columns,

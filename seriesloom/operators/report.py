@@ -241,3 +241,11 @@ def summary_lines(report: DataFrame, spec: PanelSpec) -> DataFrame:
         total.alias("change_line"),
         growth.alias("growth_line"),
     )
+
+
+def slope_lines(slopes: DataFrame, spec: PanelSpec, slope: str = "slope") -> DataFrame:
+    """The trend per period as text, one row per series."""
+    line = F.concat(
+        F.lit("Population trend: "), with_commas(F.col(slope)), F.lit(" people per year")
+    )
+    return slopes.select(spec.series_key, line.alias("line"))
