@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesloom.plans.run import RUN_SETTINGS, run_forecast, run_trend
+from seriesloom.plans.run import RUN_OPTIONS, RUN_SETTINGS, run_forecast, run_trend
 from seriesloom.sources.panel_csv import read_panel, read_single_series
 from seriesloom.spec import PanelSpec
 
@@ -20,6 +20,11 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--trend", action="store_true", help="lines only, no model")
     parser.add_argument("--horizon", type=int, default=6)
     parser.add_argument("--iterations", type=int, default=RUN_SETTINGS["iterations"])
+    parser.add_argument(
+        "--as-published",
+        action="store_true",
+        help="train on all features and rows and let the test rows stop the training",
+    )
     parser.add_argument("--report", help="folder for the forecast as CSV")
     parser.add_argument("--model", help="folder for the trained model")
     return parser.parse_args()
@@ -52,6 +57,7 @@ def main() -> None:
             settings,
             report_path=arguments.report,
             model_path=arguments.model,
+            **(RUN_OPTIONS if arguments.as_published else {}),
         )
         _show("Model Performance Metrics", run.metrics)
         _show("Top 10 Important Features", run.importance.limit(10))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -100,10 +100,15 @@ class TrainedModel:
     def feature_names(self) -> list[str]:
         return [f.name for f in self.choice.features(self.spec)]
 
+    def predictor(self) -> Callable[[DataFrame], DataFrame]:
+        """A function adding ``prediction`` to rows that hold the model's features."""
+        inputs = _assembled(self.spec, self.feature_names)
+        return lambda df: self.pipeline.transform(df.select("*", inputs)).drop(
+            "__inputs", "features"
+        )
+
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add the column ``prediction`` to rows that hold the model's features."""
-        inputs = df.select("*", _assembled(self.spec, self.feature_names))
-        return self.pipeline.transform(inputs).drop("__inputs", "features")
+        return self.predictor()(df)
 
     def metrics(self) -> DataFrame:
         """Errors over all series, one row."""

@@ -12,7 +12,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from seriesloom.functions.arithmetic import mean_of
 from seriesloom.operators.features import (
     Feature,
     depth_of,
@@ -89,11 +91,13 @@ def recursive_steps(
     depth = max(depth_of(features), 1)
     state = series_state(panel, spec, depth)
     if not filled:
-        state = state.na.drop("any", subset=[_held(f.column, f.rows - 1) for f in features if f.rows])
+        needed = [_held(f.column, f.rows - 1) for f in features if f.rows]
+        state = state.na.drop("any", subset=needed)
     state = state.select("*", F.array().cast(_steps_type(panel, spec)).alias("__steps"))
-    for step in range(1, horizon + 1):
-        state = _advance(state, spec, features, predict, depth, filled)
-        if step % STEPS_PER_PLAN == 0 and step < horizon:
+    step = _Step(spec, features, depth, filled, panel.schema[spec.order_col].dataType)
+    for number in range(1, horizon + 1):
+        state = step.advance(state, predict)
+        if number % STEPS_PER_PLAN == 0 and number < horizon:
             state = written(state, "states")
     return state.select(spec.series_key, "last_actual", F.inline("__steps")).select(
         *spec.columns, "last_actual"
@@ -106,40 +110,43 @@ def _steps_type(panel: DataFrame, spec: PanelSpec) -> str:
     return f"array<struct<`{spec.order_col}`: {period}, {values}>>"
 
 
-def _advance(
-    state: DataFrame,
-    spec: PanelSpec,
-    features: Sequence[Feature],
-    predict: Predict,
-    depth: int,
-    filled: bool,
-) -> DataFrame:
-    period_type = state.schema["last_period"].dataType
-    period = (F.col("last_period") + 1).cast(period_type)
-    opened = state.withColumn(spec.order_col, period)
-    opened = opened.withColumns(
-        {d: fitted(spec, d, F.col(spec.order_col)) for d in spec.drivers}
-    )
-    make = render_filled if filled else render
-    value = _value_in_state(spec)
-    made = {f.name: make(f, spec, value) for f in features if f.kind != "value"}
-    predicted = predict(opened.withColumns(made)).withColumn(spec.target, F.col("prediction"))
-
-    point = F.struct(spec.order_col, *spec.variables)
-    shifted = [
-        F.col(_held(v, back - 1) if back else v).alias(_held(v, back))
-        for v in spec.variables
-        for back in range(depth)
-    ]
-    lines = [f"{d}_{part}" for d in spec.drivers for part in ("slope", "intercept")]
-    return predicted.select(
-        spec.series_key,
-        F.col(spec.order_col).alias("last_period"),
-        *shifted,
-        *lines,
-        "last_actual",
-        F.array_append("__steps", point).alias("__steps"),
-    )
+class _Step:
+    """One step of all series; every step uses the same expressions."""
+
+    def __init__(
+        self,
+        spec: PanelSpec,
+        features: Sequence[Feature],
+        depth: int,
+        filled: bool,
+        period_type: T.DataType,
+    ):
+        period = (F.col("last_period") + 1).cast(period_type)
+        make = render_filled if filled else render
+        value = _value_in_state(spec)
+        self.target = spec.target
+        self.opened = {spec.order_col: period}
+        self.opened.update({d: fitted(spec, d, period) for d in spec.drivers})
+        self.made = {f.name: make(f, spec, value) for f in features if f.kind != "value"}
+        shifted = [
+            F.col(_held(v, back - 1) if back else v).alias(_held(v, back))
+            for v in spec.variables
+            for back in range(depth)
+        ]
+        lines = [f"{d}_{part}" for d in spec.drivers for part in ("slope", "intercept")]
+        point = F.struct(spec.order_col, *spec.variables)
+        self.closed = [
+            F.col(spec.series_key),
+            F.col(spec.order_col).alias("last_period"),
+            *shifted,
+            *[F.col(name) for name in lines],
+            F.col("last_actual"),
+            F.array_append("__steps", point).alias("__steps"),
+        ]
+
+    def advance(self, state: DataFrame, predict: Predict) -> DataFrame:
+        predicted = predict(state.withColumns(self.opened).withColumns(self.made))
+        return predicted.withColumn(self.target, F.col("prediction")).select(*self.closed)
 
 
 def recursive_forecast(
@@ -150,19 +157,13 @@ def recursive_forecast(
         raise ValueError("the model has not been trained yet")
     spec, choice = model.spec, model.choice
     steps = recursive_steps(
-        panel, spec, choice.features(spec), model.predict, horizon, choice.filled
+        panel, spec, choice.features(spec), model.predictor(), horizon, choice.filled
     )
     return finish_forecast(steps, spec, model.series_metrics)
 
 
 def mean_of_lags(spec: PanelSpec, features: Sequence[Feature]) -> Predict:
     """A rule in place of a model: the mean of the target's lags among the features."""
-    lags = [f.name for f in features if f.kind == "lag" and f.column == spec.target]
-
-    def predict(df: DataFrame) -> DataFrame:
-        total = F.col(lags[0])
-        for lag in lags[1:]:
-            total = total + F.col(lag)
-        return df.withColumn("prediction", total / F.lit(float(len(lags))))
-
-    return predict
+    lags = [F.col(f.name) for f in features if f.kind == "lag" and f.column == spec.target]
+    prediction = mean_of(lags)
+    return lambda df: df.withColumn("prediction", prediction)

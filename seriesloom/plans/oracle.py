@@ -46,7 +46,11 @@ MONTH_ORIGIN = 1995 * 12
 SECOND_ORIGIN = 19723 * 86400
 DAY_ORIGIN = 19723
 
-RATE_DIGITS = 9
+# Bits after the point that a line fit keeps.
+AMOUNT = 10
+PERCENT = 20
+RATE = 30
+SLOPE = 50
 
 VARIABLES = ("population", "birth_rate", "death_rate", "migration_rate")
 RATES = VARIABLES[1:]
@@ -54,9 +58,10 @@ SERIES = "PARTITION BY series_key"
 ORDERED = "PARTITION BY series_key ORDER BY year"
 
 
-def _round(expression: str, digits: int) -> str:
+def _round(expression: str, bits: int) -> str:
+    steps = f"{2**bits}.0e0"
     # adding zero turns a negative zero into a plain one
-    return f"(round({expression}, {digits}) + 0.0e0)"
+    return f"(round_even(({expression}) * {steps}, 0) / {steps} + 0.0e0)"
 
 
 def _list(items) -> str:
@@ -158,29 +163,29 @@ predicted AS (
 )"""
 
 
-def _measures(digits: bool = True) -> list[str]:
+def _measures(rounded: bool = True) -> list[str]:
     columns = []
     for part, where in (("train", "NOT is_test"), ("test", "is_test")):
         only = f"FILTER (WHERE {where} AND prediction IS NOT NULL)"
         error = "(population - prediction)"
         measures = {
-            "mae": (f"avg(abs({error})) {only}", 4),
-            "rmse": (f"sqrt(avg({error} * {error}) {only})", 4),
+            "mae": (f"avg(abs({error})) {only}", AMOUNT),
+            "rmse": (f"sqrt(avg({error} * {error}) {only})", AMOUNT),
             "r2": (
                 f"1 - sum({error} * {error}) {only}"
                 f" / nullif(var_pop(population) {only} * count(*) {only}, 0)",
-                6,
+                PERCENT,
             ),
         }
         for name, (sql, places) in measures.items():
-            value = _round(sql, places) if digits else sql
+            value = _round(sql, places) if rounded else sql
             columns.append(f"{value} AS {part}_{name}")
     return columns
 
 
 def _banded() -> str:
     return f"""{MONTHS}, {_predicted(MONTH_ORIGIN)}, {_forecast(MONTH_ORIGIN)},
-errors AS (SELECT series_key, {_list(_measures(digits=False))} FROM predicted GROUP BY 1),
+errors AS (SELECT series_key, {_list(_measures(rounded=False))} FROM predicted GROUP BY 1),
 banded AS (
   SELECT f.*, test_rmse,
          CASE WHEN test_rmse IS NULL OR test_rmse = 0 THEN population * 0.98e0
@@ -261,17 +266,17 @@ SELECT * FROM panel
 WHERE series_key IN (SELECT series_key FROM panel GROUP BY 1 HAVING count(*) >= 27)"""
 
 
-def _coefficients(panel: str, origin: int, digits) -> str:
+def _coefficients(panel: str, origin: int, bits) -> str:
     columns = [
-        f"{_round(f'{c}_{part}', digits(c, part))} AS {c}_{part}"
+        f"{_round(f'{c}_{part}', bits(c, part))} AS {c}_{part}"
         for c in VARIABLES
         for part in ("slope", "intercept")
     ]
     return f"WITH {panel}, {_lines(origin)} SELECT series_key, {_list(columns)} FROM lines"
 
 
-def _rates(digits: int = RATE_DIGITS) -> list[str]:
-    return [f"{_round(r, digits)} AS {r}" for r in RATES]
+def _rates() -> list[str]:
+    return [f"{_round(r, RATE)} AS {r}" for r in RATES]
 
 
 def _recursion() -> str:
@@ -297,7 +302,7 @@ rolled AS (
   FROM rolled WHERE step < 6
 )
 SELECT r.series_key, CAST(r.year AS INTEGER) AS year, one AS population,
-       {_list(_round(f"{c}_slope * CAST(r.year - {DAY_ORIGIN} AS DOUBLE) + {c}_intercept", RATE_DIGITS)
+       {_list(_round(f"{c}_slope * CAST(r.year - {DAY_ORIGIN} AS DOUBLE) + {c}_intercept", RATE)
               + f" AS {c}" for c in RATES)}
 FROM rolled AS r JOIN lines AS l ON r.series_key = l.series_key
 WHERE step > 0"""
@@ -314,7 +319,7 @@ def _fixed(value: str, unit: str) -> str:
 def all_sql() -> dict[str, str]:
     keys = ["series_key", "year", "population"]
     panel_columns = ["series_key", "year", *VARIABLES]
-    two = {c: 2 for c in ("population", "lower_bound", "upper_bound")}
+    bounds = [f"{_round(c, AMOUNT)} AS {c}" for c in ("population", "lower_bound", "upper_bound")]
     sql: dict[str, str] = {}
 
     sql["panel_nation_month"] = _select(MONTHS, panel_columns)
@@ -338,10 +343,10 @@ FROM panel GROUP BY 1"""
     sql["last_k_rows_long"] = _last(SECONDS, 3)
 
     sql["trend_coefficients"] = _coefficients(
-        MONTHS, MONTH_ORIGIN, lambda c, part: 3 if c == "population" else RATE_DIGITS
+        MONTHS, MONTH_ORIGIN, lambda c, part: AMOUNT if c == "population" else RATE
     )
     sql["trend_coefficients_long"] = _coefficients(
-        SECONDS, SECOND_ORIGIN, lambda c, part: 12 if part == "slope" else 6
+        SECONDS, SECOND_ORIGIN, lambda c, part: SLOPE if part == "slope" else RATE
     )
     sql["future_frame"] = f"""WITH {DAYS}
 SELECT series_key, step, CAST(last_period + step AS INTEGER) AS year
@@ -352,9 +357,9 @@ FROM (SELECT series_key, max(year) AS last_period FROM panel GROUP BY 1) AS last
         f" SELECT series_key, year, {_list(_rates())} FROM ahead"
     )
     sql["trend_forecast"] = f"""WITH {MONTHS}, {_forecast(MONTH_ORIGIN)}
-SELECT series_key, year, {_round("population", 2)} AS population, {_list(_rates())},
-       {_round("year_over_year_change", 6)} AS year_over_year_change,
-       {_round("population_millions", 6)} AS population_millions,
+SELECT series_key, year, {_round("population", AMOUNT)} AS population, {_list(_rates())},
+       {_round("year_over_year_change", PERCENT)} AS year_over_year_change,
+       {_round("population_millions", PERCENT)} AS population_millions,
        CAST(trunc(population) AS BIGINT) AS whole_population
 FROM forecast"""
 
@@ -408,26 +413,25 @@ FROM pairs"""
         f"WITH {DAYS}, {_predicted(DAY_ORIGIN)} SELECT {_list(_measures())} FROM predicted"
     )
 
-    bounds = [f"{_round(c, d)} AS {c}" for c, d in two.items()]
     sql["forecast_band"] = f"WITH {_banded()} SELECT series_key, year, {_list(bounds)} FROM banded"
     sql["forecast_band_fallback"] = f"""WITH {MONTHS}, {_forecast(MONTH_ORIGIN)}
-SELECT series_key, year, {_round("population", 2)} AS population,
-       {_round("population * 0.98e0", 2)} AS lower_bound,
-       {_round("population * 1.02e0", 2)} AS upper_bound
+SELECT series_key, year, {_round("population", AMOUNT)} AS population,
+       {_round("population * 0.98e0", AMOUNT)} AS lower_bound,
+       {_round("population * 1.02e0", AMOUNT)} AS upper_bound
 FROM forecast"""
     sql["forecast_yoy"] = f"""WITH {MONTHS}, {_forecast(MONTH_ORIGIN)}
-SELECT series_key, year, {_round("population", 2)} AS population, last_actual,
-       {_round("year_over_year_change", 6)} AS year_over_year_change
+SELECT series_key, year, {_round("population", AMOUNT)} AS population, last_actual,
+       {_round("year_over_year_change", PERCENT)} AS year_over_year_change
 FROM forecast"""
     sql["growth_report"] = f"""WITH {_banded()}, {_report()}
 SELECT r.series_key, start_year, end_year, forecast_first, forecast_last, current_population,
-       {_round("forecast_population", 2)} AS forecast_population,
-       {_round("total_change", 2)} AS total_change,
-       {_round("percent_change", 6)} AS percent_change,
-       {_round("avg_annual_growth", 6)} AS avg_annual_growth,
-       {_round("test_rmse", 4)} AS test_rmse,
+       {_round("forecast_population", AMOUNT)} AS forecast_population,
+       {_round("total_change", AMOUNT)} AS total_change,
+       {_round("percent_change", PERCENT)} AS percent_change,
+       {_round("avg_annual_growth", PERCENT)} AS avg_annual_growth,
+       {_round("test_rmse", AMOUNT)} AS test_rmse,
        CAST(steps AS INTEGER) AS forecast_rows,
-       {_round("forecast_population", 2)} AS last_forecast
+       {_round("forecast_population", AMOUNT)} AS last_forecast
 FROM report AS r LEFT JOIN errors AS e ON r.series_key = e.series_key"""
     sql["forecast_table"] = f"""WITH {_banded()}
 SELECT series_key, year AS "Year", round_even(population, 0) AS "Population",
@@ -462,23 +466,23 @@ SELECT series_key, year,
               ', Migration: ', migration_rate, ')') AS line
 FROM panel"""
     label = "concat(CAST(trunc(population / 1.0e6) AS BIGINT), 'M')"
-    sql["chart_target_band"] = f"""WITH {_banded()}
-SELECT series_key, year, 'Historical' AS kind, {_round("population", 2)} AS value,
+    sql["chart_target_band"] = f"""WITH {_banded()},
+steady AS (SELECT series_key, year, {_list(bounds)} FROM banded)
+SELECT series_key, year, 'Historical' AS kind, population AS value,
        CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper,
        CASE WHEN position > length - 3 THEN {label} END AS label
 FROM numbered
 UNION ALL
-SELECT series_key, year, 'Forecast', {_round("population", 2)}, {_round("lower_bound", 2)},
-       {_round("upper_bound", 2)}, {label}
-FROM banded"""
+SELECT series_key, year, 'Forecast', population, lower_bound, upper_bound, {label}
+FROM steady"""
     sql["chart_indicators_long"] = f"""WITH {MONTHS}, {_forecast(MONTH_ORIGIN, columns=RATES)},
 points AS (
   SELECT series_key, year, 'Historical' AS kind, {_list(RATES)} FROM panel
   UNION ALL
-  SELECT series_key, year, 'Forecast', {_list(RATES)} FROM ahead
+  SELECT series_key, year, 'Forecast', {_list(_rates())} FROM ahead
 )
 """ + "\nUNION ALL\n".join(
-        f"SELECT series_key, year, kind, '{r}' AS indicator, {_round(r, RATE_DIGITS)} AS value FROM points"
+        f"SELECT series_key, year, kind, '{r}' AS indicator, {r} AS value FROM points"
         for r in RATES
     )
     sql["recursive_forecast_linear"] = _recursion()

@@ -1,7 +1,7 @@
 """Registered queries: each operator over a panel built from the given tables.
 
 Line fits are rounded, since the order of a distributed sum shows in the last
-digits; everything else is returned as computed.
+bits; everything else is returned as computed.
 """
 
 from __future__ import annotations
@@ -55,30 +55,40 @@ def once(panel: DataFrame) -> DataFrame:
     return written(panel, "panel")
 
 
-def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
+# Fits are rounded to multiples of a power of two, given here as bits after the
+# point. Quotients of small counts do lie on the halves of a decimal grid, where
+# the last bit of a sum would decide; they do not lie on the halves of these.
+AMOUNT_BITS = 10
+PERCENT_BITS = 20
+RATE_BITS = 30
+SLOPE_BITS = 50
 
-
-# Rates are quotients of small counts. Nine digits keep their halves off the
-# rounding edge, where the last bit of a sum would decide.
-RATE_DIGITS = 9
-
-FORECAST_DIGITS = {
-    "population": 2,
-    "birth_rate": RATE_DIGITS,
-    "death_rate": RATE_DIGITS,
-    "migration_rate": RATE_DIGITS,
+FORECAST_BITS = {
+    "population": AMOUNT_BITS,
+    "birth_rate": RATE_BITS,
+    "death_rate": RATE_BITS,
+    "migration_rate": RATE_BITS,
 }
-METRIC_DIGITS = {
-    "train_mae": 4,
-    "test_mae": 4,
-    "train_rmse": 4,
-    "test_rmse": 4,
-    "train_r2": 6,
-    "test_r2": 6,
+BAND_BITS = {c: AMOUNT_BITS for c in ("population", "lower_bound", "upper_bound")}
+METRIC_BITS = {
+    "train_mae": AMOUNT_BITS,
+    "test_mae": AMOUNT_BITS,
+    "train_rmse": AMOUNT_BITS,
+    "test_rmse": AMOUNT_BITS,
+    "train_r2": PERCENT_BITS,
+    "test_r2": PERCENT_BITS,
 }
 
 
+def rounded(df: DataFrame, bits: dict[str, int]) -> DataFrame:
+    def on_grid(column: str, places: int):
+        steps = F.lit(2.0**places)
+        # adding zero turns a negative zero into a plain one
+        return F.rint(F.col(column) * steps) / steps + F.lit(0.0)
+
+    return df.withColumns({c: on_grid(c, places) for c, places in bits.items()})
+
+
 # --- panels, sources and sinks ---
 
 
@@ -156,14 +166,14 @@ def last_k_rows_long(spark, folder):
 @query
 def trend_coefficients(spark, folder):
     lines = trend.fit_lines(months(spark, folder), MONTH_SPEC)
-    digits = {c: 3 if c.startswith("population") else RATE_DIGITS for c in lines.columns[1:]}
-    return rounded(lines, digits)
+    bits = {c: AMOUNT_BITS if c.startswith("population") else RATE_BITS for c in lines.columns[1:]}
+    return rounded(lines, bits)
 
 
 @query
 def trend_coefficients_long(spark, folder):
     lines = trend.fit_lines(seconds(spark, folder), SECOND_SPEC)
-    return rounded(lines, {c: 12 if c.endswith("slope") else 6 for c in lines.columns[1:]})
+    return rounded(lines, {c: SLOPE_BITS if c.endswith("slope") else RATE_BITS for c in lines.columns[1:]})
 
 
 @query
@@ -175,7 +185,7 @@ def future_frame(spark, folder):
 @query
 def rate_extrapolation(spark, folder):
     forecast = trend.driver_forecast(months(spark, folder), MONTH_SPEC)
-    return rounded(forecast, {d: RATE_DIGITS for d in MONTH_SPEC.drivers})
+    return rounded(forecast, {d: RATE_BITS for d in MONTH_SPEC.drivers})
 
 
 @query
@@ -183,7 +193,7 @@ def trend_forecast(spark, folder):
     forecast = trend.trend_forecast(months(spark, folder), MONTH_SPEC)
     whole = forecast.withColumn("whole_population", whole_part(F.col("population")))
     return rounded(
-        whole, {**FORECAST_DIGITS, "year_over_year_change": 6, "population_millions": 6}
+        whole, {**FORECAST_BITS, "year_over_year_change": PERCENT_BITS, "population_millions": PERCENT_BITS}
     )
 
 
@@ -293,19 +303,19 @@ def split_random_long(spark, folder):
 @query
 def metrics_by_series(spark, folder):
     predicted = metrics.trend_predictions(days(spark, folder), DAY_SPEC)
-    return rounded(metrics.score_by_series(predicted, DAY_SPEC), METRIC_DIGITS)
+    return rounded(metrics.score_by_series(predicted, DAY_SPEC), METRIC_BITS)
 
 
 @query
 def metrics_by_series_long(spark, folder):
     predicted = metrics.trend_predictions(once(seconds(spark, folder)), SECOND_SPEC)
-    return rounded(metrics.score_by_series(predicted, SECOND_SPEC), METRIC_DIGITS)
+    return rounded(metrics.score_by_series(predicted, SECOND_SPEC), METRIC_BITS)
 
 
 @query
 def metrics_overall(spark, folder):
     predicted = metrics.trend_predictions(days(spark, folder), DAY_SPEC)
-    return rounded(metrics.score(predicted, DAY_SPEC), METRIC_DIGITS)
+    return rounded(metrics.score(predicted, DAY_SPEC), METRIC_BITS)
 
 
 # --- tables and reports on the trend forecast ---
@@ -322,21 +332,21 @@ def _finished(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
 def forecast_band(spark, folder):
     forecast, _ = _finished(once(months(spark, folder)))
     banded = forecast.select("series_key", "year", "population", "lower_bound", "upper_bound")
-    return rounded(banded, {"population": 2, "lower_bound": 2, "upper_bound": 2})
+    return rounded(banded, BAND_BITS)
 
 
 @query
 def forecast_band_fallback(spark, folder):
     lines = trend.line_forecast(months(spark, folder), MONTH_SPEC, columns=["population"])
     banded = report.with_band(lines, MONTH_SPEC, None).drop("last_actual")
-    return rounded(banded, {"population": 2, "lower_bound": 2, "upper_bound": 2})
+    return rounded(banded, BAND_BITS)
 
 
 @query
 def forecast_yoy(spark, folder):
     lines = trend.line_forecast(months(spark, folder), MONTH_SPEC, columns=["population"])
     changed = report.with_change(lines, MONTH_SPEC)
-    return rounded(changed, {"population": 2, "year_over_year_change": 6})
+    return rounded(changed, {"population": AMOUNT_BITS, "year_over_year_change": PERCENT_BITS})
 
 
 @query
@@ -362,12 +372,12 @@ def growth_report(spark, folder):
     return rounded(
         flat,
         {
-            "forecast_population": 2,
-            "total_change": 2,
-            "percent_change": 6,
-            "avg_annual_growth": 6,
-            "test_rmse": 4,
-            "last_forecast": 2,
+            "forecast_population": AMOUNT_BITS,
+            "total_change": AMOUNT_BITS,
+            "percent_change": PERCENT_BITS,
+            "avg_annual_growth": PERCENT_BITS,
+            "test_rmse": AMOUNT_BITS,
+            "last_forecast": AMOUNT_BITS,
         },
     )
 
@@ -415,15 +425,16 @@ def historical_listing(spark, folder):
 def chart_target_band(spark, folder):
     panel = once(months(spark, folder))
     forecast, _ = _finished(panel)
-    points = charts.target_with_band(panel, forecast, MONTH_SPEC)
-    return rounded(points, {"value": 2, "lower": 2, "upper": 2})
+    steady = rounded(forecast, BAND_BITS)
+    return charts.target_with_band(panel, steady, MONTH_SPEC)
 
 
 @query
 def chart_indicators_long(spark, folder):
     panel = once(months(spark, folder))
     forecast = trend.driver_forecast(panel, MONTH_SPEC)
-    return rounded(charts.indicators_long(panel, forecast, MONTH_SPEC), {"value": RATE_DIGITS})
+    steady = rounded(forecast, {d: RATE_BITS for d in MONTH_SPEC.drivers})
+    return charts.indicators_long(panel, steady, MONTH_SPEC)
 
 
 # --- recursive forecasts and boosted trees ---
@@ -436,7 +447,7 @@ def recursive_forecast_linear(spark, folder):
     steps = recursion.recursive_steps(
         once(days(spark, folder)), DAY_SPEC, picked, recursion.mean_of_lags(DAY_SPEC, picked)
     )
-    return rounded(steps, {d: RATE_DIGITS for d in DAY_SPEC.drivers}).drop("last_actual")
+    return rounded(steps, {d: RATE_BITS for d in DAY_SPEC.drivers}).drop("last_actual")
 
 
 def _model(spark, folder) -> model.TrainedModel:

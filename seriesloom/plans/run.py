@@ -23,6 +23,15 @@ RUN_SETTINGS = {
     "loss_function": "RMSE",
 }
 
+# Features and rows of the published run. All features, also those
+# that know the row's own target; also the first rows, whose lags are missing;
+# and the test rows decide when to stop.
+RUN_OPTIONS = {
+    "choice": model.FeatureChoice("full"),
+    "drop_warmup": False,
+    "stop_on_test": True,
+}
+
 
 @dataclass(frozen=True)
 class ForecastRun:
@@ -45,17 +54,19 @@ def run_forecast(
     spec: PanelSpec,
     horizon: int = HORIZON,
     settings: Mapping | None = None,
-    choice: model.FeatureChoice = model.FeatureChoice(),
     report_path: str | None = None,
     model_path: str | None = None,
+    **options,
 ) -> ForecastRun:
     """Train on the panel and roll it forward; optionally write report and model.
 
-    Panel and forecast are written to the shared folder once and read by every
-    later step.
+    ``options`` go to :func:`seriesloom.operators.model.train`; ``RUN_OPTIONS``
+    are those of the published run. Panel and forecast are written to the shared
+    folder once and read by every later step.
     """
     panel = written(panel.select(*spec.columns), "panel")
-    trained = model.train(panel, spec, RUN_SETTINGS if settings is None else settings, choice)
+    settings = RUN_SETTINGS if settings is None else settings
+    trained = model.train(panel, spec, settings, **options)
     if model_path:
         model.save_model(trained, model_path)
     forecast = written(recursion.recursive_forecast(panel, trained, horizon), "forecast")

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+import plans
 from compare import connect, first_difference, spark_rows, spark_types, sql_rows, sql_types
 
 FOLDER = os.environ.get("SERIESLOOM_TEST_DIR", "/root/testdata/sf0.001")
@@ -26,6 +27,7 @@ def test_sql_belongs_to_queries():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_as_sql(spark, connection, name):
     df = QUERIES[name](spark, FOLDER)
+    plans.check(df)
     assert spark_types(df) == sql_types(connection, SQL[name])
     names, rows = spark_rows(df)
     expected_names, expected = sql_rows(connection, SQL[name])

@@ -34,6 +34,7 @@ def test_header_must_match(spark, tmp_path):
 
 
 def test_written_tables_stay_below_the_shared_folder(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     table = written(make(spark, [(1, 2, 3.0, 4.0, 5.0, 6.0)], SCHEMA))
