@@ -148,14 +148,13 @@ def select_features(
     features: Sequence[Feature],
     zero_base: str = "null",
     filled: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Key, period, target and the given features, in that order."""
+    """Key, period, target, the given features and the columns to keep, in that order."""
     make = render_filled if filled else render
     lagged = with_lags(df, spec, depth_of(features))
-    keys = (spec.series_key, spec.order_col, spec.target)
-    return lagged.select(
-        *keys, *[make(f, spec, lag_columns_at, zero_base).alias(f.name) for f in features]
-    )
+    made = [make(f, spec, lag_columns_at, zero_base).alias(f.name) for f in features]
+    return lagged.select(spec.series_key, spec.order_col, spec.target, *made, *keep)
 
 
 def with_numeric_target(df: DataFrame, spec: PanelSpec) -> DataFrame:

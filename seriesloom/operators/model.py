@@ -151,30 +151,36 @@ def training_table(
     test_size: float = TEST_SIZE,
     drop_warmup: bool = True,
 ) -> DataFrame:
-    """Features with ``is_test`` and ``is_validation``, one shuffle by series.
+    """Features with ``is_test`` and ``is_validation``.
 
     The test rows are the last ``test_size`` of each series, the validation rows
     the last ``test_size`` of what comes before. ``drop_warmup`` leaves out the
     rows whose lags reach before the start of the series.
     """
-    numeric = with_numeric_target(panel, spec)
-    features = select_features(numeric, spec, choice.features(spec), filled=choice.filled)
+    numeric = with_numeric_target(panel, spec).select(*spec.columns)
+    features = choice.features(spec)
+    flags = ["is_test", "is_validation"]
     if not choice.filled:
-        features = features.na.drop("any")
-    numbered = with_positions(features, spec, "__position", "__length")
+        complete = select_features(numeric, spec, features, filled=False).na.drop("any")
+        return _with_flags(complete, spec, test_size).drop("__position")
+    # the narrow panel is numbered, not the wide table of features
+    flagged = _with_flags(numeric, spec, test_size)
+    table = select_features(flagged, spec, features, keep=[*flags, "__position"])
+    if drop_warmup:
+        table = table.filter(F.col("__position") > choice.lookback)
+    return table.drop("__position")
+
+
+def _with_flags(df: DataFrame, spec: PanelSpec, test_size: float) -> DataFrame:
+    numbered = with_positions(df, spec, "__position", "__length")
     share = F.lit(1.0 - test_size)
     train_rows = F.floor(F.col("__length").cast("double") * share)
     fit_rows = F.floor(train_rows.cast("double") * share)
-    flagged = numbered.withColumns(
-        {
-            "is_test": F.col("__position") > train_rows,
-            "is_validation": (F.col("__position") > fit_rows)
-            & (F.col("__position") <= train_rows),
-        }
-    )
-    if drop_warmup and choice.filled:
-        flagged = flagged.filter(F.col("__position") > choice.lookback)
-    return flagged.drop("__position", "__length")
+    position = F.col("__position")
+    is_validation = (position > fit_rows) & (position <= train_rows)
+    return numbered.withColumns(
+        {"is_test": position > train_rows, "is_validation": is_validation}
+    ).drop("__length")
 
 
 def train_basic(
