@@ -8,15 +8,24 @@ from pyspark.sql import functions as F
 from seriesloom.functions.arithmetic import in_millions, whole_part
 
 
+MISSING = "n/a"
+
+
+def plain(value: Column) -> Column:
+    """Shortest text of a number."""
+    return F.coalesce(value.cast("string"), F.lit(MISSING))
+
+
 def with_commas(value: Column) -> Column:
     """Whole number with thousands separators."""
-    return F.format_number(value, 0)
+    return F.coalesce(F.format_number(value, 0), F.lit(MISSING))
 
 
 def fixed(value: Column, digits: int, suffix: str = "") -> Column:
     """Fixed number of digits, optionally followed by a unit."""
     # printf reads % as the start of a directive
-    return F.printf(F.lit(f"%.{digits}f{suffix.replace('%', '%%')}"), value)
+    text = F.printf(F.lit(f"%.{digits}f{suffix.replace('%', '%%')}"), value)
+    return F.when(value.isNotNull(), text).otherwise(F.lit(MISSING))
 
 
 def millions_label(value: Column) -> Column:

@@ -16,7 +16,10 @@ LABELLED_ACTUALS = 3
 def target_with_band(
     history: DataFrame, forecast: DataFrame, spec: PanelSpec, labelled: int = LABELLED_ACTUALS
 ) -> DataFrame:
-    """Points of actuals and forecast; the last actuals and all forecasts carry a label."""
+    """Points of actuals and forecast; the last actuals and all forecasts carry a label.
+
+    A forecast without bounds gives points without a band.
+    """
     key, period, target = spec.series_key, spec.order_col, spec.target
     none = F.lit(None).cast("double")
     numbered = with_positions(history.select(key, period, target), spec)
@@ -35,8 +38,8 @@ def target_with_band(
         period,
         F.lit(FORECAST).alias("kind"),
         F.col(target).alias("value"),
-        F.col(LOWER).alias("lower"),
-        F.col(UPPER).alias("upper"),
+        (F.col(LOWER) if LOWER in forecast.columns else none).alias("lower"),
+        (F.col(UPPER) if UPPER in forecast.columns else none).alias("upper"),
         millions_label(F.col(target)).alias("label"),
     )
     return actual.unionByName(expected)

@@ -19,7 +19,7 @@ from seriesloom.functions.arithmetic import (
     step_change,
     whole_part,
 )
-from seriesloom.functions.text import fixed, left_aligned, with_commas
+from seriesloom.functions.text import fixed, left_aligned, plain, with_commas
 from seriesloom.operators.history import lag_name, with_lags
 from seriesloom.spec import PanelSpec
 
@@ -184,7 +184,7 @@ def sorted_by_period(table: DataFrame, spec: PanelSpec, period: str = "Year") ->
 
 def historical_lines(history: DataFrame, spec: PanelSpec) -> DataFrame:
     """One line of text per period: value and the three rates."""
-    birth, death, migration = (F.col(d).cast("string") for d in spec.drivers)
+    birth, death, migration = (plain(F.col(d)) for d in spec.drivers)
     line = F.concat(
         F.col(spec.order_col).cast("string"),
         F.lit(": "),

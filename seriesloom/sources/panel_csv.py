@@ -30,7 +30,8 @@ def read_single_series(
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (
+    """Files whose header must match; empty, unreadable and NaN numbers are all null."""
+    raw = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
@@ -38,6 +39,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
     )
+    missing = F.lit(None).cast("double")
+    doubles = [f.name for f in schema if f.dataType == T.DoubleType()]
+    return raw.withColumns({c: F.nanvl(F.col(c), missing) for c in doubles})
 
 
 def write_csv(df: DataFrame, path: str) -> None:

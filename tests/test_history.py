@@ -101,3 +101,23 @@ def test_input_order_and_other_series_do_not_matter(spark):
     for variant in (one, altered):
         made = features.full_features(make(spark, variant), WHOLE).filter("series_key = 0")
         assert plain(by_key(made)) == reference
+
+
+def test_one_long_series_is_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = 20_000
+    panel = spark.range(rows).select(
+        F.lit(1).alias("series_key"),
+        F.col("id").alias("year"),
+        *[F.col("id").cast("double").alias(v) for v in WHOLE.variables],
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        made = features.full_features(panel, WHOLE.with_block(100))
+        sizes = made.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(setting)
+    assert sum(r["count"] for r in sizes) == rows
+    assert max(r["count"] for r in sizes) < rows / 2

@@ -78,6 +78,24 @@ def test_listing(spark):
     assert line == "2000: 1,234,567 (Birth Rate: 10.0, Death Rate: 5.0, Migration: 1.0)"
 
 
+def test_missing_values_in_text(spark, forecast):
+    line = by_key(report.historical_lines(one_series(spark, [None], births=[None]), WHOLE))[0]
+    assert line["line"] == "2000: n/a (Birth Rate: n/a, Death Rate: 5.0, Migration: 1.0)"
+    changed = report.with_millions(report.with_change(forecast, WHOLE), WHOLE)
+    assert by_key(report.trend_lines(changed, WHOLE))[3]["line"].split() == [
+        "2004",
+        "50",
+        "n/a",
+        "0.00M",
+    ]
+
+
+def test_chart_without_band(spark):
+    history = one_series(spark, [4.2e6, 5.9e6])
+    points = charts.target_with_band(history, trend.line_forecast(history, WHOLE, 1), WHOLE)
+    assert [r["lower"] for r in by_key(points)] == [None] * 3
+
+
 def test_tables_round_half_to_even(spark):
     rows = [(1, 2004, 2.5, 0.0, 0.0, 0.0, 2.0), (1, 2005, 3.5, 0.0, 0.0, 0.0, 2.0)]
     done = report.finish_forecast(make(spark, rows, FORECAST), WHOLE)

@@ -26,6 +26,15 @@ def test_single_series_with_trailing_blank(spark, tmp_path):
     assert tuple(rows[1]) == ("all", 2002, 200.0, 1.0, 2.0, -0.6)
 
 
+def test_missing_and_unreadable_numbers(spark, tmp_path):
+    path = tmp_path / "holes.csv"
+    path.write_text(
+        "year,population,birth_rate,death_rate,migration_rate\n2001,,NaN,x,1.5\n"
+    )
+    (row,) = panel_csv.read_single_series(spark, str(path), WHOLE).collect()
+    assert tuple(row) == ("all", 2001, None, None, None, 1.5)
+
+
 def test_header_must_match(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text("series_key,year,people,birth_rate,death_rate,migration_rate\n1,2,3,4,5,6\n")
