@@ -23,7 +23,8 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument(
         "--as-published",
         action="store_true",
-        help="train on all features and rows and let the test rows stop the training",
+        help="train on all features and rows; stop after 50 rounds without progress on the test"
+        " rows (trains all iterations first)",
     )
     parser.add_argument("--report", help="folder for the forecast as CSV")
     parser.add_argument("--model", help="folder for the trained model")
@@ -50,6 +51,8 @@ def main() -> None:
         _show("Population Forecast", run.lines.orderBy(*order))
     else:
         settings = {**RUN_SETTINGS, "iterations": arguments.iterations}
+        if arguments.as_published:
+            settings["stopping"] = "patience"
         run = run_forecast(
             panel,
             spec,

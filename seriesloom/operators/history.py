@@ -23,6 +23,19 @@ def lag_name(column: str, back: int) -> str:
     return f"{column}_lag_{back}"
 
 
+def fitting_spec(df: DataFrame, spec: PanelSpec) -> PanelSpec:
+    """``spec`` without blocks if every series of ``df`` has at most one block of rows.
+
+    Counts the rows per series, so ``df`` should be a stored table. Cutting costs
+    a second pass over the rows; short series are better left in one piece.
+    """
+    if spec.block is None:
+        return spec
+    lengths = df.groupBy(spec.series_key).agg(F.count("*").alias("rows"))
+    longest = lengths.agg(F.max("rows").alias("rows")).first()["rows"]
+    return spec.with_block(None) if (longest or 0) <= spec.block else spec
+
+
 def _with_block(df: DataFrame, spec: PanelSpec) -> DataFrame:
     period = F.col(spec.order_col).cast("bigint")
     width = F.lit(spec.block).cast("bigint")

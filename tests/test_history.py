@@ -61,6 +61,14 @@ def test_blocks_do_not_show_in_errors(panel, block):
             assert cut[name] == close, name
 
 
+def test_short_series_are_left_whole(panel):
+    longest = panel.groupBy("series_key").count().agg({"count": "max"}).first()[0]
+    assert history.fitting_spec(panel, WHOLE.with_block(longest)).block is None
+    assert history.fitting_spec(panel, WHOLE.with_block(longest - 1)).block == longest - 1
+    assert history.fitting_spec(panel, WHOLE) == WHOLE
+    assert history.fitting_spec(panel.limit(0), WHOLE.with_block(3)).block is None
+
+
 def test_lags_against_brute_force(spark):
     rows = random_rows(11)
     got = {

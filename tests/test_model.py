@@ -70,6 +70,35 @@ def test_full_set_and_stopping_on_test(panel):
     assert trained.scored.filter("is_validation and not is_test").isEmpty()
 
 
+@pytest.mark.parametrize(
+    ("errors", "patience", "rounds"),
+    [
+        ([5.0, 4.0, 3.0], 2, 3),
+        ([5.0, 4.0, 4.5, 4.2, 1.0], 2, 2),
+        ([5.0, 4.0, 4.5, 4.2, 1.0], 3, 5),
+        ([5.0, 6.0], 1, 1),
+        ([3.0, 3.0, 3.0], 5, 1),
+    ],
+)
+def test_best_round(errors, patience, rounds):
+    assert model.best_round(errors, patience) == rounds
+
+
+def test_patience_keeps_the_best_round(spark, panel):
+    settings = {**SMALL, "iterations": 12, "stopping": "patience", "early_stopping_rounds": 3}
+    stopped = model.train(panel, WHOLE, settings)
+    rounds = stopped.pipeline.stages[-1].getNumTrees
+    table = model.training_table(panel, WHOLE).withColumn("is_validation", F.lit(False))
+    unstopped = {**settings, "iterations": rounds, "early_stopping_rounds": 0}
+    fit_rows = model.training_table(panel, WHOLE).filter("not is_test and not is_validation")
+    again = model.fit(
+        fit_rows, WHOLE, stopped.choice, model.BoostingParams().override(unstopped)
+    )
+    keys = ["series_key", "year", "prediction"]
+    assert 1 <= rounds <= 12
+    assert by_key(again.predict(table).select(keys)) == by_key(stopped.scored.select(keys))
+
+
 def test_missing_driver_values(spark):
     panel = make(spark, wave(missing=True))
     trained = model.train(panel, WHOLE, SMALL)
@@ -131,6 +160,8 @@ def test_settings():
         defaults.override({"rounds": 5})
     with pytest.raises(ValueError):
         defaults.override({"loss_function": "MAE"})
+    with pytest.raises(ValueError):
+        defaults.override({"stopping": "never"})
 
 
 def step_by_step(values, horizon):
