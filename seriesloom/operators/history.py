@@ -141,8 +141,8 @@ def with_hash_positions(
     df: DataFrame, spec: PanelSpec, digest: str, position: str, length: str
 ) -> DataFrame:
     """Like :func:`with_positions`, in the order of a hex digest column."""
-    # three hex digits: 4096 pieces of a series, in the order of the whole digest
-    leading = F.conv(F.substring(digest, 1, 3), 16, 10).cast("bigint")
+    # four hex digits: 65,536 pieces of a series, in the order of the whole digest
+    leading = F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint")
     return _positions(df, spec, [digest, spec.order_col], position, length, leading)
 
 

@@ -387,11 +387,10 @@ SELECT series_key, year,
        CASE WHEN prior <> 0 THEN (now / prior - 1) * 100 END AS finite,
        CASE WHEN prior <> 0 THEN (now / prior - 1) * 100 ELSE 0.0e0 END AS filled
 FROM pairs"""
-    basic = _select(DAYS, [*keys, *RATES, *lags])
-    sql["features_basic"] = (
-        f"SELECT * FROM ({basic}) AS lagged WHERE "
-        + " AND ".join(f"{v}_lag_{b} IS NOT NULL" for b in (1, 2, 3) for v in VARIABLES)
-    )
+    complete = " AND ".join(f"{v}_lag_{b} IS NOT NULL" for b in (1, 2, 3) for v in VARIABLES)
+    for name, panel in (("features_basic", DAYS), ("features_basic_long", SECONDS)):
+        basic = _select(panel, [*keys, *RATES, *lags])
+        sql[name] = f"SELECT * FROM ({basic}) AS lagged WHERE {complete}"
     sql["features_full"] = _full_features(DAYS)
     sql["features_full_nation_month"] = _full_features(MONTHS)
     sql["features_full_long"] = _full_features(SECONDS)
@@ -475,6 +474,18 @@ FROM numbered
 UNION ALL
 SELECT series_key, year, 'Forecast', population, lower_bound, upper_bound, {label}
 FROM steady"""
+    sql["chart_target_band_long"] = f"""WITH {SECONDS},
+{_forecast(SECOND_ORIGIN, "BIGINT", ["population"])},
+steady AS (SELECT series_key, year, {_round("population", AMOUNT)} AS population FROM forecast),
+numbered AS (
+  SELECT *, row_number() OVER ({SERIES} ORDER BY year DESC) AS backwards FROM panel
+)
+SELECT series_key, year, 'Historical' AS kind, population AS value,
+       CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper,
+       CASE WHEN backwards <= 3 THEN {label} END AS label
+FROM numbered
+UNION ALL
+SELECT series_key, year, 'Forecast', population, NULL, NULL, {label} FROM steady"""
     sql["chart_indicators_long"] = f"""WITH {MONTHS}, {_forecast(MONTH_ORIGIN, columns=RATES)},
 points AS (
   SELECT series_key, year, 'Historical' AS kind, {_list(RATES)} FROM panel

@@ -250,6 +250,11 @@ def features_basic(spark, folder):
     return features.basic_features(days(spark, folder), DAY_SPEC)
 
 
+@query
+def features_basic_long(spark, folder):
+    return features.basic_features(once(seconds(spark, folder)), SECOND_SPEC)
+
+
 @query
 def features_full(spark, folder):
     return features.full_features(days(spark, folder), DAY_SPEC)
@@ -429,6 +434,14 @@ def chart_target_band(spark, folder):
     return charts.target_with_band(panel, steady, MONTH_SPEC)
 
 
+@query
+def chart_target_band_long(spark, folder):
+    panel = once(seconds(spark, folder))
+    lines = trend.line_forecast(panel, SECOND_SPEC, columns=["population"])
+    steady = rounded(lines, {"population": AMOUNT_BITS})
+    return charts.target_with_band(panel, steady, SECOND_SPEC)
+
+
 @query
 def chart_indicators_long(spark, folder):
     panel = once(months(spark, folder))
@@ -465,6 +478,12 @@ def gbt_full_metrics(spark, folder):
     return _model(spark, folder).metrics()
 
 
+@query
+def gbt_full_metrics_long(spark, folder):
+    panel = once(seconds(spark, folder))
+    return model.train(panel, SECOND_SPEC, MODEL_SETTINGS).metrics()
+
+
 @query
 def gbt_predictions(spark, folder):
     return _model(spark, folder).scored
