@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,7 +102,7 @@ def depth_of(features: Sequence[Feature]) -> int:
 
 def render(feature: Feature, spec: PanelSpec, value: ValueAt, zero_base: str = "null") -> Column:
     """Expression of one feature, missing where its inputs are."""
-    birth, death, migration = (value(d, 0) for d in spec.drivers)
+    birth, death, migration = spec.drivers
     column, rows = feature.column, feature.rows
     match feature.kind:
         case "value":
@@ -116,11 +117,11 @@ def render(feature: Feature, spec: PanelSpec, value: ValueAt, zero_base: str = "
         case "difference":
             return value(column, 0) - value(column, rows)
         case "ratio":
-            return safe_ratio(birth, death)
+            return safe_ratio(value(birth, 0), value(death, 0))
         case "natural":
-            return birth - death
+            return value(birth, 0) - value(death, 0)
         case "total":
-            return birth - death + migration
+            return value(birth, 0) - value(death, 0) + value(migration, 0)
         case "mean":
             return mean_of([value(column, back) for back in reversed(range(rows))])
     raise ValueError(f"unknown kind of feature: {feature.kind!r}")
@@ -153,7 +154,8 @@ def select_features(
     """Key, period, target, the given features and the columns to keep, in that order."""
     make = render_filled if filled else render
     lagged = with_lags(df, spec, depth_of(features))
-    made = [make(f, spec, lag_columns_at, zero_base).alias(f.name) for f in features]
+    value = cache(lag_columns_at)
+    made = [make(f, spec, value, zero_base).alias(f.name) for f in features]
     return lagged.select(spec.series_key, spec.order_col, spec.target, *made, *keep)
 
 

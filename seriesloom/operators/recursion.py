@@ -9,6 +9,7 @@ a lost task is redone from the states alone.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,7 +124,7 @@ class _Step:
     ):
         period = (F.col("last_period") + 1).cast(period_type)
         make = render_filled if filled else render
-        value = _value_in_state(spec)
+        value = cache(_value_in_state(spec))
         self.target = spec.target
         self.opened = {spec.order_col: period}
         self.opened.update({d: fitted(spec, d, period) for d in spec.drivers})

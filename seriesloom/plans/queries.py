@@ -497,11 +497,12 @@ def feature_importance(spark, folder):
 @query
 def model_round_trip(spark, folder):
     """Predictions of a saved and loaded model next to those of the model itself."""
-    trained = _model(spark, folder)
+    panel = once(months(spark, folder))
+    trained = model.train(panel, MONTH_SPEC, MODEL_SETTINGS)
     path = scratch_path(spark, "model")
     model.save_model(trained, path)
     loaded = model.load_model(spark, path)
-    table = model.training_table(months(spark, folder), loaded.spec, loaded.choice)
+    table = model.training_table(panel, loaded.spec, loaded.choice)
     again = loaded.predict(table).select("series_key", "year", "prediction")
     before = trained.scored.select(
         "series_key", "year", F.col("prediction").alias("prediction_before")
