@@ -166,14 +166,17 @@ def last_k_rows_long(spark, folder):
 @query
 def trend_coefficients(spark, folder):
     lines = trend.fit_lines(months(spark, folder), MONTH_SPEC)
-    bits = {c: AMOUNT_BITS if c.startswith("population") else RATE_BITS for c in lines.columns[1:]}
+    bits = {
+        c: AMOUNT_BITS if c.startswith("population") else RATE_BITS for c in lines.columns[1:]
+    }
     return rounded(lines, bits)
 
 
 @query
 def trend_coefficients_long(spark, folder):
     lines = trend.fit_lines(seconds(spark, folder), SECOND_SPEC)
-    return rounded(lines, {c: SLOPE_BITS if c.endswith("slope") else RATE_BITS for c in lines.columns[1:]})
+    bits = {c: SLOPE_BITS if c.endswith("slope") else RATE_BITS for c in lines.columns[1:]}
+    return rounded(lines, bits)
 
 
 @query
@@ -192,9 +195,8 @@ def rate_extrapolation(spark, folder):
 def trend_forecast(spark, folder):
     forecast = trend.trend_forecast(months(spark, folder), MONTH_SPEC)
     whole = forecast.withColumn("whole_population", whole_part(F.col("population")))
-    return rounded(
-        whole, {**FORECAST_BITS, "year_over_year_change": PERCENT_BITS, "population_millions": PERCENT_BITS}
-    )
+    derived = {"year_over_year_change": PERCENT_BITS, "population_millions": PERCENT_BITS}
+    return rounded(whole, {**FORECAST_BITS, **derived})
 
 
 # --- features ---

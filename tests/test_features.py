@@ -1,6 +1,6 @@
 import pytest
 
-from panels import WHOLE, by_key, make, one_series
+from panels import WHOLE, by_key, make, one_series, random_rows
 from seriesloom.operators import features
 from seriesloom.spec import PanelSpec
 
@@ -161,3 +161,44 @@ def test_spec_is_checked():
         PanelSpec(drivers=("a", "b"))
     with pytest.raises(ValueError):
         PanelSpec(block=0)
+
+
+def in_pandas(rows):
+    """All features of one series, column by column."""
+    import pandas as pd
+
+    frame = pd.DataFrame(rows, columns=["series_key", "year", *WHOLE.variables])
+    frame = frame.sort_values("year").astype({v: float for v in WHOLE.variables})
+    derived = {"year_squared": frame["year"].astype("int64") ** 2}
+    for v in WHOLE.variables:
+        column = frame[v]
+        derived[f"{v}_yoy_change"] = column.pct_change(fill_method=None) * 100
+        derived[f"{v}_diff"] = column.diff()
+        for rows_back in (1, 2, 3):
+            derived[f"{v}_lag_{rows_back}"] = column.shift(rows_back)
+        for window in (2, 3):
+            shifted = [column.shift(i) for i in reversed(range(window))]
+            derived[f"{v}_ma_{window}"] = sum(shifted[1:], shifted[0]) / window
+    birth, death, migration = (frame[d] for d in WHOLE.drivers)
+    derived["birth_death_ratio"] = birth / death.where(death != 0)
+    derived["natural_growth"] = birth - death
+    derived["total_growth"] = birth - death + migration
+    return frame.assign(**{name: values.fillna(0) for name, values in derived.items()})
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+@pytest.mark.parametrize("block", [None, 6])
+def test_all_features_against_pandas(spark, seed, block):
+    rows = random_rows(seed, series=3)
+    spec = WHOLE.with_block(block)
+    made = features.full_features(make(spark, rows), spec, zero_base="inf")
+    got = {(r["series_key"], r["year"]): r.asDict() for r in made.collect()}
+    assert len(got) == len(rows)
+    for key in range(3):
+        expected = in_pandas([r for r in rows if r[0] == key])
+        assert set(expected.columns) == set(made.columns)
+        for wanted in expected.to_dict("records"):
+            row = got[key, wanted["year"]]
+            for name, value in wanted.items():
+                missing = value != value
+                assert row[name] is None if missing else row[name] == value, name

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panels import WHOLE, by_key, make
-from seriesloom.operators import model, recursion, report
+from seriesloom.operators import model, recursion
 
 SMALL = {"iterations": 5, "depth": 3, "learning_rate": 0.3}
 
@@ -40,7 +40,8 @@ def test_training_table(panel):
 
 def test_metrics_and_scores(panel, trained):
     row = trained.metrics().first()
-    assert set(row.asDict()) == {f"{p}_{m}" for p in ("train", "test") for m in ("mae", "rmse", "r2")}
+    parts, measures = ("train", "test"), ("mae", "rmse", "r2")
+    assert set(row.asDict()) == {f"{p}_{m}" for p in parts for m in measures}
     assert all(math.isfinite(v) for v in row)
     assert trained.scored.count() == 63
     assert trained.series_metrics.count() == 3
@@ -180,7 +181,9 @@ def test_rule_rolled_forward(spark, horizon, block):
     spec = WHOLE.with_block(block)
     series = {1: [5.0, 9.0, 2.0, 7.0], 2: [4.0, 8.0], 3: [6.0]}
     rows = [
-        (key, t, v, 1.0 * t, 2.0, 3.0) for key, values in series.items() for t, v in enumerate(values)
+        (key, t, v, 1.0 * t, 2.0, 3.0)
+        for key, values in series.items()
+        for t, v in enumerate(values)
     ]
     features = full_feature_list(spec)
     steps = recursion.recursive_steps(

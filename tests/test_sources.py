@@ -83,3 +83,8 @@ def test_user_day_counts_days_across_months(spark):
     first, second = by_key(tables.user_day(events))
     assert second["year"] - first["year"] == 31
     assert (first["birth_rate"], second["migration_rate"]) == (1.0, -1.0)
+
+
+def test_training_checkpoints_go_to_the_shared_folder(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named in spark.sparkContext.getCheckpointDir()
