@@ -1,6 +1,7 @@
 import pytest
 
 from panels import WHOLE, by_key, make, one_series
+from seriesloom.functions.arithmetic import round_even, whole_part
 from seriesloom.operators import charts, report, trend
 
 FORECAST = (
@@ -139,3 +140,18 @@ def test_indicators(spark, forecast):
     long = charts.indicators_long(history, forecast, WHOLE)
     assert long.columns == ["series_key", "year", "kind", "indicator", "value"]
     assert long.count() == 3 * (2 + 4)
+
+
+@pytest.mark.parametrize(
+    ("value", "digits", "expected"),
+    [(2.5, 0, 2.0), (3.5, 0, 4.0), (0.125, 2, 0.12), (2.675, 2, 2.68), (-2.5, 0, -2.0)],
+)
+def test_round_even(spark, value, digits, expected):
+    frame = make(spark, [(value,)], "x double")
+    assert frame.select(round_even(frame.x, digits)).first()[0] == expected
+
+
+@pytest.mark.parametrize(("value", "expected"), [(146069455.9, 146069455), (-1.9, -1)])
+def test_whole_part_is_cut(spark, value, expected):
+    frame = make(spark, [(value,)], "x double")
+    assert frame.select(whole_part(frame.x)).first()[0] == expected

@@ -52,3 +52,12 @@ def test_only_the_chosen_rows_are_fitted(spark):
 def test_horizon_is_checked(spark):
     with pytest.raises(ValueError):
         trend.trend_forecast(one_series(spark, [1.0, 2.0]), WHOLE, 0)
+
+
+def test_two_rows(spark):
+    from seriesloom.operators.features import full_features
+
+    panel = one_series(spark, [4.0, 6.0])
+    assert trend.fit_lines(panel, WHOLE).first()["population_slope"] == pytest.approx(2.0)
+    assert [r["population_ma_3"] for r in by_key(full_features(panel, WHOLE))] == [0.0, 0.0]
+    assert [r["population_ma_2"] for r in by_key(full_features(panel, WHOLE))] == [0.0, 5.0]
