@@ -18,6 +18,9 @@ from seriesloom.spec import PanelSpec
 
 _BLOCK = "__block"
 
+# Periods at the end of a block, per row looked for, that are searched first.
+_MARGIN = 8
+
 
 def lag_name(column: str, back: int) -> str:
     return f"{column}_lag_{back}"
@@ -85,19 +88,52 @@ def _rows_before_each_block(
     key, period = spec.series_key, spec.order_col
     latest_first = W.partitionBy(key, _BLOCK).orderBy(F.desc(period))
     ends = (
-        blocked.select(key, _BLOCK, period, *columns)
+        _rows_near_block_ends(blocked, spec, depth, columns)
         .withColumn("__rank", F.row_number().over(latest_first))
         .filter(F.col("__rank") <= depth)
         .groupBy(key, _BLOCK)
         .agg(F.array_sort(F.collect_list(F.struct(period, *columns))).alias("__end"))
     )
+    blocks = blocked.select(key, _BLOCK).distinct().join(ends, [key, _BLOCK], "left")
     # a block holds at least one row, so depth blocks hold depth rows
-    before = W.partitionBy(key).orderBy(_BLOCK).rowsBetween(-depth, -1)
-    rows = ends.select(key, _BLOCK, F.flatten(F.collect_list("__end").over(before)).alias("__rows"))
+    in_order = W.partitionBy(key).orderBy(_BLOCK)
+    ends_before = [F.lag("__end", back).over(in_order) for back in range(depth, 0, -1)]
+    earlier = F.flatten(F.array_compact(F.array(*ends_before)))
+    rows = blocks.select(key, _BLOCK, earlier.alias("__rows"))
     first = F.greatest(F.lit(1), F.size("__rows") - depth + 1)
     return rows.select(key, _BLOCK, F.inline(F.slice("__rows", first, depth)))
 
 
+def _rows_near_block_ends(
+    blocked: DataFrame, spec: PanelSpec, depth: int, columns: Sequence[str]
+) -> DataFrame:
+    """Rows among which the last ``depth`` of every block with a successor are found.
+
+    Usually they lie in the last few periods of the block, which a filter finds.
+    A count per block tells where it does not, and all rows of those blocks are
+    taken. Sorting every row to pick the last ones costs as much as the lags.
+    """
+    key, period = spec.series_key, spec.order_col
+    margin = min(spec.block, _MARGIN * depth)
+    place = F.pmod(F.col(period).cast("bigint"), F.lit(spec.block).cast("bigint"))
+    near_end = place >= spec.block - margin
+    rows = blocked.select(key, _BLOCK, period, *columns)
+    if margin == spec.block:
+        return rows
+    counts = blocked.groupBy(key, _BLOCK).agg(
+        F.count("*").alias("__size"), F.count_if(near_end).alias("__near")
+    )
+    in_order = W.partitionBy(key).orderBy(_BLOCK)
+    sparse = (
+        counts.withColumn("__next", F.lead(_BLOCK).over(in_order))
+        .filter(F.col("__next").isNotNull())
+        .filter(F.col("__near") < F.least("__size", F.lit(depth)))
+        .select(key, _BLOCK)
+    )
+    others = rows.filter(~near_end).join(sparse, [key, _BLOCK])
+    return rows.filter(near_end).unionByName(others)
+
+
 def with_positions(
     df: DataFrame, spec: PanelSpec, position: str = "position", length: str = "length"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from panels import SCHEMA, WHOLE, by_key, make, random_rows
 from seriesloom.operators import features, history, metrics, report, split, trend
 
-BLOCKS = (1, 2, 7, 1000)
+BLOCKS = (1, 7, 30, 60)
 
 
 def plain(rows):
@@ -84,6 +84,18 @@ def test_lags_against_brute_force(spark):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("block", [40, 100, 1000])
+def test_lags_over_wide_gaps(spark, block):
+    """Blocks without rows, with a single row, and with rows only far from their end."""
+    periods = [0, 1, 2, 5, 99, 101, 130, 750, 2001, 2002, 2003, 2500, 9000]
+    rows = [(1, t, float(t), 1.0, 1.0, 1.0) for t in periods]
+    made = history.with_lags(make(spark, rows), WHOLE.with_block(block), 3)
+    for place, row in enumerate(by_key(made)):
+        before = [float(t) for t in periods[max(0, place - 3) : place]][::-1]
+        got = [row[f"population_lag_{i}"] for i in (1, 2, 3)]
+        assert got == before + [None] * (3 - len(before))
+
+
 def test_random_split_ranks_by_digest(spark):
     import hashlib
 
