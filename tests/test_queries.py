@@ -7,10 +7,12 @@ import pytest
 import __spark_entry__ as entry_points
 import plans
 from compare import connect, first_difference, spark_rows, spark_types, sql_rows, sql_types
+from seriesloom.plans.oracle import all_sql
+from seriesloom.plans.queries import all_queries
 
 FOLDER = os.environ.get("SERIESLOOM_TEST_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -22,6 +24,8 @@ def connection():
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
