@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.llm import decontaminate
 from seriesloom.llm import line_dedup as lines
 from seriesloom.llm import simhash
 from seriesloom.llm.rows import read
@@ -69,3 +70,62 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(
+        read(spark, folder, "documents"), read(spark, folder, "benchmark")
+    )
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_SQL["op7_decontaminate"] = r"""
+WITH cut AS (
+  SELECT 'd' AS side, doc_id AS id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+  UNION ALL
+  SELECT 'b', item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark
+),
+item_windows AS (
+  SELECT DISTINCT id AS item_id, least(len(w), 10) AS size,
+         array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS run
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s
+        FROM cut WHERE side = 'b' AND len(w) > 0)
+),
+doc_windows AS (
+  SELECT id AS doc_id, s, size, array_to_string(w[s : s + size - 1], ' ') AS run
+  FROM (SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS s
+        FROM cut, (SELECT DISTINCT size FROM item_windows)
+        WHERE side = 'd' AND len(w) >= size)
+),
+hits AS (
+  SELECT doc_id, s, d.size, item_id FROM doc_windows d JOIN item_windows i ON d.run = i.run
+),
+words_hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hits) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS list
+  FROM hits GROUP BY doc_id
+)
+SELECT c.id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM cut c LEFT JOIN words_hit h ON c.id = h.doc_id LEFT JOIN items i ON c.id = i.doc_id
+WHERE side = 'd'
+"""
