@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import decontaminate
 from seriesloom.llm import line_dedup as lines
-from seriesloom.llm import simhash
+from seriesloom.llm import mixing, simhash
 from seriesloom.llm.rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,52 @@ def op4_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixing.Mix(read(spark, folder, "documents"))
+    return mix.docs.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
+_SQL["op5_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+),
+ranked AS (
+  SELECT source, source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)
+),
+ordered AS (
+  SELECT *, (SELECT sum(source_size) FROM ranked) AS total,
+         coalesce(sum(2 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+         sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM ranked WINDOW w AS (ORDER BY CAST(source_size AS DOUBLE) / weight, source NULLS LAST)
+),
+units AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(source_size AS DOUBLE) / weight, source NULLS LAST) AS nth,
+         (CAST(1.5 AS DOUBLE) * CAST(total AS DOUBLE) - CAST(given AS DOUBLE)) / CAST(weights AS DOUBLE) AS unit
+  FROM ordered
+),
+unit AS (SELECT arg_min(unit, nth) AS unit FROM units WHERE weight * unit <= 2 * source_size),
+targets AS (
+  SELECT source, source_size, least(weight * unit, CAST(2 * source_size AS DOUBLE)) AS target FROM ranked, unit
+),
+placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS quota,
+         coalesce(sum(s.size) OVER (PARTITION BY t.source ORDER BY s.key, s.size
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+         least(size, greatest(0, quota - before)) + least(size, greatest(0, quota - source_size - before)) END AS BIGINT) AS taken
+FROM placed
+"""
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = lines.line_dedup(read(spark, folder, "documents"))
