@@ -74,7 +74,9 @@ def line_dedup(
         .select("id", "th", "pos", *[h.alias(n) for h, n in zip(fingerprint(F.col("key")), ("h1", "h2"))]),
         "lines",
     )
-    shared = shared_lines(lines, min_docs)
+    # written, so that the join deals out both sides anew and a line that fills
+    # a partition can be split
+    shared = written(shared_lines(lines, min_docs), "shared")
     dropped = (
         lines.join(shared, (lines.h1 == shared.g1) & (lines.h2 == shared.g2))
         .filter(~F.col("id").eqNullSafe(F.col("keeper")))
