@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontaminate
+from seriesloom.llm import decontaminate, language_id
 from seriesloom.llm import line_dedup as lines
 from seriesloom.llm import mixing, simhash
 from seriesloom.llm.rows import read
@@ -175,3 +175,12 @@ SELECT c.id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS
 FROM cut c LEFT JOIN words_hit h ON c.id = h.doc_id LEFT JOIN items i ON c.id = i.doc_id
 WHERE side = 'd'
 """
+
+
+@query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").withColumn(
+        "held_out", language_id.held_out(F.col("doc_id"))
+    )
+    model = language_id.learn(docs.filter(~F.col("held_out")))
+    return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
