@@ -101,17 +101,18 @@ def _spanning(block: pd.DataFrame, max_bits: int) -> pd.DataFrame:
     ``home`` rows are linked to the visitors near them; each adds an edge to
     every piece it touches, so there are never more edges than rows.
     """
-    homes = block.loc[block["home"], "fp"].to_numpy()
-    guests = block.loc[~block["home"], "fp"].to_numpy()
+    homes = block.loc[block["home"], "fp"].to_numpy(np.int64).view(np.uint64)
+    guests = block.loc[~block["home"], "fp"].to_numpy(np.int64).view(np.uint64)
     piece = np.arange(len(guests))
-    links: list[tuple[int, int]] = []
+    links: list[tuple[np.uint64, np.uint64]] = []
     for fp in homes:
-        near = np.bitwise_count(guests.view("u8") ^ np.uint64(fp & (2**64 - 1))) <= max_bits
+        near = np.bitwise_count(guests ^ fp) <= max_bits
         touched = np.unique(piece[near])
         if len(touched):
             links += [(fp, guests[t]) for t in touched]
             piece[np.isin(piece, touched)] = touched[0]
-    return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+    edges = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
+    return pd.DataFrame({"u": edges[:, 0], "v": edges[:, 1]})
 
 
 def links(prints: DataFrame, max_bits: int, parts: int, small: int, block: int) -> DataFrame:
