@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontaminate, language_id
+from seriesloom.llm import decontaminate, embedding_neardup, language_id
 from seriesloom.llm import line_dedup as lines
 from seriesloom.llm import mixing, simhash
 from seriesloom.llm.rows import read
@@ -31,6 +31,12 @@ def all_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op1_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_neardup.embedding_neardup(read(spark, folder, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def op4_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(read(spark, folder, "documents"))
