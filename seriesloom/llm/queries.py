@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import decontaminate, embedding_neardup, language_id
 from seriesloom.llm import line_dedup as lines
-from seriesloom.llm import mixing, simhash
+from seriesloom.llm import mixing, simhash, toxicity
 from seriesloom.llm.rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +183,19 @@ WHERE side = 'd'
 """
 
 
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    labels = read(spark, folder, "labels")
+    machine = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+    return toxicity.score(docs, machine).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").withColumn(
