@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import decontaminate, embedding_neardup, language_id
 from seriesloom.llm import line_dedup as lines
-from seriesloom.llm import mixing, simhash, toxicity
+from seriesloom.llm import mixing, quality, simhash, toxicity
 from seriesloom.llm.rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,13 @@ def op1_embedding_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", "kept")
 
 
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    found = quality.score(docs, quality.fit(docs))
+    return found.select("doc_id", "weak_label", "score", "kept")
+
+
 @query
 def op4_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(read(spark, folder, "documents"))
