@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import decontaminate, embedding_neardup, language_id
 from seriesloom.llm import line_dedup as lines
-from seriesloom.llm import mixing, quality, simhash, toxicity
+from seriesloom.llm import mixing, pitman_yor, quality, simhash, toxicity
 from seriesloom.llm.rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +190,21 @@ WHERE side = 'd'
 """
 
 
+@query
+def op8_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = pitman_yor.held_out(F.col("doc_id"))
+    found = pitman_yor.scores(read(spark, folder, "documents"), ~held_out)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
