@@ -9,13 +9,13 @@ are compared word by word.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.llm.polyhash import FACTOR, Prefixes, mixed
 from seriesloom.llm.rows import LOWER, UPPER, packed, same, unpacked
 from seriesloom.session import written
 
@@ -24,8 +24,6 @@ from seriesloom.session import written
 FILTER_BITS = 26
 GRAM = 5
 
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BLANK = 32
 # Separators (all of ASCII but letters and digits) become blanks, A-Z become a-z.
 _TABLE = bytes(
@@ -34,20 +32,6 @@ _TABLE = bytes(
 )
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """2 ** bits powers of an odd number modulo 2**64, and their inverses."""
-    inverse = np.uint64(pow(int(_FACTOR), -1, 2**64))
-    up, down = np.full(1 << bits, _FACTOR), np.full(1 << bits, inverse)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _MIX
-    return x ^ (x >> np.uint64(29))
-
-
 class Words:
     """One text: its words as spans of bytes, and a hash of each."""
 
@@ -59,18 +43,15 @@ class Words:
         self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.n = len(self.starts)
         if self.n:
-            up, down = _powers(max(16, len(data).bit_length()))
-            sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum((data + np.uint64(1)) * up[: len(data)], out=sums[1:])
-            self.hashes = _mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+            self.hashes = mixed(Prefixes(data).run(self.starts, self.ends))
 
     def grams(self, k: int) -> np.ndarray:
         """Hashes of all runs of ``k`` words."""
         m = self.n - k + 1
         found = np.full(m, k, np.uint64)
         for j in range(k):
-            found = found * _FACTOR + self.hashes[j : j + m]
-        return _mixed(found)
+            found = found * FACTOR + self.hashes[j : j + m]
+        return mixed(found)
 
     def kept(self, window: int) -> np.ndarray:
         """For every window of words, the least hash of its grams."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm import decontaminate, embedding_neardup, language_id
 from seriesloom.llm import line_dedup as lines
-from seriesloom.llm import mixing, pitman_yor, quality, simhash, toxicity
+from seriesloom.llm import mixing, pitman_yor, quality, simhash, suffix_dedup, toxicity
 from seriesloom.llm.rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,14 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "weak_label", "score", "kept")
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op4_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(read(spark, folder, "documents"))
