@@ -22,6 +22,7 @@ from seriesloom.session import written
 # Length of the longest n-gram: three code points of 21 bits fit a long.
 GRAMS = 3
 BITS = 21
+BLANK = ord(" ")
 UNKNOWN = "und"
 # Distinct n-grams that a task counts before it hands its counts on.
 HELD = 1 << 20
@@ -41,13 +42,13 @@ def grams(text: str | None) -> np.ndarray:
     letters = _letters()[points]
     if not letters.any():
         return np.empty(0, np.int64)
-    line = np.where(letters, points, 0).astype(np.int64)
-    line = np.concatenate([[0], line, [0]])
-    line = line[np.concatenate([[True], (line[1:] != 0) | (line[:-1] != 0)])]
+    line = np.where(letters, points, BLANK).astype(np.int64)
+    line = np.concatenate([[BLANK], line, [BLANK]])
+    line = line[np.concatenate([[True], (line[1:] != BLANK) | (line[:-1] != BLANK)])]
     pairs = (line[:-1] << BITS) | line[1:]
     triples = (pairs[:-1] << BITS) | line[2:]
     # a triple around a blank spans two words
-    return np.concatenate([line[line != 0], pairs, triples[line[1:-1] != 0]])
+    return np.concatenate([line[line != BLANK], pairs, triples[line[1:-1] != BLANK]])
 
 
 def ranked(text: str | None, size: int) -> np.ndarray:
