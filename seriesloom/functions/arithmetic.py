@@ -17,9 +17,20 @@ MILLION = 1_000_000.0
 ZERO_BASES = ("null", "inf")
 
 
-def lenient_double(value: Column) -> Column:
-    """Numeric value of a column; anything unreadable becomes missing."""
-    return value.try_cast("double")
+# What counts as a number in text: digits with a point and an exponent, or infinity.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
+
+
+def lenient_double(value: Column, text: bool = True) -> Column:
+    """Numeric value of a column; what cannot be read, and NaN, becomes missing.
+
+    ``text`` says that the column holds text, of which the engine reads more than
+    numbers: it also takes a type's letter at the end.
+    """
+    number = value.try_cast("double")
+    if text:
+        number = F.when(value.rlike(NUMBER), F.trim(value).try_cast("double"))
+    return F.when(~F.isnan(number), number)
 
 
 def pct_change(current: Column, previous: Column, zero_base: str = "null") -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import millions_label
-from seriesloom.operators.history import with_positions
+from seriesloom.operators.history import last_rows
 from seriesloom.operators.report import FORECAST, HISTORICAL, LOWER, UPPER
 from seriesloom.spec import PanelSpec
 
@@ -22,16 +22,19 @@ def target_with_band(
     """
     key, period, target = spec.series_key, spec.order_col, spec.target
     none = F.lit(None).cast("double")
-    numbered = with_positions(history.select(key, period, target), spec)
-    near_end = F.col("position") > F.col("length") - labelled
-    actual = numbered.select(
+    # only the last few rows of a series are looked for, not the place of every row
+    near_end = last_rows(history.select(key, period), spec, labelled)
+    marked = history.select(key, period, target).join(
+        near_end.withColumn("__labelled", F.lit(True)), [key, period], "left"
+    )
+    actual = marked.select(
         key,
         period,
         F.lit(HISTORICAL).alias("kind"),
         F.col(target).alias("value"),
         none.alias("lower"),
         none.alias("upper"),
-        F.when(near_end, millions_label(F.col(target))).alias("label"),
+        F.when(F.col("__labelled"), millions_label(F.col(target))).alias("label"),
     )
     expected = forecast.select(
         key,

@@ -13,6 +13,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from seriesloom.functions.arithmetic import lenient_double, mean_of, pct_change, safe_ratio
 from seriesloom.operators.history import lag_name, with_lags
@@ -60,10 +61,9 @@ def full_feature_list(
         for v in spec.variables
         for suffix, kind in (("yoy_change", "change"), ("diff", "difference"))
     ]
-    for back in range(1, lookback + 1):
-        features += _lag_list(spec, back)
-        if back == 1:
-            features += changes
+    # Fixed value: the order of the features, with the changes after the first lags.
+    first, *others = [_lag_list(spec, back) for back in range(1, lookback + 1)] or [[]]
+    features += first + changes + [f for lags in others for f in lags]
     features += [Feature(RATIO, "ratio"), Feature(NATURAL, "natural"), Feature(TOTAL, "total")]
     features += [Feature(f"{v}_ma_{k}", "mean", v, k) for k in windows for v in spec.variables]
     return features
@@ -108,7 +108,8 @@ def render(feature: Feature, spec: PanelSpec, value: ValueAt, zero_base: str = "
         case "value":
             return value(column, 0)
         case "square":
-            period = value(column, 0).cast("bigint")
+            # as a double: the square of a period in milliseconds is no bigint
+            period = value(column, 0).cast("double")
             return period * period
         case "lag":
             return value(column, rows)
@@ -134,8 +135,7 @@ def render_filled(
     expression = render(feature, spec, value, zero_base)
     if feature.kind == "value":
         return expression
-    zero = F.lit(0).cast("bigint") if feature.kind == "square" else F.lit(0.0)
-    return F.coalesce(expression, zero)
+    return F.coalesce(expression, F.lit(0.0))
 
 
 def lag_columns_at(column: str, back: int) -> Column:
@@ -159,15 +159,20 @@ def select_features(
     return lagged.select(spec.series_key, spec.order_col, spec.target, *made, *keep)
 
 
-def with_numeric_target(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Target as a double; unreadable values become missing."""
-    return df.withColumn(spec.target, lenient_double(F.col(spec.target)))
+def with_numeric_values(
+    df: DataFrame, spec: PanelSpec, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Target and drivers as doubles; what cannot be read, and NaN, becomes missing."""
+    columns = spec.variables if columns is None else columns
+    text = {c: isinstance(df.schema[c].dataType, StringType) for c in columns}
+    return df.withColumns({c: lenient_double(F.col(c), text[c]) for c in columns})
 
 
 def basic_features(df: DataFrame, spec: PanelSpec, lookback: int = LOOKBACK) -> DataFrame:
     """Drivers and lags; rows with any missing value are dropped."""
     features = basic_feature_list(spec, lookback)
-    return select_features(df, spec, features, filled=False).na.drop("any")
+    numeric = with_numeric_values(df, spec)
+    return select_features(numeric, spec, features, filled=False).na.drop("any")
 
 
 def full_features(
@@ -179,7 +184,7 @@ def full_features(
 ) -> DataFrame:
     """All features for all rows; missing derived values become 0."""
     features = full_feature_list(spec, lookback, windows)
-    return select_features(with_numeric_target(df, spec), spec, features, zero_base)
+    return select_features(with_numeric_values(df, spec), spec, features, zero_base)
 
 
 def feature_matrix(features: DataFrame, spec: PanelSpec) -> DataFrame:

@@ -1,9 +1,10 @@
 """Previous rows, row numbers and per-series values, without a whole series per task.
 
-With ``spec.block`` set, a series is cut at multiples of that many periods and
-every window runs per (series, block). What crosses a block's edge is small:
-the last few rows before it, or the number of rows before it. Those come from
-one row per block, and only that short list is ever ordered per series.
+Unless ``spec.pieces`` is None, a panel is cut by series and period into pieces of
+equal rows, whatever its periods count, and every window runs per (series,
+piece). What crosses a cut is small: the last few rows before it, or the number
+of rows before it. A series has at most as many such entries as there are
+pieces, and only they are ever ordered per series.
 """
 
 from __future__ import annotations
@@ -14,36 +15,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from seriesloom.session import written
 from seriesloom.spec import PanelSpec
 
-_BLOCK = "__block"
-
-# Periods at the end of a block, per row looked for, that are searched first.
-_MARGIN = 8
+PIECE = "__piece"
 
 
 def lag_name(column: str, back: int) -> str:
     return f"{column}_lag_{back}"
 
 
-def fitting_spec(df: DataFrame, spec: PanelSpec) -> PanelSpec:
-    """``spec`` without blocks if every series of ``df`` has at most one block of rows.
+def cut(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """``df`` written in pieces, each row with the number of its piece.
 
-    Counts the rows per series, so ``df`` should be a stored table. Cutting costs
-    a second pass over the rows; short series are better left in one piece.
+    Every operator on long series cuts a table that is not cut yet; do it once
+    where several of them read the same table.
     """
-    if spec.block is None:
-        return spec
-    lengths = df.groupBy(spec.series_key).agg(F.count("*").alias("rows"))
-    longest = lengths.agg(F.max("rows").alias("rows")).first()["rows"]
-    return spec.with_block(None) if (longest or 0) <= spec.block else spec
+    if spec.pieces is None or PIECE in df.columns:
+        return df
+    shuffled = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    ranged = df.repartitionByRange(spec.pieces or int(shuffled), spec.series_key, spec.order_col)
+    return written(ranged.withColumn(PIECE, F.spark_partition_id()), "pieces")
 
 
-def _with_block(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    period = F.col(spec.order_col).cast("bigint")
-    width = F.lit(spec.block).cast("bigint")
-    block = (period - F.pmod(period, width)) / width
-    return df.withColumn(_BLOCK, block.cast("bigint"))
+def _as_before(result: DataFrame, df: DataFrame) -> DataFrame:
+    """``result`` without the number of the piece, unless the input had it."""
+    return result if PIECE in df.columns else result.drop(PIECE)
 
 
 def _lags(columns: Sequence[str], depth: int, window) -> list[Column]:
@@ -64,110 +61,76 @@ def with_lags(
     columns = list(spec.variables if columns is None else columns)
     if depth < 1:
         return df
-    if spec.block is None:
+    if spec.pieces is None:
         series = W.partitionBy(spec.series_key).orderBy(spec.order_col)
         return df.select("*", *_lags(columns, depth, series))
 
-    blocked = _with_block(df, spec)
-    carried = _rows_before_each_block(blocked, spec, depth, columns)
-    rows = blocked.withColumn("__carried", F.lit(False)).unionByName(
+    pieces = cut(df, spec)
+    carried = _rows_before_each_piece(pieces, spec, depth, columns)
+    rows = pieces.withColumn("__carried", F.lit(False)).unionByName(
         carried.withColumn("__carried", F.lit(True)), allowMissingColumns=True
     )
-    within = W.partitionBy(spec.series_key, _BLOCK).orderBy(spec.order_col)
-    return (
-        rows.select("*", *_lags(columns, depth, within))
-        .filter(~F.col("__carried"))
-        .drop("__carried", _BLOCK)
-    )
+    within = W.partitionBy(spec.series_key, PIECE).orderBy(spec.order_col)
+    lagged = rows.select("*", *_lags(columns, depth, within)).filter(~F.col("__carried"))
+    return _as_before(lagged.drop("__carried"), df)
 
 
-def _rows_before_each_block(
-    blocked: DataFrame, spec: PanelSpec, depth: int, columns: Sequence[str]
+def _rows_before_each_piece(
+    pieces: DataFrame, spec: PanelSpec, depth: int, columns: Sequence[str]
 ) -> DataFrame:
-    """The last ``depth`` rows before each block, labelled with that block."""
+    """The last ``depth`` rows of a series before each of its pieces, labelled with that piece."""
     key, period = spec.series_key, spec.order_col
-    latest_first = W.partitionBy(key, _BLOCK).orderBy(F.desc(period))
+    latest_first = W.partitionBy(key, PIECE).orderBy(F.desc(period))
     ends = (
-        _rows_near_block_ends(blocked, spec, depth, columns)
+        pieces.select(key, PIECE, period, *columns)
         .withColumn("__rank", F.row_number().over(latest_first))
         .filter(F.col("__rank") <= depth)
-        .groupBy(key, _BLOCK)
+        .groupBy(key, PIECE)
         .agg(F.array_sort(F.collect_list(F.struct(period, *columns))).alias("__end"))
     )
-    blocks = blocked.select(key, _BLOCK).distinct().join(ends, [key, _BLOCK], "left")
-    # a block holds at least one row, so depth blocks hold depth rows
-    in_order = W.partitionBy(key).orderBy(_BLOCK)
+    # a piece of a series holds at least one row, so depth pieces hold depth rows
+    in_order = W.partitionBy(key).orderBy(PIECE)
     ends_before = [F.lag("__end", back).over(in_order) for back in range(depth, 0, -1)]
     earlier = F.flatten(F.array_compact(F.array(*ends_before)))
-    rows = blocks.select(key, _BLOCK, earlier.alias("__rows"))
+    rows = ends.select(key, PIECE, earlier.alias("__rows"))
     first = F.greatest(F.lit(1), F.size("__rows") - depth + 1)
-    return rows.select(key, _BLOCK, F.inline(F.slice("__rows", first, depth)))
-
-
-def _rows_near_block_ends(
-    blocked: DataFrame, spec: PanelSpec, depth: int, columns: Sequence[str]
-) -> DataFrame:
-    """Rows among which the last ``depth`` of every block with a successor are found.
-
-    Usually they lie in the last few periods of the block, which a filter finds.
-    A count per block tells where it does not, and all rows of those blocks are
-    taken. Sorting every row to pick the last ones costs as much as the lags.
-    """
-    key, period = spec.series_key, spec.order_col
-    margin = min(spec.block, _MARGIN * depth)
-    place = F.pmod(F.col(period).cast("bigint"), F.lit(spec.block).cast("bigint"))
-    near_end = place >= spec.block - margin
-    rows = blocked.select(key, _BLOCK, period, *columns)
-    if margin == spec.block:
-        return rows
-    counts = blocked.groupBy(key, _BLOCK).agg(
-        F.count("*").alias("__size"), F.count_if(near_end).alias("__near")
-    )
-    in_order = W.partitionBy(key).orderBy(_BLOCK)
-    sparse = (
-        counts.withColumn("__next", F.lead(_BLOCK).over(in_order))
-        .filter(F.col("__next").isNotNull())
-        .filter(F.col("__near") < F.least("__size", F.lit(depth)))
-        .select(key, _BLOCK)
-    )
-    others = rows.filter(~near_end).join(sparse, [key, _BLOCK])
-    return rows.filter(near_end).unionByName(others)
+    return rows.select(key, PIECE, F.inline(F.slice("__rows", first, depth)))
 
 
 def with_positions(
     df: DataFrame, spec: PanelSpec, position: str = "position", length: str = "length"
 ) -> DataFrame:
     """Add the 1-based row number in period order and the number of rows of the series."""
-    return _positions(df, spec, [spec.order_col], position, length)
+    numbered = _positions(cut(df, spec), spec, [spec.order_col], PIECE, position, length)
+    return _as_before(numbered, df)
 
 
 def _positions(
     df: DataFrame,
     spec: PanelSpec,
     order: Sequence[str],
+    piece: str,
     position: str,
     length: str,
-    block: Column | None = None,
 ) -> DataFrame:
     key = spec.series_key
-    if spec.block is None:
+    if spec.pieces is None:
         ordered = W.partitionBy(key).orderBy(*order)
         return df.select(
             "*",
             F.row_number().over(ordered).cast("bigint").alias(position),
             F.count("*").over(W.partitionBy(key)).alias(length),
         )
-    blocked = _with_block(df, spec) if block is None else df.withColumn(_BLOCK, block)
-    sizes = blocked.groupBy(key, _BLOCK).agg(F.count("*").alias("__size"))
-    earlier = W.partitionBy(key).orderBy(_BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    sizes = df.groupBy(key, piece).agg(F.count("*").alias("__size"))
+    earlier = W.partitionBy(key).orderBy(piece).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
         key,
-        _BLOCK,
+        piece,
         F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset"),
         F.sum("__size").over(W.partitionBy(key)).alias(length),
     )
-    within = W.partitionBy(key, _BLOCK).orderBy(*order)
-    numbered = blocked.join(offsets, [key, _BLOCK]).withColumn(
+    within = W.partitionBy(key, piece).orderBy(*order)
+    numbered = df.join(offsets, [key, piece]).withColumn(
         position, F.row_number().over(within) + F.col("__offset")
     )
     return numbered.select(*df.columns, position, length)
@@ -179,7 +142,9 @@ def with_hash_positions(
     """Like :func:`with_positions`, in the order of a hex digest column."""
     # four hex digits: 65,536 pieces of a series, in the order of the whole digest
     leading = F.conv(F.substring(digest, 1, 4), 16, 10).cast("bigint")
-    return _positions(df, spec, [digest, spec.order_col], position, length, leading)
+    split = df.withColumn("__leading", leading)
+    order = [digest, spec.order_col]
+    return _positions(split, spec, order, "__leading", position, length).drop("__leading")
 
 
 def last_rows(df: DataFrame, spec: PanelSpec, count: int, rank: str | None = None) -> DataFrame:
@@ -199,22 +164,23 @@ def join_series(
 ) -> DataFrame:
     """Join rows with one row per series.
 
-    A series that is cut into blocks is joined per block: the per-series row is
-    first copied to the blocks that exist, then met there by the block's rows.
+    A series that is cut into pieces is joined per piece: the per-series row is
+    first copied to the pieces that exist, then met there by the piece's rows.
     """
     key = spec.series_key
-    if spec.block is None:
+    if spec.pieces is None:
         return df.join(per_series, key, how)
-    blocked = _with_block(df, spec)
-    per_block = blocked.select(key, _BLOCK).distinct().join(per_series, key)
-    return blocked.join(per_block, [key, _BLOCK], how).drop(_BLOCK)
+    pieces = cut(df, spec)
+    per_piece = pieces.select(key, PIECE).distinct().join(per_series, key)
+    return _as_before(pieces.join(per_piece, [key, PIECE], how), df)
 
 
 def with_min_length(df: DataFrame, spec: PanelSpec, rows: int) -> DataFrame:
     """Rows of the series that have at least ``rows`` rows."""
-    if spec.block is None:
+    if spec.pieces is None:
         counted = df.withColumn("__length", F.count("*").over(W.partitionBy(spec.series_key)))
         return counted.filter(F.col("__length") >= rows).drop("__length")
-    lengths = df.groupBy(spec.series_key).agg(F.count("*").alias("__length"))
+    pieces = cut(df, spec)
+    lengths = pieces.groupBy(spec.series_key).agg(F.count("*").alias("__length"))
     long_enough = lengths.filter(F.col("__length") >= rows).select(spec.series_key)
-    return join_series(df, long_enough, spec)
+    return _as_before(join_series(pieces, long_enough, spec), df)

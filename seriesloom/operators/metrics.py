@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesloom.operators.history import cut
 from seriesloom.operators.split import TEST_SIZE, split_time_ordered
 from seriesloom.operators.trend import fitted, with_lines
 from seriesloom.session import written
@@ -61,12 +62,12 @@ def trend_predictions(
 ) -> DataFrame:
     """Target, split flag and the line fitted to the training rows, for every row.
 
-    For series cut into blocks the split is read three times (lines, blocks,
-    rows) and is written once instead of shuffled for each.
+    Where series are cut into pieces, the flagged rows are read by the fit and by
+    the join with its lines, and are written once in between.
     """
     rows = df.select(spec.series_key, spec.order_col, spec.target)
-    split = split_time_ordered(rows, spec, test_size)
-    if spec.block is not None:
+    split = split_time_ordered(cut(rows, spec), spec, test_size)
+    if spec.pieces is not None:
         split = written(split, "split")
     lined = with_lines(split, spec, [spec.target], where=~F.col("is_test"))
     return lined.select(

@@ -19,9 +19,9 @@ from seriesloom.operators.features import (
     Feature,
     feature_list,
     select_features,
-    with_numeric_target,
+    with_numeric_values,
 )
-from seriesloom.operators.history import with_positions
+from seriesloom.operators.history import cut, with_positions
 from seriesloom.operators.metrics import score, score_by_series
 from seriesloom.operators.split import SEED, TEST_SIZE, split_random
 from seriesloom.session import written
@@ -165,7 +165,7 @@ def training_table(
     the last ``test_size`` of what comes before. ``drop_warmup`` leaves out the
     rows whose lags reach before the start of the series.
     """
-    numeric = with_numeric_target(panel, spec).select(*spec.columns)
+    numeric = cut(with_numeric_values(panel, spec).select(*spec.columns), spec)
     features = choice.features(spec)
     flags = ["is_test", "is_validation"]
     if not choice.filled:

@@ -21,7 +21,7 @@ from seriesloom.operators.features import (
     depth_of,
     render,
     render_filled,
-    with_numeric_target,
+    with_numeric_values,
 )
 from seriesloom.operators.history import last_rows
 from seriesloom.operators.model import TrainedModel
@@ -46,7 +46,7 @@ def series_state(panel: DataFrame, spec: PanelSpec, depth: int) -> DataFrame:
     Series without a line for every driver have no state.
     """
     depth = max(depth, 1)
-    numeric = with_numeric_target(panel, spec).select(*spec.columns)
+    numeric = with_numeric_values(panel, spec).select(*spec.columns)
     rank = F.col("__rank")
     held = [
         F.max(F.when(rank == back + 1, F.col(v))).alias(_held(v, back))

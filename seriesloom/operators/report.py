@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from seriesloom.functions.arithmetic import (
     band,
     in_millions,
-    lenient_double,
     pct_change,
     round_even,
     step_change,
     whole_part,
 )
 from seriesloom.functions.text import fixed, left_aligned, plain, with_commas
-from seriesloom.operators.history import lag_name, with_lags
+from seriesloom.operators.features import with_numeric_values
+from seriesloom.operators.history import PIECE, lag_name, last_rows, with_lags
 from seriesloom.spec import PanelSpec
 
 CHANGE = "year_over_year_change"
@@ -152,50 +152,76 @@ def forecast_table(forecast: DataFrame, spec: PanelSpec) -> DataFrame:
     return forecast.select(spec.series_key, *columns).toDF(spec.series_key, *TABLE_NAMES)
 
 
-def history_and_forecast(history: DataFrame, forecast: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Actual and forecast values in one table, with the change from row to row."""
+def history_and_forecast(
+    history: DataFrame, forecast: DataFrame, spec: PanelSpec, zero_base: str = "null"
+) -> DataFrame:
+    """Actual and forecast values in one table, with the change from row to row.
+
+    The history is lagged by itself. Of it, the forecast needs one value per
+    series: that of the last row, which its first row is compared with.
+    """
     year, population, change, kind = COMBINED_NAMES
-    key = spec.series_key
-    parts = [
-        part.select(
+    key, period, target = spec.series_key, spec.order_col, spec.target
+    numeric = with_numeric_values(history, spec, [target])
+    actual = with_lags(numeric.select(*_known(history, key, period, target)), spec, 1, [target])
+    last = last_rows(numeric.select(key, period, target), spec, 1).select(
+        key, F.col(target).alias("__last")
+    )
+    steps = W.partitionBy(key).orderBy(period)
+    expected = with_numeric_values(forecast, spec, [target]).join(last, key, "left")
+    before = F.when(F.row_number().over(steps) == 1, F.col("__last")).otherwise(
+        F.lag(target).over(steps)
+    )
+
+    def shown(part: DataFrame, previous: Column, label: str) -> DataFrame:
+        moved = pct_change(F.col(target), previous, zero_base)
+        return part.select(
             key,
-            F.col(spec.order_col).alias(year),
-            lenient_double(F.col(spec.target)).alias(population),
+            F.col(period).alias(year),
+            round_even(F.col(target), 0).cast("bigint").alias(population),
+            round_even(moved, 2).alias(change),
             F.lit(label).alias(kind),
         )
-        for part, label in ((history, HISTORICAL), (forecast, FORECAST))
-    ]
-    table_spec = PanelSpec(key, year, population, spec.drivers, spec.origin, spec.block)
-    lagged = with_lags(parts[0].unionByName(parts[1]), table_spec, 1, [population])
-    moved = pct_change(F.col(population), F.col(lag_name(population, 1)))
-    return lagged.select(
-        key,
-        year,
-        round_even(F.col(population), 0).cast("bigint").alias(population),
-        round_even(moved, 2).alias(change),
-        kind,
+
+    return shown(actual, F.col(lag_name(target, 1)), HISTORICAL).unionByName(
+        shown(expected, before, FORECAST)
     )
 
 
+def _known(df: DataFrame, *columns: str) -> list[str]:
+    """The columns, and the number of the piece where the table is cut already."""
+    return [*columns, *[PIECE for _ in range(PIECE in df.columns)]]
+
+
 def sorted_by_period(table: DataFrame, spec: PanelSpec, period: str = "Year") -> DataFrame:
     """Rows in display order."""
     return table.orderBy(spec.series_key, period)
 
 
+# The labels of the texts below.
+RATE_LABELS = (" (Birth Rate: ", ", Death Rate: ", ", Migration: ", ")")
+CURRENT_LABEL = "Current Population"
+FORECAST_LABEL = "Forecasted Population"
+CHANGE_LABEL = "Total Change: "
+GROWTH_LABEL = "Average Annual Growth Rate: "
+SLOPE_LABELS = ("Population trend: ", " people per year")
+
+
 def historical_lines(history: DataFrame, spec: PanelSpec) -> DataFrame:
     """One line of text per period: value and the three rates."""
+    before_birth, before_death, before_migration, end = map(F.lit, RATE_LABELS)
     birth, death, migration = (plain(F.col(d)) for d in spec.drivers)
     line = F.concat(
         F.col(spec.order_col).cast("string"),
         F.lit(": "),
         with_commas(whole_part(F.col(spec.target))),
-        F.lit(" (Birth Rate: "),
+        before_birth,
         birth,
-        F.lit(", Death Rate: "),
+        before_death,
         death,
-        F.lit(", Migration: "),
+        before_migration,
         migration,
-        F.lit(")"),
+        end,
     )
     return history.select(spec.series_key, spec.order_col, line.alias("line"))
 
@@ -223,19 +249,19 @@ def summary_lines(report: DataFrame, spec: PanelSpec) -> DataFrame:
         return F.concat(F.lit(f"{name} ("), period, F.lit("): "), with_commas(value))
 
     total = F.concat(
-        F.lit("Total Change: "),
+        F.lit(CHANGE_LABEL),
         with_commas(F.col("total_change")),
         F.lit(" ("),
         fixed(F.col("percent_change"), 2, "%"),
         F.lit(")"),
     )
     growth = F.concat(
-        F.lit("Average Annual Growth Rate: "), fixed(F.col("avg_annual_growth"), 2, "%")
+        F.lit(GROWTH_LABEL), fixed(F.col("avg_annual_growth"), 2, "%")
     )
     return report.select(
         spec.series_key,
-        labelled("Current Population", last, F.col("current_population")).alias("current_line"),
-        labelled("Forecasted Population", final, F.col("forecast_population")).alias(
+        labelled(CURRENT_LABEL, last, F.col("current_population")).alias("current_line"),
+        labelled(FORECAST_LABEL, final, F.col("forecast_population")).alias(
             "forecast_line"
         ),
         total.alias("change_line"),
@@ -246,6 +272,6 @@ def summary_lines(report: DataFrame, spec: PanelSpec) -> DataFrame:
 def slope_lines(slopes: DataFrame, spec: PanelSpec, slope: str = "slope") -> DataFrame:
     """The trend per period as text, one row per series."""
     line = F.concat(
-        F.lit("Population trend: "), with_commas(F.col(slope)), F.lit(" people per year")
+        F.lit(SLOPE_LABELS[0]), with_commas(F.col(slope)), F.lit(SLOPE_LABELS[1])
     )
     return slopes.select(spec.series_key, line.alias("line"))

@@ -57,10 +57,10 @@ def with_lines(
     """Every row with the lines of its series.
 
     Series in one piece are already together for a window, so the lines cost no
-    join; series cut into blocks get them from :func:`fit_lines`.
+    join; series cut into pieces get them from :func:`fit_lines`.
     """
     columns = spec.variables if columns is None else columns
-    if spec.block is not None:
+    if spec.pieces is not None:
         return join_series(df, fit_lines(df, spec, columns, where), spec)
     series = W.partitionBy(spec.series_key)
     lines = _line_aggregates(spec, columns, where)

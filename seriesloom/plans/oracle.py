@@ -101,7 +101,7 @@ def _full_features(panel: str, keys=("series_key", "year", "population")) -> str
     derived["birth_death_ratio"] = "birth_rate / nullif(death_rate, 0)"
     derived["natural_growth"] = "birth_rate - death_rate"
     derived["total_growth"] = "birth_rate - death_rate + migration_rate"
-    columns = [*keys, *RATES, "CAST(year AS BIGINT) * CAST(year AS BIGINT) AS year_squared"]
+    columns = [*keys, *RATES, "CAST(year AS DOUBLE) * CAST(year AS DOUBLE) AS year_squared"]
     columns += [f"coalesce({sql}, 0.0e0) AS {name}" for name, sql in derived.items()]
     return _select(panel, columns)
 
@@ -337,7 +337,12 @@ SELECT series_key, min(year) AS first_period, max(year) AS last_period, count(*)
        arg_max(population, year) AS last_value
 FROM panel GROUP BY 1"""
     sql["min_history_filter"] = _long_enough(DAYS)
-    sql["min_history_filter_long"] = _long_enough(SECONDS)
+    sql["min_history_filter_long"] = f"""WITH {SECONDS},
+lengths AS (SELECT series_key, count(*) AS n FROM panel GROUP BY series_key)
+SELECT {_list(["series_key", "year", *VARIABLES])} FROM panel
+WHERE series_key IN (
+  SELECT series_key FROM lengths WHERE n >= (SELECT ceil(avg(n)) FROM lengths)
+)"""
     sql["last_state"] = _last(DAYS, 1)
     sql["last_k_rows"] = _last(DAYS, 3)
     sql["last_k_rows_long"] = _last(SECONDS, 3)
@@ -464,6 +469,44 @@ SELECT series_key, year,
               ' (Birth Rate: ', birth_rate, ', Death Rate: ', death_rate,
               ', Migration: ', migration_rate, ')') AS line
 FROM panel"""
+    sql["formatted_slope"] = f"""WITH {MONTHS}, {_lines(MONTH_ORIGIN, ["population"])}
+SELECT series_key, concat('Population trend: ', {_commas("population_slope")}, ' people per year')
+         AS line
+FROM lines"""
+    edges = {
+        "half": "p_size / 8.0e0",
+        "cents": "p_size + 0.675e0",
+        "tiny": "p_size / 1000.0e0 * 0.0005e0",
+        "huge": "p_size * 1234567.0e0",
+        "below": "-p_size / 1000.0e0",
+    }
+    shown = [f"CAST({value} AS VARCHAR) AS {name}_plain" for name, value in edges.items()]
+    shown += [f"{_fixed(value, '%')} AS {name}_fixed" for name, value in edges.items()]
+    sql["formatted_edges"] = f"SELECT p_partkey, {_list(shown)} FROM part"
+    sql["missing_markers"] = """
+SELECT event_id,
+       CASE WHEN event_type NOT IN ('view', 'click', 'signup', 'error')
+            THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS from_text,
+       CASE WHEN event_type <> 'view' THEN value END AS from_double
+FROM events"""
+    sql["history_and_forecast_inf"] = f"""WITH {DAYS}, {_lines(DAY_ORIGIN, ["death_rate"])},
+combined AS (
+  SELECT series_key, year, death_rate, 'Historical' AS kind FROM panel
+  UNION ALL
+  SELECT series_key, CAST(last_period + step AS INTEGER),
+         death_rate_slope * CAST(last_period + step - {DAY_ORIGIN} AS DOUBLE)
+           + death_rate_intercept, 'Forecast'
+  FROM lines, (SELECT unnest(range(1, 7)) AS step)
+  WHERE death_rate_slope IS NOT NULL
+),
+moved AS (SELECT *, {_lag("death_rate", 1)} AS prior FROM combined)
+SELECT series_key, year AS "Year",
+       CASE WHEN prior = 0 AND death_rate > 0 THEN 'inf'
+            WHEN prior = 0 AND death_rate < 0 THEN '-inf' END AS infinite,
+       CASE WHEN prior <> 0 AND kind = 'Historical'
+            THEN round_even((death_rate / prior - 1) * 100, 2) + 0.0e0 END AS finite,
+       kind AS "Type"
+FROM moved"""
     label = "concat(CAST(trunc(population / 1.0e6) AS BIGINT), 'M')"
     sql["chart_target_band"] = f"""WITH {_banded()},
 steady AS (SELECT series_key, year, {_list(bounds)} FROM banded)

@@ -7,10 +7,12 @@ bits; everything else is returned as computed.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.functions import text
 from seriesloom.functions.arithmetic import lenient_double, pct_change, whole_part
 from seriesloom.operators import charts, features, history, metrics, model, recursion, report
 from seriesloom.operators import split, trend
@@ -119,10 +121,10 @@ def lenient_cast(spark, folder):
     """Order amounts as text, withheld for one priority, read back leniently."""
     orders = tables.read_table(spark, folder, "orders")
     amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    text = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a")).otherwise(amount)
+    withheld = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a")).otherwise(amount)
     return orders.select(
         "o_orderkey",
-        lenient_double(text).alias("amount"),
+        lenient_double(withheld).alias("amount"),
         lenient_double(F.col("o_orderpriority")).alias("priority"),
     )
 
@@ -142,7 +144,11 @@ def min_history_filter(spark, folder):
 
 @query
 def min_history_filter_long(spark, folder):
-    return history.with_min_length(once(seconds(spark, folder)), SECOND_SPEC, MIN_ROWS)
+    """The series of at least mean length; the mean is a single number."""
+    panel = history.cut(seconds(spark, folder), SECOND_SPEC)
+    lengths = panel.groupBy("series_key").count()
+    mean = lengths.agg(F.ceil(F.avg("count"))).first()[0]
+    return history.with_min_length(panel, SECOND_SPEC, mean or 0).drop(history.PIECE)
 
 
 @query
@@ -254,7 +260,7 @@ def features_basic(spark, folder):
 
 @query
 def features_basic_long(spark, folder):
-    return features.basic_features(once(seconds(spark, folder)), SECOND_SPEC)
+    return features.basic_features(seconds(spark, folder), SECOND_SPEC)
 
 
 @query
@@ -269,7 +275,7 @@ def features_full_nation_month(spark, folder):
 
 @query
 def features_full_long(spark, folder):
-    return features.full_features(once(seconds(spark, folder)), SECOND_SPEC)
+    return features.full_features(seconds(spark, folder), SECOND_SPEC)
 
 
 @query
@@ -293,7 +299,7 @@ def split_time_ordered(spark, folder):
 
 @query
 def split_time_ordered_long(spark, folder):
-    return split.split_time_ordered(_basic(once(seconds(spark, folder))), SECOND_SPEC)
+    return split.split_time_ordered(_basic(seconds(spark, folder)), SECOND_SPEC)
 
 
 @query
@@ -315,7 +321,7 @@ def metrics_by_series(spark, folder):
 
 @query
 def metrics_by_series_long(spark, folder):
-    predicted = metrics.trend_predictions(once(seconds(spark, folder)), SECOND_SPEC)
+    predicted = metrics.trend_predictions(seconds(spark, folder), SECOND_SPEC)
     return rounded(metrics.score_by_series(predicted, SECOND_SPEC), METRIC_BITS)
 
 
@@ -405,11 +411,29 @@ def history_and_forecast(spark, folder):
 
 @query
 def history_and_forecast_long(spark, folder):
-    panel = once(seconds(spark, folder))
+    panel = history.cut(seconds(spark, folder), SECOND_SPEC)
     lines = trend.line_forecast(panel, SECOND_SPEC, columns=["population"])
     return report.history_and_forecast(panel, lines, SECOND_SPEC)
 
 
+@query
+def history_and_forecast_inf(spark, folder):
+    """User-day counts of errors as the target: changes from 0 are infinite, shown as text."""
+    spec = replace(DAY_SPEC, target="death_rate", drivers=("birth_rate", "migration_rate", "population"))
+    panel = once(days(spark, folder))
+    lines = trend.line_forecast(panel, spec, columns=["death_rate"])
+    table = report.history_and_forecast(panel, lines, spec, zero_base="inf")
+    change = F.col("YoY Change (%)")
+    infinite = F.abs(change) == float("inf")
+    return table.select(
+        "series_key",
+        "Year",
+        F.when(infinite, F.when(change > 0, "inf").otherwise("-inf")).alias("infinite"),
+        F.when(~infinite & (F.col("Type") == report.HISTORICAL), change).alias("finite"),
+        "Type",
+    )
+
+
 @query
 def formatted_summary(spark, folder):
     panel = once(months(spark, folder))
@@ -428,6 +452,46 @@ def historical_listing(spark, folder):
     return report.historical_lines(days(spark, folder), DAY_SPEC)
 
 
+@query
+def formatted_slope(spark, folder):
+    fitted = trend.fit_lines(months(spark, folder), MONTH_SPEC, ["population"])
+    slopes = fitted.select("series_key", F.col("population_slope").alias("slope"))
+    return report.slope_lines(slopes, MONTH_SPEC)
+
+
+@query
+def formatted_edges(spark, folder):
+    """Texts of halves, tiny and huge values made from the parts' sizes."""
+    size = F.col("p_size").cast("double")
+    values = {
+        "half": size / 8,
+        "cents": size + 0.675,
+        "tiny": size / 1000 * 0.0005,
+        "huge": size * 1234567.0,
+        "below": -size / 1000,
+    }
+    shown = [text.plain(v).alias(f"{n}_plain") for n, v in values.items()]
+    shown += [text.fixed(v, 2, "%").alias(f"{n}_fixed") for n, v in values.items()]
+    return tables.read_table(spark, folder, "part").select("p_partkey", *shown)
+
+
+@query
+def missing_markers(spark, folder):
+    """Event values as text of several kinds, read back: one missing marker for all of them."""
+    value = F.col("value").cast("decimal(18,2)").cast("string")
+    kinds = {"view": "nan", "click": "NaN", "signup": "", "error": "1.0d"}
+    kind = F.col("event_type")
+    written_as = value
+    for name, marker in kinds.items():
+        written_as = F.when(kind == name, F.lit(marker)).otherwise(written_as)
+    not_a_number = F.when(kind == "view", F.lit(float("nan"))).otherwise(F.col("value"))
+    return tables.read_table(spark, folder, "events").select(
+        "event_id",
+        lenient_double(written_as).alias("from_text"),
+        lenient_double(not_a_number, text=False).alias("from_double"),
+    )
+
+
 @query
 def chart_target_band(spark, folder):
     panel = once(months(spark, folder))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.operators import charts, model, recursion, report, trend
-from seriesloom.operators.history import fitting_spec
+from seriesloom.operators.history import cut
 from seriesloom.operators.trend import HORIZON
 from seriesloom.session import written
 from seriesloom.sources.panel_csv import write_csv
@@ -63,11 +63,11 @@ def run_forecast(
 
     ``options`` go to :func:`seriesloom.operators.model.train`; ``RUN_OPTIONS``
     are those of the published run. Panel and forecast are written to the shared
-    folder once and read by every later step; the lengths of the stored series
-    decide whether they are cut into blocks.
+    folder once and read by every later step; the panel in pieces, unless
+    ``spec.pieces`` is None.
     """
-    panel = written(panel.select(*spec.columns), "panel")
-    spec = fitting_spec(panel, spec)
+    panel = panel.select(*spec.columns)
+    panel = written(panel, "panel") if spec.pieces is None else cut(panel, spec)
     settings = RUN_SETTINGS if settings is None else settings
     trained = model.train(panel, spec, settings, **options)
     if model_path:
@@ -85,7 +85,7 @@ def run_forecast(
         report=full_report,
         summary=report.summary_lines(full_report, spec),
         forecast_table=report.forecast_table(forecast, spec),
-        combined_table=report.sorted_by_period(combined, spec),
+        combined_table=combined,
         chart_band=charts.target_with_band(panel, forecast, spec),
         chart_indicators=charts.indicators_long(panel, forecast, spec),
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +25,22 @@ def local_session(cpus: int | str = "*", app: str = "seriesloom", **conf: str) -
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+def use_shared_dir(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder for a session that names none itself."""
+    if not _named(spark):
+        spark.sparkContext.setCheckpointDir(folder)
 
-    Only a local master, where driver and executors are one process, may fall
-    back to a temporary folder of this machine.
-    """
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named
-    set_on_context = spark.sparkContext.getCheckpointDir()
-    if set_on_context:
-        return set_on_context
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    fallback = tempfile.mkdtemp(prefix="seriesloom-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return spark.sparkContext.getCheckpointDir()
+
+def _named(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the session names it."""
+    named = _named(spark)
+    if not named:
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
+    return named
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -59,4 +57,25 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _written_by(spark).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Paths of the tables written for each application.
+_PATHS: dict[str, list[str]] = {}
+
+
+def _written_by(spark: SparkSession) -> list[str]:
+    return _PATHS.setdefault(spark.sparkContext.applicationId, [])
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete the tables that :func:`written` made for this application.
+
+    To be called when all results are stored: tables returned before read them.
+    """
+    paths = _written_by(spark)
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while paths:
+        path = java(paths.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -18,12 +18,11 @@ from seriesloom.spec import PanelSpec
 # A row per month or day: the calendar bounds the rows of a series, whatever the
 # size of the tables, so series stay in one piece. Origins are the first period
 # of the tables (January 1995; 2024-01-01 as days since 1970-01-01).
-MONTH_SPEC = PanelSpec(origin=1995 * 12, block=None)
-DAY_SPEC = PanelSpec(origin=19723, block=None)
+MONTH_SPEC = PanelSpec(origin=1995 * 12, pieces=None)
+DAY_SPEC = PanelSpec(origin=19723, pieces=None)
 
-# A row per second and only a few event types: few, very long series, cut into hours.
-SECONDS_PER_HOUR = 3600
-SECOND_SPEC = PanelSpec(origin=19723 * 86_400, block=SECONDS_PER_HOUR)
+# A row per second and only a few event types: few, very long series, cut into pieces.
+SECOND_SPEC = PanelSpec(origin=19723 * 86_400)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

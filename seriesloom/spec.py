@@ -6,9 +6,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
-# A block of this many periods is small for one task, and the few rows copied
-# over its edge are lost in it.
-DEFAULT_BLOCK = 65_536
+# As many pieces as the session has shuffle partitions.
+AS_SESSION = 0
 
 
 @dataclass(frozen=True)
@@ -20,10 +19,11 @@ class PanelSpec:
     ``origin`` is subtracted from the period before lines are fitted. Any value
     is right; one near the data keeps more digits.
 
-    ``block`` is the width, in periods, of the pieces a series is cut into so
-    that no single task has to hold a whole series. ``None`` keeps each series
-    in one piece: one shuffle fewer, and safe where the calendar bounds the
-    number of rows per series (a row per month or day, say).
+    ``pieces`` is the number of pieces of equal rows that a panel is cut into,
+    by series and period, so that no single task has to hold a whole series; by
+    default as many as the session has shuffle partitions. ``None`` keeps each
+    series in one piece: it saves writing the pieces, and is safe where the
+    calendar bounds the number of rows per series (a row per month or day, say).
     """
 
     series_key: str = "series_key"
@@ -31,13 +31,13 @@ class PanelSpec:
     target: str = "population"
     drivers: tuple[str, str, str] = ("birth_rate", "death_rate", "migration_rate")
     origin: int = 0
-    block: int | None = DEFAULT_BLOCK
+    pieces: int | None = AS_SESSION
 
     def __post_init__(self):
         if len(self.drivers) != 3:
             raise ValueError("drivers must name the birth, death and migration rate")
-        if self.block is not None and self.block < 1:
-            raise ValueError("block must be at least one period wide")
+        if self.pieces is not None and self.pieces < 0:
+            raise ValueError("a panel cannot be cut into less than one piece")
 
     @property
     def variables(self) -> tuple[str, ...]:
@@ -47,8 +47,8 @@ class PanelSpec:
     def columns(self) -> tuple[str, ...]:
         return (self.series_key, self.order_col, *self.variables)
 
-    def with_block(self, block: int | None) -> PanelSpec:
-        return replace(self, block=block)
+    def with_pieces(self, pieces: int | None) -> PanelSpec:
+        return replace(self, pieces=pieces)
 
     def schema(
         self,

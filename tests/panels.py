@@ -4,7 +4,7 @@ import random
 
 from seriesloom.spec import PanelSpec
 
-WHOLE = PanelSpec(block=None)
+WHOLE = PanelSpec(pieces=None)
 
 VALUES = "population double, birth_rate double, death_rate double, migration_rate double"
 SCHEMA = f"series_key long, year int, {VALUES}"

@@ -146,7 +146,7 @@ def test_text_target_is_read_leniently(spark):
 
 
 def test_other_names_lookback_and_windows(spark):
-    spec = PanelSpec("shop", "week", "sales", ("a", "b", "c"), block=4)
+    spec = PanelSpec("shop", "week", "sales", ("a", "b", "c"), pieces=4)
     schema = "shop string, week int, sales double, a double, b double, c double"
     panel = make(spark, [("x", t, t * 1.0, 1.0, 2.0, 3.0) for t in range(9)], schema)
     made = features.full_features(panel, spec, lookback=1, windows=(5,))
@@ -160,7 +160,7 @@ def test_spec_is_checked():
     with pytest.raises(ValueError):
         PanelSpec(drivers=("a", "b"))
     with pytest.raises(ValueError):
-        PanelSpec(block=0)
+        PanelSpec(pieces=-1)
 
 
 def in_pandas(rows):
@@ -190,7 +190,7 @@ def in_pandas(rows):
 @pytest.mark.parametrize("block", [None, 6])
 def test_all_features_against_pandas(spark, seed, block):
     rows = random_rows(seed, series=3)
-    spec = WHOLE.with_block(block)
+    spec = WHOLE.with_pieces(block)
     made = features.full_features(make(spark, rows), spec, zero_base="inf")
     got = {(r["series_key"], r["year"]): r.asDict() for r in made.collect()}
     assert len(got) == len(rows)

@@ -1,13 +1,14 @@
-"""Cutting series into blocks never shows in a result."""
+"""Cutting a panel into pieces never shows in a result."""
 
 import math
 
 import pytest
 
 from panels import SCHEMA, WHOLE, by_key, make, random_rows
+from plans import executed
 from seriesloom.operators import features, history, metrics, report, split, trend
 
-BLOCKS = (1, 7, 30, 60)
+PIECES = (1, 3, 8, 40)
 
 
 def plain(rows):
@@ -38,42 +39,34 @@ OPERATORS = {
 }
 
 
-@pytest.mark.parametrize("block", BLOCKS)
+@pytest.mark.parametrize("pieces", PIECES)
 @pytest.mark.parametrize("name", sorted(OPERATORS))
-def test_blocks_do_not_show(panel, name, block):
+def test_cuts_do_not_show(panel, name, pieces):
     operator = OPERATORS[name]
     whole = operator(panel, WHOLE)
-    cut = operator(panel, WHOLE.with_block(block))
+    cut = operator(panel, WHOLE.with_pieces(pieces))
     order = ("series_key", "Year") if name == "combined" else ("series_key", "year")
     assert cut.columns == whole.columns
     assert plain(by_key(cut, *order)) == plain(by_key(whole, *order))
 
 
-@pytest.mark.parametrize("block", BLOCKS)
-def test_blocks_do_not_show_in_errors(panel, block):
+@pytest.mark.parametrize("pieces", PIECES)
+def test_cuts_do_not_show_in_errors(panel, pieces):
     def errors(spec):
         predicted = metrics.trend_predictions(panel, spec)
         return by_key(metrics.score_by_series(predicted, spec), "series_key")
 
-    for cut, whole in zip(errors(WHOLE.with_block(block)), errors(WHOLE), strict=True):
+    for cut, whole in zip(errors(WHOLE.with_pieces(pieces)), errors(WHOLE), strict=True):
         for name, value in whole.asDict().items():
             close = None if value is None else pytest.approx(value, rel=1e-9, abs=1e-9)
             assert cut[name] == close, name
 
 
-def test_short_series_are_left_whole(panel):
-    longest = panel.groupBy("series_key").count().agg({"count": "max"}).first()[0]
-    assert history.fitting_spec(panel, WHOLE.with_block(longest)).block is None
-    assert history.fitting_spec(panel, WHOLE.with_block(longest - 1)).block == longest - 1
-    assert history.fitting_spec(panel, WHOLE) == WHOLE
-    assert history.fitting_spec(panel.limit(0), WHOLE.with_block(3)).block is None
-
-
 def test_lags_against_brute_force(spark):
     rows = random_rows(11)
     got = {
         (r["series_key"], r["year"]): [r[f"population_lag_{i}"] for i in (1, 2, 3)]
-        for r in history.with_lags(make(spark, rows), WHOLE.with_block(5), 3).collect()
+        for r in history.with_lags(make(spark, rows), WHOLE.with_pieces(5), 3).collect()
     }
     series = {}
     for key, t, target, *_ in sorted(rows, key=lambda r: r[:2]):
@@ -84,12 +77,12 @@ def test_lags_against_brute_force(spark):
     assert len(got) == len(rows)
 
 
-@pytest.mark.parametrize("block", [40, 100, 1000])
-def test_lags_over_wide_gaps(spark, block):
-    """Blocks without rows, with a single row, and with rows only far from their end."""
+@pytest.mark.parametrize("pieces", [2, 5, 13])
+def test_lags_over_wide_gaps(spark, pieces):
+    """Pieces of several rows, of few and of a single one."""
     periods = [0, 1, 2, 5, 99, 101, 130, 750, 2001, 2002, 2003, 2500, 9000]
     rows = [(1, t, float(t), 1.0, 1.0, 1.0) for t in periods]
-    made = history.with_lags(make(spark, rows), WHOLE.with_block(block), 3)
+    made = history.with_lags(make(spark, rows), WHOLE.with_pieces(pieces), 3)
     for place, row in enumerate(by_key(made)):
         before = [float(t) for t in periods[max(0, place - 3) : place]][::-1]
         got = [row[f"population_lag_{i}"] for i in (1, 2, 3)]
@@ -102,7 +95,7 @@ def test_random_split_ranks_by_digest(spark):
     rows = random_rows(12)
     got = {
         (r["series_key"], r["year"])
-        for r in split.split_random(make(spark, rows), WHOLE.with_block(5), 0.3, 7).collect()
+        for r in split.split_random(make(spark, rows), WHOLE.with_pieces(5), 0.3, 7).collect()
         if r["is_test"]
     }
     expected = set()
@@ -123,21 +116,28 @@ def test_input_order_and_other_series_do_not_matter(spark):
         assert plain(by_key(made)) == reference
 
 
-def test_one_long_series_is_spread_over_tasks(spark):
+@pytest.mark.parametrize("unit", [1, 86_400, 60_000])
+def test_one_long_series_is_spread_over_tasks(spark, unit):
+    """Whatever a period counts: rows, seconds with a row a day, milliseconds with a row a minute."""
     from pyspark.sql import functions as F
 
     rows = 20_000
+    start = 0 if unit == 1 else 1_700_000_000
     panel = spark.range(rows).select(
-        F.lit(1).alias("series_key"),
-        F.col("id").alias("year"),
+        F.when(F.col("id") % 50 == 0, F.col("id") % 7 + 2).otherwise(1).alias("series_key"),
+        (F.col("id") * unit + start).alias("year"),
         *[F.col("id").cast("double").alias(v) for v in WHOLE.variables],
     )
+    pieces = history.cut(panel, WHOLE.with_pieces(16))
+    sizes = [r["count"] for r in pieces.groupBy(history.PIECE).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * rows / 16
     setting = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(setting, "false")
     try:
-        made = features.full_features(panel, WHOLE.with_block(100))
-        sizes = made.groupBy(F.spark_partition_id()).count().collect()
+        made = features.full_features(pieces, WHOLE)
+        assert executed(made).count("FileScan") <= 2
+        tasks = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset(setting)
-    assert sum(r["count"] for r in sizes) == rows
-    assert max(r["count"] for r in sizes) < rows / 2
+    assert sum(tasks) == rows
+    assert max(tasks) < rows / 2

@@ -178,7 +178,7 @@ def step_by_step(values, horizon):
 def test_rule_rolled_forward(spark, horizon, block):
     from seriesloom.operators.features import full_feature_list
 
-    spec = WHOLE.with_block(block)
+    spec = WHOLE.with_pieces(block)
     series = {1: [5.0, 9.0, 2.0, 7.0], 2: [4.0, 8.0], 3: [6.0]}
     rows = [
         (key, t, v, 1.0 * t, 2.0, 3.0)

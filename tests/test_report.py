@@ -127,7 +127,7 @@ def test_combined_table(spark, forecast):
 
 @pytest.mark.parametrize("block", [None, 2])
 def test_chart_labels(spark, block):
-    spec = WHOLE.with_block(block)
+    spec = WHOLE.with_pieces(block)
     history = one_series(spark, [4.2e6, 5.9e6, 6.0e6, 7.1e6])
     done = report.finish_forecast(trend.line_forecast(history, spec, 2), spec)
     rows = by_key(charts.target_with_band(history, done, spec))

@@ -38,7 +38,7 @@ def test_trend_run(spark):
 
 @pytest.mark.parametrize("blocks", [None, 5])
 def test_run_does_not_depend_on_blocks(spark, blocks):
-    run = run_trend(make(spark, wave()), WHOLE.with_block(blocks), 2)
+    run = run_trend(make(spark, wave()), WHOLE.with_pieces(blocks), 2)
     assert [r["year"] for r in by_key(run.forecast)] == [2024, 2025] * 3
 
 

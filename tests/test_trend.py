@@ -23,7 +23,7 @@ def test_exact_line(spark):
 @pytest.mark.parametrize("origin", [0, 2000, 5000])
 def test_origin_does_not_move_the_forecast(spark, origin):
     panel = one_series(spark, [5.0, 7.0, 8.0, 13.0])
-    spec = PanelSpec(origin=origin, block=None)
+    spec = PanelSpec(origin=origin, pieces=None)
     values = [r["population"] for r in by_key(trend.line_forecast(panel, spec, 2))]
     assert values == pytest.approx([14.5, 17.0], rel=1e-9)
 
@@ -43,7 +43,7 @@ def test_missing_values_do_not_count(spark):
 
 def test_only_the_chosen_rows_are_fitted(spark):
     panel = one_series(spark, [1.0, 2.0, 3.0, 100.0])
-    for spec in (WHOLE, WHOLE.with_block(2)):
+    for spec in (WHOLE, WHOLE.with_pieces(2)):
         lined = trend.with_lines(panel, spec, ["population"], panel["year"] < 2003)
         assert {round(r["population_slope"], 9) for r in lined.collect()} == {1.0}
         assert lined.count() == 4
