@@ -205,7 +205,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
                 {
                     "id": batch["id"],
                     "votes": [t.votes() for t in texts],
-                    "features": [t.features() for t in texts],
+                    "features": [t.features().astype(np.float16).tobytes() for t in texts],
                 }
             )
 
@@ -214,9 +214,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(docs[doc_id].alias("id"), docs[text].alias("text")).join(chosen, "id")
     rows = written(
-        texts.mapInPandas(run, "id long, votes array<byte>, features array<float>"), "features"
+        texts.mapInPandas(run, "id long, votes array<byte>, features binary"), "features"
     ).orderBy("id").limit(sample).toPandas()
-    features = np.array(rows["features"].tolist(), np.float32).reshape(len(rows), FEATURES)
+    features = np.frombuffer(b"".join(rows.pop("features")), np.float16).reshape(-1, FEATURES).astype(np.float32)
     marks = np.array(rows["votes"].tolist(), int).reshape(len(rows), len(LABELLERS))
     weights, bias = Scorer.train(features, labels.posterior(marks))
     return Scorer(labels, weights, bias)
