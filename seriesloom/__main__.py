@@ -10,7 +10,8 @@ from seriesloom.plans.run import RUN_OPTIONS, RUN_SETTINGS, run_forecast, run_tr
 from seriesloom.sources.panel_csv import read_panel, read_single_series
 from seriesloom.spec import PanelSpec
 
-SHOWN_ROWS = 20
+# Rows of a table that are printed; --report writes all rows of all tables.
+PREVIEW_ROWS = 20
 
 
 def _arguments() -> argparse.Namespace:
@@ -24,16 +25,16 @@ def _arguments() -> argparse.Namespace:
         "--as-published",
         action="store_true",
         help="train on all features and rows; stop after 50 rounds without progress on the test"
-        " rows (trains all iterations first)",
+        " rows",
     )
-    parser.add_argument("--report", help="folder for the forecast as CSV")
+    parser.add_argument("--report", help="folder for all tables, whole")
     parser.add_argument("--model", help="folder for the trained model")
     return parser.parse_args()
 
 
 def _show(title: str, table: DataFrame) -> None:
-    print(f"\n{title}:")
-    table.show(SHOWN_ROWS, truncate=False)
+    print(f"\n{title} (first {PREVIEW_ROWS} rows)")
+    table.show(PREVIEW_ROWS, truncate=False)
 
 
 def main() -> None:
@@ -45,14 +46,12 @@ def main() -> None:
     panel = read(spark, arguments.input, spec)
     order = [spec.series_key, spec.order_col]
     if arguments.trend:
-        run = run_trend(panel, spec, arguments.horizon)
-        _show("Historical Population Data", run.listing.orderBy(*order))
-        _show("Trend", run.slopes.orderBy(spec.series_key))
-        _show("Population Forecast", run.lines.orderBy(*order))
+        run = run_trend(panel, spec, arguments.horizon, arguments.report)
+        _show("History", run.listing.orderBy(*order))
+        _show("Slopes", run.slopes.orderBy(spec.series_key))
+        _show("Lines ahead", run.lines.orderBy(*order))
     else:
         settings = {**RUN_SETTINGS, "iterations": arguments.iterations}
-        if arguments.as_published:
-            settings["stopping"] = "patience"
         run = run_forecast(
             panel,
             spec,
@@ -62,11 +61,11 @@ def main() -> None:
             model_path=arguments.model,
             **(RUN_OPTIONS if arguments.as_published else {}),
         )
-        _show("Model Performance Metrics", run.metrics)
-        _show("Top 10 Important Features", run.importance.limit(10))
-        _show("Population Forecast Summary", run.summary.orderBy(spec.series_key))
-        _show("Detailed Population Forecasts", run.forecast_table.orderBy(spec.series_key, "Year"))
-        _show("Population Dynamics (Historical & Forecast)", run.combined_table)
+        _show("Errors", run.metrics)
+        _show("Most important features", run.importance.limit(10))
+        _show("Growth", run.summary.orderBy(spec.series_key))
+        _show("Forecast", run.forecast_table.orderBy(spec.series_key, "Year"))
+        _show("History and forecast", run.combined_table.orderBy(spec.series_key, "Year"))
     spark.stop()
 
 

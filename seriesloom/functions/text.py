@@ -15,8 +15,8 @@ def plain(value: Column) -> Column:
     """Shortest text of a double, with an exponent only below 1e-4 and from 1e16 on."""
     size = F.abs(value)
     text = value.cast("string")
-    small = _shortened(text.cast("decimal(38,24)").cast("string"))
-    large = _shortened(text.cast("decimal(38,16)").cast("string"))
+    small = _shortened(text.try_cast("decimal(38,24)").cast("string"))
+    large = _shortened(text.try_cast("decimal(38,16)").cast("string"))
     power = F.regexp_extract(text, "E(-?)([0-9]+)$", 2)
     sign = F.when(F.contains(text, F.lit("E-")), "-").otherwise("+")
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
@@ -62,7 +62,7 @@ def fixed(value: Column, digits: int, suffix: str = "") -> Column:
         .when(half & (lost < 0), F.floor(scaled).cast("double"))
         .otherwise(F.rint(scaled))
     )
-    places = F.abs(whole).cast("decimal(38,0)").cast("string")
+    places = F.abs(whole).try_cast("decimal(38,0)").cast("string")
     padded = F.lpad(places, F.greatest(F.length(places), F.lit(digits + 1)), F.lit("0"))
     negative = (value < 0) | (value.cast("string") == "-0.0")
     text = F.concat(
@@ -72,7 +72,9 @@ def fixed(value: Column, digits: int, suffix: str = "") -> Column:
         F.right(padded, F.lit(digits)),
         F.lit(suffix),
     )
-    return F.when(value.isNotNull(), text).otherwise(F.lit(MISSING))
+    # beyond the digits of a decimal a double is a whole number
+    wide = F.concat(F.printf(F.lit(f"%.{digits}f"), value), F.lit(suffix))
+    return F.when(value.isNotNull(), F.coalesce(text, wide)).otherwise(F.lit(MISSING))
 
 
 def millions_label(value: Column) -> Column:

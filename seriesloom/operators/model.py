@@ -41,24 +41,30 @@ BELOW_ALL = -1e300
 
 TOP_FEATURES = 10
 
+# Rounds trained before the first look at the validation errors.
+FIRST_ROUNDS = 64
+
 
 @dataclass(frozen=True)
 class BoostingParams:
     """Settings of the trainer; ``early_stopping_rounds`` of 0 or None never stops early.
 
+    ``stopping="patience"`` keeps the best round before the first
+    ``early_stopping_rounds`` rounds without progress on the validation rows.
+    It trains 64 rounds, then twice as many, and so on until the best one is
+    that far back, so it trains a few times the rounds it keeps.
     ``stopping="tolerance"`` is Spark's own rule: stop as soon as a round gains
     less than ``stopping_tolerance`` on the validation rows.
-    ``stopping="patience"`` keeps the best round before the first
-    ``early_stopping_rounds`` rounds without progress. It trains all iterations
-    first, then once more up to the best round, so it costs up to twice as much
-    as no early stop.
+
+    Either way the model that is kept is trained on the validation rows too,
+    unless those are the test rows.
     """
 
     iterations: int = 1000
     learning_rate: float = 0.05
     depth: int = 6
     early_stopping_rounds: int | None = 50
-    stopping: str = "tolerance"
+    stopping: str = "patience"
     stopping_tolerance: float = 0.0
     random_seed: int = SEED
     loss_function: str = "RMSE"
@@ -252,10 +258,11 @@ def fit(
     validate = stop_early and not known.filter("is_validation").isEmpty()
 
     rows = known.select("*", _assembled(spec, names))
-    if validate and params.stopping == "patience":
-        pipeline = _fit_with_patience(rows, spec, names, params)
-    else:
-        pipeline = _pipeline(spec, names, params, validate).fit(rows)
+    if validate:
+        count = _rounds(rows, spec, names, params)
+        params = replace(params, iterations=count)
+    kept = rows.filter(~F.col("is_test"))
+    pipeline = _pipeline(spec, names, params, validate=False).fit(kept)
 
     trained = TrainedModel(pipeline, spec, choice)
     scored = trained.predict(table).select(
@@ -274,20 +281,25 @@ def _pipeline(
     return Pipeline(stages=[assembler, _regressor(params, spec.target, validate)])
 
 
-def _fit_with_patience(
+def _rounds(
     rows: DataFrame, spec: PanelSpec, names: Sequence[str], params: BoostingParams
-) -> PipelineModel:
+) -> int:
+    """How many rounds the validation rows ask for."""
+    if params.stopping == "tolerance":
+        fitted = _pipeline(spec, names, params, validate=True).fit(rows)
+        return fitted.stages[-1].getNumTrees
     training = rows.filter(~F.col("is_validation"))
-    fitted = _pipeline(spec, names, params, validate=False).fit(training)
-    assembler, boosted = fitted.stages
-    # one pass over the validation rows gives the error after every round
-    unseen = assembler.transform(rows.filter("is_validation"))
-    errors = boosted.evaluateEachIteration(unseen, "squared")
-    best = best_round(errors, params.early_stopping_rounds)
-    if best == len(errors):
-        return fitted
-    shorter = replace(params, iterations=best)
-    return _pipeline(spec, names, shorter, validate=False).fit(training)
+    length = min(FIRST_ROUNDS, params.iterations)
+    while True:
+        trial = replace(params, iterations=length)
+        assembler, boosted = _pipeline(spec, names, trial, validate=False).fit(training).stages
+        # one pass over the validation rows gives the error after every round
+        unseen = assembler.transform(rows.filter("is_validation"))
+        errors = boosted.evaluateEachIteration(unseen, "squared")
+        best = best_round(errors, params.early_stopping_rounds)
+        if best + params.early_stopping_rounds <= length or length == params.iterations:
+            return best
+        length = min(2 * length, params.iterations)
 
 
 def best_round(errors: Sequence[float], patience: int) -> int:
@@ -306,7 +318,7 @@ def feature_importance(model: TrainedModel, top: int | None = None) -> DataFrame
 
     The importances are part of the model on the driver: a number per feature.
     """
-    spark = SparkSession.getActiveSession()
+    spark = _session(model)
     weights = model.pipeline.stages[-1].featureImportances.toArray()
     rows = [(n, float(w) * 100) for n, w in zip(model.feature_names, weights)]
     ranked = spark.createDataFrame(rows, "feature string, importance double").orderBy(
@@ -315,22 +327,38 @@ def feature_importance(model: TrainedModel, top: int | None = None) -> DataFrame
     return ranked if top is None else ranked.limit(top)
 
 
+def _session(model: TrainedModel) -> SparkSession:
+    """The session of the model's tables; the active one for a model without any."""
+    tables = [t for t in (model.scored, model.series_metrics) if t is not None]
+    return tables[0].sparkSession if tables else SparkSession.active()
+
+
 def save_model(model: TrainedModel | None, path: str) -> None:
-    """Write the model, what it needs to be used again, and its errors per series."""
+    """Write the model, what it needs to be used again, and its errors per series.
+
+    The errors may come from the folder that is written over, so they are copied first.
+    """
     if model is None:
         raise ValueError("the model has not been trained yet")
-    spark = SparkSession.getActiveSession()
+    spark = _session(model)
+    errors = model.series_metrics
+    if errors is not None:
+        errors = written(errors, "errors")
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    settings = json.dumps({"spec": asdict(model.spec), "choice": asdict(model.choice)})
-    spark.createDataFrame([(settings,)], "settings string").write.mode("overwrite").json(
+    if errors is not None:
+        errors.write.mode("overwrite").parquet(f"{path}/metrics")
+    kept = {
+        "spec": asdict(model.spec),
+        "choice": asdict(model.choice),
+        "has_errors": errors is not None,
+    }
+    spark.createDataFrame([(json.dumps(kept),)], "settings string").write.mode("overwrite").json(
         f"{path}/settings"
     )
-    if model.series_metrics is not None:
-        model.series_metrics.write.mode("overwrite").parquet(f"{path}/metrics")
 
 
 def load_model(spark: SparkSession, path: str) -> TrainedModel:
-    """Read a saved model; the band finds the errors that were saved with it."""
+    """Read a saved model; the band finds the errors if any were saved with it."""
     pipeline = PipelineModel.load(f"{path}/pipeline")
     row = spark.read.schema("settings string").json(f"{path}/settings").first()
     settings = json.loads(row["settings"])
@@ -342,5 +370,5 @@ def load_model(spark: SparkSession, path: str) -> TrainedModel:
         pipeline,
         PanelSpec(**spec),
         FeatureChoice(**choice),
-        series_metrics=spark.read.parquet(f"{path}/metrics"),
+        series_metrics=spark.read.parquet(f"{path}/metrics") if settings["has_errors"] else None,
     )

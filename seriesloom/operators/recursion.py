@@ -33,6 +33,10 @@ from seriesloom.spec import PanelSpec
 # Plans grow with each step; longer horizons write the states in between.
 STEPS_PER_PLAN = 12
 
+# Why a series has no forecast.
+TOO_SHORT = "fewer than two periods"
+NO_LAGS = "missing values among the last rows"
+
 Predict = Callable[[DataFrame], DataFrame]
 
 
@@ -43,9 +47,10 @@ def _held(column: str, back: int) -> str:
 def series_state(panel: DataFrame, spec: PanelSpec, depth: int) -> DataFrame:
     """One row per series: last period, last values and the drivers' lines.
 
-    Series without a line for every driver have no state.
+    A driver without a line is missing ahead, as it may be in training. Series
+    with a single row have no state.
     """
-    depth = max(depth, 1)
+    depth = max(depth, 2)
     numeric = with_numeric_values(panel, spec).select(*spec.columns)
     rank = F.col("__rank")
     held = [
@@ -54,10 +59,11 @@ def series_state(panel: DataFrame, spec: PanelSpec, depth: int) -> DataFrame:
         for back in range(depth)
     ]
     ends = last_rows(numeric, spec, depth, "__rank").groupBy(spec.series_key).agg(
-        F.max(spec.order_col).alias("last_period"), *held
+        F.max(spec.order_col).alias("last_period"), F.count("*").alias("__rows"), *held
     )
-    lines = fit_lines(numeric, spec, spec.drivers).na.drop("any")
-    return ends.join(lines, spec.series_key).withColumn(
+    lines = fit_lines(numeric, spec, spec.drivers)
+    several = ends.filter(F.col("__rows") > 1).drop("__rows")
+    return several.join(lines, spec.series_key).withColumn(
         "last_actual", F.col(_held(spec.target, 0))
     )
 
@@ -80,16 +86,18 @@ def recursive_steps(
     predict: Predict,
     horizon: int = HORIZON,
     filled: bool = True,
+    steps_per_plan: int = STEPS_PER_PLAN,
 ) -> DataFrame:
     """Forecast rows with target, drivers and the last actual value of their series.
 
     ``predict`` adds the column ``prediction`` to rows holding the features. The
     target of a step is unknown when its features are made, so features that
-    read it are missing, and 0 when ``filled``.
+    read it are missing, and 0 when ``filled``. After every ``steps_per_plan``
+    steps the states are written to the shared folder.
     """
     if horizon < 1:
         raise ValueError("horizon must be at least 1")
-    depth = max(depth_of(features), 1)
+    depth = max(depth_of(features), 2)
     state = series_state(panel, spec, depth)
     if not filled:
         needed = [_held(f.column, f.rows - 1) for f in features if f.rows]
@@ -98,7 +106,7 @@ def recursive_steps(
     step = _Step(spec, features, depth, filled, panel.schema[spec.order_col].dataType)
     for number in range(1, horizon + 1):
         state = step.advance(state, predict)
-        if number % STEPS_PER_PLAN == 0 and number < horizon:
+        if number % steps_per_plan == 0 and number < horizon:
             state = written(state, "states")
     return state.select(spec.series_key, "last_actual", F.inline("__steps")).select(
         *spec.columns, "last_actual"
@@ -163,6 +171,18 @@ def recursive_forecast(
     return finish_forecast(steps, spec, model.series_metrics)
 
 
+def coverage(panel: DataFrame, forecast: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Every series of the panel: whether it has a forecast, and if not, why."""
+    key = spec.series_key
+    rows = panel.groupBy(key).agg(F.count("*").alias("rows"))
+    made = forecast.select(key).distinct().withColumn("has_forecast", F.lit(True))
+    has = F.coalesce("has_forecast", F.lit(False))
+    reason = F.when(F.col("rows") < 2, TOO_SHORT).otherwise(NO_LAGS)
+    return rows.join(made, key, "left").select(
+        key, "rows", has.alias("has_forecast"), F.when(~has, reason).alias("reason")
+    )
+
+
 def mean_of_lags(spec: PanelSpec, features: Sequence[Feature]) -> Predict:
     """A rule in place of a model: the mean of the target's lags among the features."""
     lags = [F.col(f.name) for f in features if f.kind == "lag" and f.column == spec.target]

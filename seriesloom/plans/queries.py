@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seriesloom.functions import text
@@ -24,9 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _REGISTERED: dict[str, Query] = {}
 
-# Size of the registered models: enough rounds to show every part of the training.
-MODEL_SETTINGS = {"iterations": 20, "learning_rate": 0.1, "depth": 4}
-
 MIN_ROWS = 27
 
 
@@ -529,55 +527,169 @@ def recursive_forecast_linear(spark, folder):
     return rounded(steps, {d: RATE_BITS for d in DAY_SPEC.drivers}).drop("last_actual")
 
 
-def _model(spark, folder) -> model.TrainedModel:
-    return model.train(once(months(spark, folder)), MONTH_SPEC, MODEL_SETTINGS)
+# One model per application and folder: several queries look at the same one.
+_TRAINED: dict[tuple[str, str], tuple[DataFrame, model.TrainedModel]] = {}
+
+
+def _model(spark, folder) -> tuple[DataFrame, model.TrainedModel]:
+    """The stored panel and the model with its default settings, trained once."""
+    name = (spark.sparkContext.applicationId, folder)
+    if name not in _TRAINED:
+        panel = once(months(spark, folder))
+        _TRAINED[name] = panel, model.train(panel, MONTH_SPEC)
+    return _TRAINED[name]
+
+
+@query
+def training_table(spark, folder):
+    return model.training_table(months(spark, folder), MONTH_SPEC)
+
+
+@query
+def training_table_full(spark, folder):
+    choice = model.FeatureChoice("full")
+    return model.training_table(months(spark, folder), MONTH_SPEC, choice, drop_warmup=False)
+
+
+@query
+def mean_model_metrics(spark, folder):
+    """A model of trees without a split knows the mean of its rows, as SQL does."""
+    settings = {"depth": 0, "iterations": 2, "early_stopping_rounds": 0}
+    trained = model.train(months(spark, folder), MONTH_SPEC, settings)
+    return rounded(trained.metrics(), METRIC_BITS)
 
 
 @query
 def gbt_basic_metrics(spark, folder):
-    trained = model.train_basic(months(spark, folder), MONTH_SPEC, MODEL_SETTINGS)
+    trained = model.train_basic(months(spark, folder), MONTH_SPEC)
     return metrics.score(trained.scored, MONTH_SPEC, measures=("mae", "rmse"))
 
 
 @query
 def gbt_full_metrics(spark, folder):
-    return _model(spark, folder).metrics()
+    return _model(spark, folder)[1].metrics()
 
 
 @query
 def gbt_full_metrics_long(spark, folder):
-    panel = once(seconds(spark, folder))
-    return model.train(panel, SECOND_SPEC, MODEL_SETTINGS).metrics()
+    return model.train(seconds(spark, folder), SECOND_SPEC).metrics()
+
+
+@query
+def gbt_scored_rows(spark, folder):
+    """Rows the model was scored on, with their flags; predictions only as whether they are there."""
+    there = F.coalesce(F.abs("prediction") < float("inf"), F.lit(False))
+    scored = _model(spark, folder)[1].scored
+    return scored.withColumn("predicted", there).drop("prediction")
+
+
+@query
+def gbt_metric_checks(spark, folder):
+    """What holds for the errors of any useful model."""
+    row = _model(spark, folder)[1].metrics()
+    return row.select(
+        (F.col("train_rmse") >= F.col("train_mae")).alias("train_rmse_is_larger"),
+        (F.col("test_rmse") >= F.col("test_mae")).alias("test_rmse_is_larger"),
+        (F.col("train_r2").between(0, 1)).alias("fits_better_than_the_mean"),
+        (F.col("test_r2") <= 1).alias("test_r2_is_at_most_one"),
+    )
 
 
 @query
 def gbt_predictions(spark, folder):
-    return _model(spark, folder).scored
+    return _model(spark, folder)[1].scored
 
 
 @query
 def feature_importance(spark, folder):
-    return model.feature_importance(_model(spark, folder), model.TOP_FEATURES)
+    return model.feature_importance(_model(spark, folder)[1], model.TOP_FEATURES)
+
+
+@query
+def feature_importance_checks(spark, folder):
+    """All causal features by name, and whether shares add up and the first ten are the largest."""
+    trained = _model(spark, folder)[1]
+    every = model.feature_importance(trained)
+    first = model.feature_importance(trained, model.TOP_FEATURES).select("feature", F.lit(True).alias("is_first"))
+    total = every.agg(F.sum("importance").alias("total"))
+    least = every.join(first, "feature").agg(
+        F.min("importance").alias("least"), F.count("*").alias("firsts")
+    )
+    checks = total.withColumn("one", F.lit(1)).join(least.withColumn("one", F.lit(1)), "one")
+    marked = every.join(first, "feature", "left").withColumn("one", F.lit(1)).join(checks, "one")
+    larger = F.col("importance") >= F.col("least")
+    return marked.select(
+        "feature",
+        (F.abs(F.col("total") - 100) < 1e-6).alias("sums_to_100"),
+        (F.col("firsts") == model.TOP_FEATURES).alias("ten_are_first"),
+        F.when(F.col("is_first"), larger).otherwise(F.col("importance") <= F.col("least")).alias("in_order"),
+    )
 
 
 @query
 def model_round_trip(spark, folder):
-    """Predictions of a saved and loaded model next to those of the model itself."""
-    panel = once(months(spark, folder))
-    trained = model.train(panel, MONTH_SPEC, MODEL_SETTINGS)
+    """Whether a saved and loaded model predicts the same, also when saved over its own folder."""
+    panel, trained = _model(spark, folder)
     path = scratch_path(spark, "model")
     model.save_model(trained, path)
+    model.save_model(model.load_model(spark, path), path)
     loaded = model.load_model(spark, path)
     table = model.training_table(panel, loaded.spec, loaded.choice)
     again = loaded.predict(table).select("series_key", "year", "prediction")
     before = trained.scored.select(
         "series_key", "year", F.col("prediction").alias("prediction_before")
     )
-    return again.join(before, ["series_key", "year"])
+    errors = loaded.series_metrics.select("series_key", F.lit(True).alias("has_errors"))
+    return (
+        again.join(before, ["series_key", "year"])
+        .join(errors, "series_key")
+        .select(
+            "series_key",
+            "year",
+            (F.col("prediction") == F.col("prediction_before")).alias("same_prediction"),
+            "has_errors",
+        )
+    )
 
 
 @query
 def recursive_forecast(spark, folder):
-    panel = once(months(spark, folder))
-    trained = model.train(panel, MONTH_SPEC, MODEL_SETTINGS)
+    panel, trained = _model(spark, folder)
     return recursion.recursive_forecast(panel, trained)
+
+
+@query
+def recursive_forecast_checks(spark, folder):
+    """Periods and drivers of the boosted forecast, and how its columns agree."""
+    panel, trained = _model(spark, folder)
+    forecast = recursion.recursive_forecast(panel, trained)
+    value = F.col("population")
+    up, down = F.col("upper_bound") - value, value - F.col("lower_bound")
+    last = history.last_rows(panel, MONTH_SPEC, 1).select("series_key", F.col("population").alias("last"))
+    steps = W.partitionBy("series_key").orderBy("year")
+    before = F.coalesce(F.lag("population").over(steps), F.col("last"))
+    change = (value - before) / before * 100
+    checked = forecast.join(last, "series_key").select(
+        "series_key",
+        "year",
+        *MONTH_SPEC.drivers,
+        (F.abs(up - down) <= 1e-6 * F.abs(value)).alias("band_is_even"),
+        (F.abs(change - F.col("year_over_year_change")) < 1e-6).alias("change_agrees"),
+        (F.col("population_millions") * 1e6 - value < 1e-3).alias("millions_agree"),
+    )
+    return rounded(checked, {d: RATE_BITS for d in MONTH_SPEC.drivers})
+
+
+@query
+def forecast_coverage(spark, folder):
+    """Users with one day only, and users without one of the drivers, among all others."""
+    panel = once(days(spark, folder))
+    first = F.row_number().over(W.partitionBy("series_key").orderBy("year")) == 1
+    user = F.col("series_key")
+    thinned = panel.withColumn("first", first).filter((user % 10 != 0) | F.col("first")).drop("first")
+    thinned = thinned.withColumn("birth_rate", F.when(user % 10 != 1, F.col("birth_rate")))
+    picked = features.full_feature_list(DAY_SPEC)
+    steps = recursion.recursive_steps(
+        thinned, DAY_SPEC, picked, recursion.mean_of_lags(DAY_SPEC, picked)
+    )
+    return recursion.coverage(thinned, steps, DAY_SPEC)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from seriesloom.operators import charts, model, recursion, report, trend
 from seriesloom.operators.history import cut
@@ -48,6 +49,10 @@ class ForecastRun:
     combined_table: DataFrame
     chart_band: DataFrame
     chart_indicators: DataFrame
+    coverage: DataFrame
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "model"}
 
 
 def run_forecast(
@@ -59,7 +64,7 @@ def run_forecast(
     model_path: str | None = None,
     **options,
 ) -> ForecastRun:
-    """Train on the panel and roll it forward; optionally write report and model.
+    """Train on the panel and roll it forward; optionally write all tables and the model.
 
     ``options`` go to :func:`seriesloom.operators.model.train`; ``RUN_OPTIONS``
     are those of the published run. Panel and forecast are written to the shared
@@ -73,11 +78,9 @@ def run_forecast(
     if model_path:
         model.save_model(trained, model_path)
     forecast = written(recursion.recursive_forecast(panel, trained, horizon), "forecast")
-    if report_path:
-        write_csv(forecast, report_path)
     full_report = report.growth_report(panel, forecast, spec, trained.series_metrics)
     combined = report.history_and_forecast(panel, forecast, spec)
-    return ForecastRun(
+    run = ForecastRun(
         model=trained,
         metrics=trained.metrics(),
         importance=model.feature_importance(trained),
@@ -88,7 +91,21 @@ def run_forecast(
         combined_table=combined,
         chart_band=charts.target_with_band(panel, forecast, spec),
         chart_indicators=charts.indicators_long(panel, forecast, spec),
+        coverage=recursion.coverage(panel, forecast, spec),
     )
+    if report_path:
+        write_tables(run.tables(), report_path)
+    return run
+
+
+def write_tables(tables: Mapping[str, DataFrame], path: str) -> None:
+    """Every table whole below one folder: as CSV, or as JSON where rows are nested."""
+    for name, table in tables.items():
+        nested = any(isinstance(f.dataType, (StructType, ArrayType, MapType)) for f in table.schema)
+        if nested:
+            table.write.mode("overwrite").json(f"{path}/{name}")
+        else:
+            write_csv(table, f"{path}/{name}")
 
 
 @dataclass(frozen=True)
@@ -98,15 +115,23 @@ class TrendRun:
     forecast: DataFrame
     lines: DataFrame
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
 
-def run_trend(panel: DataFrame, spec: PanelSpec, horizon: int = HORIZON) -> TrendRun:
+def run_trend(
+    panel: DataFrame, spec: PanelSpec, horizon: int = HORIZON, report_path: str | None = None
+) -> TrendRun:
     """The forecast without a model: a line per series."""
     forecast = trend.trend_forecast(panel, spec, horizon)
     slope = F.col(f"{spec.target}_slope")
     fitted = trend.fit_lines(panel, spec, [spec.target])
-    return TrendRun(
+    run = TrendRun(
         listing=report.historical_lines(panel, spec),
         slopes=report.slope_lines(fitted.select(spec.series_key, slope.alias("slope")), spec),
         forecast=forecast,
         lines=report.trend_lines(forecast, spec),
     )
+    if report_path:
+        write_tables(run.tables(), report_path)
+    return run

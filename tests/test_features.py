@@ -1,6 +1,10 @@
+import math
+
 import pytest
+from pyspark.sql import functions as F
 
-from panels import WHOLE, by_key, make, one_series, random_rows
+from panels import SCHEMA, WHOLE, by_key, make, one_series, random_rows
+from seriesloom.functions.arithmetic import lenient_double
 from seriesloom.operators import features
 from seriesloom.spec import PanelSpec
 
@@ -202,3 +206,30 @@ def test_all_features_against_pandas(spark, seed, block):
             for name, value in wanted.items():
                 missing = value != value
                 assert row[name] is None if missing else row[name] == value, name
+
+
+def test_periods_in_milliseconds(spark):
+    start = 1_700_000_000_000
+    rows = [(1, start + 60_000 * i, float(i), 1.0, 2.0, 3.0) for i in range(5)]
+    panel = spark.createDataFrame(rows, SCHEMA.replace("year int", "year long"))
+    made = by_key(features.full_features(panel, WHOLE))
+    assert [r["year_squared"] for r in made] == [float(r[1]) ** 2 for r in rows]
+
+
+def test_not_a_number_is_missing(spark):
+    rows = [(1, t, float("nan") if t == 2 else float(t), 1.0, float("nan") if t == 3 else 2.0, 3.0) for t in range(6)]
+    empty = [(k, t, *[None if v != v else v for v in rest]) for k, t, *rest in rows]
+    for operator in (features.full_features, features.basic_features):
+        assert by_key(operator(make(spark, rows), WHOLE)) == by_key(operator(make(spark, empty), WHOLE))
+
+
+@pytest.mark.parametrize(
+    ("text", "number"),
+    [
+        ("1.5", 1.5), (" -2e3 ", -2000.0), (".5", 0.5), ("5.", 5.0), ("inf", math.inf), ("-Infinity", -math.inf),
+        ("nan", None), ("1.0d", None), ("1f", None), ("x", None), ("", None), ("1 2", None), (None, None),
+    ],
+)
+def test_numbers_in_text(spark, text, number):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(lenient_double(F.col("v"))).first()[0] == number

@@ -91,7 +91,8 @@ def test_patience_keeps_the_best_round(spark, panel):
     rounds = stopped.pipeline.stages[-1].getNumTrees
     table = model.training_table(panel, WHOLE).withColumn("is_validation", F.lit(False))
     unstopped = {**settings, "iterations": rounds, "early_stopping_rounds": 0}
-    fit_rows = model.training_table(panel, WHOLE).filter("not is_test and not is_validation")
+    # the rows that chose the number of rounds are trained on in the end
+    fit_rows = model.training_table(panel, WHOLE).filter("not is_test")
     again = model.fit(
         fit_rows, WHOLE, stopped.choice, model.BoostingParams().override(unstopped)
     )
@@ -100,6 +101,31 @@ def test_patience_keeps_the_best_round(spark, panel):
     assert by_key(again.predict(table).select(keys)) == by_key(stopped.scored.select(keys))
 
 
+def test_patience_outlasts_the_first_bad_round(spark, panel):
+    settings = {"iterations": 80, "depth": 3, "learning_rate": 0.05, "early_stopping_rounds": 10}
+    rounds = {
+        rule: model.train(panel, WHOLE, {**settings, "stopping": rule}).pipeline.stages[-1].getNumTrees
+        for rule in ("tolerance", "patience")
+    }
+    assert model.BoostingParams().stopping == "patience"
+    assert rounds["patience"] >= rounds["tolerance"]
+
+
+def test_rounds_are_trained_in_growing_lengths(monkeypatch, panel):
+    lengths = []
+    build = model._pipeline
+
+    def remember(spec, names, params, validate):
+        lengths.append(params.iterations)
+        return build(spec, names, params, validate)
+
+    monkeypatch.setattr(model, "_pipeline", remember)
+    monkeypatch.setattr(model, "FIRST_ROUNDS", 2)
+    monkeypatch.setattr(model, "best_round", lambda errors, patience: 3)
+    model.train(panel, WHOLE, {**SMALL, "iterations": 1000, "early_stopping_rounds": 4})
+    assert lengths == [2, 4, 8, 3]
+
+
 def test_missing_driver_values(spark):
     panel = make(spark, wave(missing=True))
     trained = model.train(panel, WHOLE, SMALL)
@@ -118,6 +144,31 @@ def test_save_and_load(spark, panel, trained, tmp_path):
     assert by_key(before) == by_key(after)
     with pytest.raises(ValueError):
         loaded.metrics()
+    model.save_model(loaded, path)
+    again = model.load_model(spark, path)
+    assert by_key(again.series_metrics, "series_key") == by_key(trained.series_metrics, "series_key")
+
+
+def test_save_and_load_without_errors(spark, panel, trained, tmp_path):
+    path = str(tmp_path / "model")
+    model.save_model(trained, path)
+    model.save_model(model.TrainedModel(trained.pipeline, trained.spec, trained.choice), path)
+    loaded = model.load_model(spark, path)
+    assert loaded.series_metrics is None
+    assert recursion.recursive_forecast(panel, loaded, 2).count() == 6
+
+
+def test_every_series_is_accounted_for(spark):
+    rows = [r if r[0] != 7 else (*r[:3], None, *r[4:]) for r in wave(series=24)]
+    panel = make(spark, [*rows, (99, 2000, 1.0, 1.0, 1.0, 1.0)])
+    trained = model.train(panel, WHOLE, SMALL)
+    forecast = recursion.recursive_forecast(panel, trained, 2)
+    found = {r["series_key"]: r for r in recursion.coverage(panel, forecast, WHOLE).collect()}
+    assert len(found) == 25
+    assert [k for k, r in found.items() if not r["has_forecast"]] == [99]
+    assert found[99]["reason"] == recursion.TOO_SHORT
+    ahead = forecast.filter("series_key = 7").collect()
+    assert len(ahead) == 2 and all(r["birth_rate"] is None and r["population"] for r in ahead)
 
 
 def test_recursive_forecast(panel, trained):

@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from panels import WHOLE, by_key, make, one_series
 from seriesloom.functions.arithmetic import round_even, whole_part
+from seriesloom.functions import text
 from seriesloom.operators import charts, report, trend
 
 FORECAST = (
@@ -155,3 +157,34 @@ def test_round_even(spark, value, digits, expected):
 def test_whole_part_is_cut(spark, value, expected):
     frame = make(spark, [(value,)], "x double")
     assert frame.select(whole_part(frame.x)).first()[0] == expected
+
+
+EDGES = [
+    0.0, -0.0, 2.675, 0.125, 0.375, -0.125, 0.0005, -0.001, 0.005, 0.015, 1.005, 99.995, 1e7, 12345678.0,
+    123456789.123, 1e15, 1e16, 1.5e16, 1e-4, 1.234e-4, 9.9e-5, 1e-300, 0.001, 1.0, 1e22, -2.5, 1e100,
+]
+
+
+def test_texts_of_numbers_are_those_of_python(spark):
+    df = spark.createDataFrame([(v,) for v in EDGES], "v double").coalesce(1)
+    rows = df.select(
+        "v", text.plain(F.col("v")).alias("plain"), text.fixed(F.col("v"), 2, "%").alias("fixed")
+    ).collect()
+    for r in rows:
+        assert r["plain"] == repr(r["v"])
+        if abs(r["v"]) < 1e23:  # the engine fills further digits with zeros
+            assert r["fixed"] == f"{r['v']:.2f}%"
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "v double")
+    assert [r[0] for r in odd.select(text.plain(F.col("v"))).collect()] == ["n/a", "nan", "inf"]
+
+
+def test_texts_of_random_numbers(spark):
+    import random
+
+    source = random.Random(3)
+    values = [source.uniform(-1, 1) * 10 ** source.randint(-3, 12) for _ in range(500)]
+    values += [source.randint(-4000, 4000) / 8 for _ in range(200)]
+    values += [source.randint(-4000, 4000) / 1000 for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", text.fixed(F.col("v"), 2).alias("fixed")).collect():
+        assert r["fixed"] == f"{r['v']:.2f}", r["v"]

@@ -18,7 +18,23 @@ def test_whole_run(spark, tmp_path):
     assert run.chart_band.count() == 72 + 12
     assert run.chart_indicators.count() == 3 * (72 + 12)
     assert run.report.count() == run.summary.count() == 3
-    assert by_key(read_csv(spark, report, run.forecast.schema)) == by_key(run.forecast)
+    written = read_csv(spark, f"{report}/forecast", run.forecast.schema)
+    assert by_key(written) == by_key(run.forecast)
+    assert run.coverage.filter("has_forecast").count() == 3
+
+
+def test_tables_are_written_whole(spark, tmp_path):
+    panel = make(spark, wave(series=100, rows=12))
+    run = run_forecast(panel, WHOLE.with_pieces(3), 2, SMALL, str(tmp_path))
+    for name, table in run.tables().items():
+        stored = spark.read.json(f"{tmp_path}/{name}") if name == "report" else read_csv(
+            spark, f"{tmp_path}/{name}", table.schema
+        )
+        assert stored.count() == table.count(), name
+    assert run.summary.count() == 100 and run.combined_table.count() == 100 * 14
+    trend = run_trend(panel, WHOLE, 2, str(tmp_path / "trend"))
+    for name, table in trend.tables().items():
+        assert read_csv(spark, f"{tmp_path}/trend/{name}", table.schema).count() == table.count()
 
 
 def test_run_on_one_short_series_as_published(spark):
