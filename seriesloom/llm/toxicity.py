@@ -82,7 +82,7 @@ class Machine:
 
     @classmethod
     def fit(cls, terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
-        """Adam on the logistic loss; ``rows`` are positions in ``terms``."""
+        """Adam on the logistic loss, in steps that shrink to none; ``rows`` are positions in ``terms``."""
         rng = np.random.default_rng(seed)
         n = len(terms)
         # one row of weights per term, linear first; the last row stands for the bias
@@ -90,7 +90,8 @@ class Machine:
         weights[:n, 1:] = rng.normal(0, 0.05, (n, FACTORS))
         mean, square = np.zeros_like(weights), np.zeros_like(weights)
         step = 0
-        for _ in range(EPOCHS if len(rows) else 0):
+        for epoch in range(EPOCHS if len(rows) else 0):
+            rate = RATE * (1 - epoch / EPOCHS)
             order = rng.permutation(len(rows))
             for a in range(0, len(order), BATCH):
                 part = order[a : a + BATCH]
@@ -113,7 +114,7 @@ class Machine:
                 step += 1
                 mean = 0.9 * mean + 0.1 * change
                 square = 0.999 * square + 0.001 * change**2
-                weights -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+                weights -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         return cls(terms, float(weights[n, 0]), weights[:n, 0].copy(), weights[:n, 1:].copy())
 
     def score(self, index: np.ndarray) -> float:
