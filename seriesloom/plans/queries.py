@@ -25,6 +25,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _REGISTERED: dict[str, Query] = {}
 
+# Rounds of the registered basic model, which never stops early. Its default is
+# 1000: those took 385 s on a panel of 1,975 rows, with all cores shared with another job,
+# since a round is several small jobs whatever the number of rows.
+BASIC_ROUNDS = 100
+
 MIN_ROWS = 27
 
 
@@ -561,7 +566,8 @@ def mean_model_metrics(spark, folder):
 
 @query
 def gbt_basic_metrics(spark, folder):
-    trained = model.train_basic(months(spark, folder), MONTH_SPEC)
+    settings = {"iterations": BASIC_ROUNDS}
+    trained = model.train_basic(months(spark, folder), MONTH_SPEC, settings)
     return metrics.score(trained.scored, MONTH_SPEC, measures=("mae", "rmse"))
 
 
