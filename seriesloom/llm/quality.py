@@ -27,6 +27,8 @@ ROUNDS = 300
 RATE = 0.05
 SHRINK = 1e-4
 EM_ROUNDS = 200
+# Texts are dropped below this score: only those that are more likely bad by far.
+LEAST = 0.3
 
 # For each signal: on which side of which value its labeller says bad, and good.
 # Kinds of junk exclude each other, so not to look like one of them says nothing: only prose is good.
@@ -200,14 +202,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [Text(t) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"],
-                    "votes": [t.votes() for t in texts],
-                    "features": [t.features().astype(np.float16).tobytes() for t in texts],
-                }
-            )
+            found = [
+                (t.votes(), t.features().astype(np.float16).tobytes()) for t in map(Text, batch["text"])
+            ]
+            votes, features = zip(*found) if found else ((), ())
+            yield pd.DataFrame({"id": batch["id"], "votes": votes, "features": features})
 
     # ids first, so that only the texts of the sample are sorted and moved
     ids = docs.select(docs[doc_id].alias("id")).filter("id is not null").distinct()
@@ -222,7 +221,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
     return Scorer(labels, weights, bias)
 
 
-def score(docs: DataFrame, scorer: Scorer, text: str = "text", least: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, scorer: Scorer, text: str = "text", least: float = LEAST) -> DataFrame:
     """``docs`` with ``weak_label`` (probability by the votes), ``score`` and ``kept``.
 
     A null, empty or blank text has no words: the labeller of length says bad,
@@ -234,10 +233,11 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text", least: float = 0.
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model: Scorer = shared.value
         for part in parts:
-            texts = [Text(t) for t in part]
-            votes = np.array([t.votes() for t in texts], int).reshape(len(texts), len(LABELLERS))
+            # one text at a time: its words and classes take many times its size
+            found = [(t.votes(), model.score(t)) for t in map(Text, part)]
+            votes = np.array([v for v, _ in found], int).reshape(len(found), len(LABELLERS))
             yield pd.DataFrame(
-                {"weak_label": model.labels.posterior(votes), "score": [model.score(t) for t in texts]}
+                {"weak_label": model.labels.posterior(votes), "score": [s for _, s in found]}
             )
 
     found = packed(docs, found=scored(docs[text]))

@@ -221,7 +221,7 @@ def test_quality(docs, none):
     same_columns(found, docs, "weak_label", "score", "kept")
     rows = found.collect()
     assert len(rows) == len(TEXTS)
-    assert all(0 <= r.score <= 1 and r.kept == (r.score >= 0.5) for r in rows)
+    assert all(0 <= r.score <= 1 and r.kept == (r.score >= quality.LEAST) for r in rows)
     assert len({(r.weak_label, r.score) for r in rows if not (r.text or "").strip() and not r.text}) == 1
     assert quality.score(none, scorer).collect() == []
     assert quality.score(docs, quality.fit(none)).count() == len(TEXTS)
