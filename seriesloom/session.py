@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# For local masters that name no shared folder.
+LOCAL_DIR = os.environ.get("SERIESLOOM_SHARED_DIR", "/tmp/seriesloom-shared")
+
 
 def local_session(cpus: int | str = "*", app: str = "seriesloom", **conf: str) -> SparkSession:
     """A single-machine session for tests, the benchmark and small runs."""
@@ -25,21 +30,22 @@ def local_session(cpus: int | str = "*", app: str = "seriesloom", **conf: str) -
     return builder.getOrCreate()
 
 
-def use_shared_dir(spark: SparkSession, folder: str) -> None:
-    """Name the shared folder for a session that names none itself."""
-    if not _named(spark):
-        spark.sparkContext.setCheckpointDir(folder)
-
-
 def _named(spark: SparkSession) -> str | None:
     return spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it."""
+    """The folder every executor can reach, as the session names it.
+
+    Where it names none, a local master, whose driver and executors are one
+    process, uses ``LOCAL_DIR``; on a cluster that is an error.
+    """
     named = _named(spark)
     if not named:
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
+        spark.sparkContext.setCheckpointDir(LOCAL_DIR)
+        named = _named(spark)
     return named
 
 
