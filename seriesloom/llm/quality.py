@@ -215,7 +215,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
     rows = written(
         texts.mapInPandas(run, "id long, votes array<byte>, features binary"), "features"
     ).orderBy("id").limit(sample).toPandas()
-    features = np.frombuffer(b"".join(rows.pop("features")), np.float16).reshape(-1, FEATURES).astype(np.float32)
+    features = np.empty((len(rows), FEATURES), np.float32)
+    for i, row in enumerate(rows.pop("features")):
+        features[i] = np.frombuffer(row, np.float16)
     marks = np.array(rows["votes"].tolist(), int).reshape(len(rows), len(LABELLERS))
     weights, bias = Scorer.train(features, labels.posterior(marks))
     return Scorer(labels, weights, bias)
