@@ -616,19 +616,17 @@ def feature_importance_checks(spark, folder):
     """All causal features by name, and whether shares add up and the first ten are the largest."""
     trained = _model(spark, folder)[1]
     every = model.feature_importance(trained)
-    first = model.feature_importance(trained, model.TOP_FEATURES).select("feature", F.lit(True).alias("is_first"))
-    total = every.agg(F.sum("importance").alias("total"))
-    least = every.join(first, "feature").agg(
-        F.min("importance").alias("least"), F.count("*").alias("firsts")
-    )
-    checks = total.withColumn("one", F.lit(1)).join(least.withColumn("one", F.lit(1)), "one")
-    marked = every.join(first, "feature", "left").withColumn("one", F.lit(1)).join(checks, "one")
-    larger = F.col("importance") >= F.col("least")
+    first = model.feature_importance(trained, model.TOP_FEATURES)
+    # a number per feature: what they sum to, and the last of the first ones
+    total = every.agg(F.sum("importance")).first()[0]
+    least, firsts = first.agg(F.min("importance"), F.count("*")).first()
+    marked = every.join(first.select("feature", F.lit(True).alias("is_first")), "feature", "left")
+    larger, smaller = F.col("importance") >= least, F.col("importance") <= least
     return marked.select(
         "feature",
-        (F.abs(F.col("total") - 100) < 1e-6).alias("sums_to_100"),
-        (F.col("firsts") == model.TOP_FEATURES).alias("ten_are_first"),
-        F.when(F.col("is_first"), larger).otherwise(F.col("importance") <= F.col("least")).alias("in_order"),
+        F.lit(abs(total - 100) < 1e-6).alias("sums_to_100"),
+        F.lit(firsts == model.TOP_FEATURES).alias("ten_are_first"),
+        F.when(F.col("is_first"), larger).otherwise(smaller).alias("in_order"),
     )
 
 
