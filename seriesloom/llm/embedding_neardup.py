@@ -21,6 +21,7 @@ SHARD = 8192
 LINKS = 16
 BUILD_BEAM = 48
 BEAM = 48
+# Queries audited at least, and the share of its links and nearest nodes each of them must find.
 AUDIT = 64
 RECALL = 0.99
 
@@ -68,7 +69,7 @@ def _built(shard: pd.DataFrame, least: float) -> pd.DataFrame:
     shard = shard.sort_values("level", ascending=False, kind="stable", ignore_index=True)
     unit, levels = _unit(shard["vector"]), shard["level"].to_numpy()
     graph = Graph.build(unit, levels, LINKS, BUILD_BEAM)
-    row, node = graph.links(unit, least, BEAM, AUDIT, RECALL)
+    row, node = graph.links(unit, least, BEAM, AUDIT, RECALL, np.arange(len(unit)))
     other = row != node
     row, node = row[other], node[other]
     many, ids = shard["n"].to_numpy(), shard["id"].to_numpy()

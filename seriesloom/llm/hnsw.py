@@ -10,6 +10,14 @@ import numpy as np
 
 # Queries that walk together.
 WAVE = 512
+# One query in so many is compared with the whole shard.
+AUDITED = 16
+# Queries audited together; the first that fail end the audit.
+AT_ONCE = 64
+# A beam of more than one in so many of a shard's nodes costs more than a look at all of them.
+SCANNED = 16
+# Nodes nearest to a query that an audit looks for, links or not.
+NEAREST = 8
 
 
 def _selected(vectors: np.ndarray, found: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
@@ -185,30 +193,63 @@ class Graph:
             nodes.append(node)
         return np.concatenate(rows), np.concatenate(nodes).astype(np.int64)
 
+    def _widened(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, node) hits; the beam of a query is widened while half of it are hits."""
+        todo, width = np.arange(len(queries)), beam
+        rows, nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        while len(todo):
+            row, node = self._hits(queries[todo], least, width)
+            full = (np.bincount(row, minlength=len(todo)) * 2 >= width) & (width < len(self.exact))
+            fine = ~full[row]
+            rows.append(todo[row[fine]])
+            nodes.append(node[fine])
+            todo, width = todo[full], 4 * width
+        return np.concatenate(rows), np.concatenate(nodes)
+
+    def _audited(self, queries: np.ndarray, own: np.ndarray, least: float, beam: int, recall: float) -> bool:
+        """Whether each query finds ``recall`` of its hits and of its nearest nodes, itself (``own``) left out."""
+        for a in range(0, len(queries), AT_ONCE):
+            part, self_ = queries[a : a + AT_ONCE], own[a : a + AT_ONCE, None]
+            line = np.arange(len(part))
+            sims = part @ self.exact.T
+            mine = np.flatnonzero(self_[:, 0] >= 0)
+            sims[mine, self_[mine, 0]] = -np.inf
+            k = min(NEAREST, sims.shape[1] - int(len(mine) > 0))
+            if k > 0:
+                furthest = np.partition(sims, -k, axis=1)[:, -k]
+                found, _ = self._walk(part.astype(np.float32), beam, 0)
+                # equally near nodes stand for each other, to the precision of the walk
+                near = (found >= 0) & (sims[line[:, None], found] >= furthest[:, None] - 1e-6)
+                if (near.sum(axis=1) < recall * k).any():
+                    return False
+            row, node = self._widened(part, least, beam)
+            other = node != self_[row, 0]
+            want = (sims >= least).sum(axis=1)
+            if (np.bincount(row[other], minlength=len(part)) < recall * want).any():
+                return False
+        return True
+
     def links(
-        self, queries: np.ndarray, least: float, beam: int, audit: int, recall: float
+        self,
+        queries: np.ndarray,
+        least: float,
+        beam: int,
+        audit: int,
+        recall: float,
+        own: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray]:
         """(query, node) pairs of cosine ``least`` or more, in double precision.
 
-        A query's beam is widened while half of it are hits. Then ``audit``
-        queries, evenly spread, are compared with all of the shard, and all
-        beams are widened until they find the ``recall`` asked for.
+        A query's beam is widened while half of it are hits. Before, one query
+        in ``AUDITED``, ``audit`` at least, evenly spread, is compared with all
+        of the shard, and the beam all queries start with is doubled until each
+        of them finds the ``recall`` asked for, of its hits and of its nearest
+        nodes, or the beam is so wide that a look at all of the shard costs
+        less. ``own`` is the node that each query is itself, -1 for none.
         """
-        while True:
-            todo, width = np.arange(len(queries)), beam
-            rows, nodes = [], []
-            while len(todo):
-                row, node = self._hits(queries[todo], least, width)
-                full = (np.bincount(row, minlength=len(todo)) * 2 >= width) & (width < len(self.exact))
-                fine = ~full[row]
-                rows.append(todo[row[fine]])
-                nodes.append(node[fine])
-                todo, width = todo[full], 4 * width
-            row, node = np.concatenate(rows), np.concatenate(nodes)
-            if beam >= len(self.exact):
-                return row, node
-            sample = np.unique(np.linspace(0, len(queries) - 1, audit).astype(int))
-            want = (queries[sample] @ self.exact.T >= least).sum()
-            if np.isin(row, sample).sum() >= recall * want:
-                return row, node
-            beam *= 2
+        own = np.full(len(queries), -1) if own is None else own
+        many = min(len(queries), max(audit, -(-len(queries) // AUDITED)))
+        sample = np.unique(np.linspace(0, len(queries) - 1, many).astype(int))
+        while beam < len(self.exact) and not self._audited(queries[sample], own[sample], least, beam, recall):
+            beam = 2 * beam if 2 * beam * SCANNED <= len(self.exact) else len(self.exact)
+        return self._widened(queries, least, beam)

@@ -139,6 +139,38 @@ def test_graph_finds_what_a_scan_finds():
     assert len(np.unique(row * len(vectors) + node)) == len(row) >= 0.99 * close.sum()
 
 
+def cut_off(vectors, lost):
+    """A graph in which no walk reaches the nodes ``lost``."""
+    graph = hnsw.Graph.build(vectors, np.zeros(len(vectors), int), 16, 48)
+    layer = graph.layers[0]
+    layer[np.isin(layer, lost)] = -1
+    return graph
+
+
+def test_audit_sees_past_a_hot_group():
+    rng = np.random.default_rng(11)
+    hot = rng.normal(size=(1, 24)) + rng.normal(scale=0.01, size=(700, 24))
+    pairs = np.repeat(rng.normal(size=(150, 24)), 2, axis=0) + rng.normal(scale=0.02, size=(300, 24))
+    vectors = np.vstack([hot, pairs])
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    graph = cut_off(vectors, np.arange(700, 1000))
+    row, node = graph.links(vectors, 0.98, 48, 64, 0.99)
+    rare = row >= 700
+    assert rare.sum() == (vectors[700:] @ vectors.T >= 0.98).sum() >= 600
+
+
+def test_audit_measures_queries_without_links():
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(1000, 24))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    queries = rng.normal(size=(1000, 24))
+    # two links, of queries that are not audited
+    queries[[1, 2]] = vectors[[800, 801]]
+    queries /= np.linalg.norm(queries, axis=1)[:, None]
+    row, node = cut_off(vectors, np.arange(700, 1000)).links(queries, 0.98, 48, 64, 0.99)
+    assert {(1, 800), (2, 801)} <= set(zip(row.tolist(), node.tolist()))
+
+
 def test_shards_see_each_other(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 8))
