@@ -13,11 +13,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.llm.components import components
-from seriesloom.llm.rows import packed, unpacked
+from seriesloom.llm.rows import fingerprint, packed, same, unpacked
 from seriesloom.session import written
 
 BITS = 64
@@ -48,16 +48,19 @@ def simhash(text: str | None, shingle: int, seed: int) -> int:
     return int(np.packbits(set_bits, bitorder="little").view("<i8")[0])
 
 
-def with_fingerprint(docs: DataFrame, doc_id: str, text: str, shingle: int, seed: int) -> DataFrame:
-    """(id, fp) of every row."""
+def with_fingerprint(
+    docs: DataFrame, doc_id: str, text: str, shingle: int, seed: int, **more: Column
+) -> DataFrame:
+    """(id, fp) of every row, and long columns of the row that are asked for."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = [simhash(t, shingle, seed) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "fp": np.array(prints, np.int64)})
+            yield batch.drop(columns="text").assign(fp=np.array(prints, np.int64))
 
-    frame = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text"))
-    return frame.mapInPandas(run, "id long, fp long")
+    own = [value.alias(name) for name, value in more.items()]
+    frame = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text"), *own)
+    return frame.mapInPandas(run, ", ".join(f"{name} long" for name in ("id", *more, "fp")))
 
 
 def segments(max_bits: int, parts: int) -> list[tuple[int, int, int]]:
@@ -181,16 +184,19 @@ def simhash_groups(
     parts: int = 3,
     small: int = 64,
     block: int = 2048,
+    **more: Column,
 ) -> DataFrame:
     """(id, fp, component): every row's fingerprint and the smallest id it reaches.
 
+    ``more`` names long columns that are carried beside the id.
+
     Copies meet in one fingerprint, so only distinct fingerprints are compared.
     A null or wordless text has fingerprint 0 and is linked like any other.
     Rows without an id take part, but no component is named after them; a group
     of such rows alone has a null component. Repeated rows are told apart by
     nothing and share a component. An empty table gives an empty one.
     """
-    found = written(with_fingerprint(docs, doc_id, text, shingle, seed), "fingerprints")
+    found = written(with_fingerprint(docs, doc_id, text, shingle, seed, **more), "fingerprints")
     prints = written(found.groupBy("fp").agg(F.min("id").alias("least")), "prints")
     roots = components(links(prints.select("fp"), max_bits, parts, small, block))
     placed = prints.join(roots, prints.fp == roots.node, "left").select(
@@ -208,9 +214,11 @@ def simhash_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     """The rows of ``docs`` that represent their group: those with its smallest id.
 
     Rows without an id stay only where their group has no id at all. Rows that
-    repeat an id stay together.
+    repeat an id and a text stay or go together; other rows of an id are judged
+    by the group of their own text.
     """
-    groups = simhash_groups(docs, doc_id, text, **settings)
-    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component"))).select("id").distinct()
-    whole = packed(docs, id=docs[doc_id].cast("long"))
-    return unpacked(whole.join(gone, whole.id.eqNullSafe(gone.id), "left_anti"))
+    h1, h2 = fingerprint(docs[text])
+    groups = simhash_groups(docs, doc_id, text, h1=h1, h2=h2, **settings)
+    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component"))).select("id", "h1", "h2").distinct()
+    whole = packed(docs, id=docs[doc_id].cast("long"), h1=h1, h2=h2)
+    return unpacked(whole.join(gone, same(whole, gone, "id", "h1", "h2"), "left_anti"))

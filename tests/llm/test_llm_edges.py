@@ -118,6 +118,27 @@ def test_simhash(docs, none):
     assert simhash.simhash_dedup(none).collect() == []
 
 
+def test_simhash_drops_rows_not_ids(spark):
+    def words(name):
+        return " ".join(f"{name}{i}" for i in range(40))
+
+    rows = [
+        (1, words("a")),
+        (None, words("a")),  # a copy of 1
+        (None, words("b")),  # no id in its group
+        (None, words("c")),
+        (5, words("d")),  # names its group
+        (6, words("d")),
+        (3, words("e")),
+        (5, words("e")),  # the same id in the group of 3
+        (7, words("f")),
+        (7, words("f")),
+    ]
+    kept = simhash.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    want = [rows[i] for i in (0, 2, 3, 4, 6, 8, 9)]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_decontaminate(spark, docs, none):
     items = [
         (1, None),
