@@ -211,6 +211,27 @@ def test_probabilities_of_all_words_sum_to_one(spark):
     assert known + 10.0**others.unseen == pytest.approx(1, abs=1e-6)
 
 
+def test_sweeps_use_the_totals_of_the_sweep_before(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"v{min(300, int(1 / x))}" for x in rng.random(60) + 1e-9) for _ in range(150)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = df.transform(pitman_yor.word_counts).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    shape = pitman_yor.Vocabulary(counts["word"].to_numpy(), counts["n"].to_numpy())
+    seen = pitman_yor.customer_counts(df, spark.sparkContext.broadcast(shape)).toPandas()
+    table = spark.createDataFrame(seen)
+    discounts = pitman_yor.discounts_of(table, shape)
+    whole = pitman_yor._block(seen, shape, discounts)
+    totals, kept = pitman_yor.Totals(*whole.totals()), []
+    for number in range(pitman_yor.BURN_IN + pitman_yor.SAMPLES):
+        whole.sweep(totals, number)
+        totals = pitman_yor.Totals(*whole.totals())
+        kept.append(whole.probabilities(totals))
+    want = sum(kept[pitman_yor.BURN_IN :]) / pitman_yor.SAMPLES
+    monkeypatch.setattr(pitman_yor, "BLOCK", 32)
+    found = 10.0 ** pitman_yor.predictive(table, shape).astype(float)
+    assert np.allclose(found[:, whole.dishes], want, rtol=1e-4)
+
+
 def test_contexts_share_what_they_know(spark):
     texts = ["red fox ran home", "red fox sat here", "blue sky is wide", "old fox ran here"] * 20
     rows = [(i, t, True) for i, t in enumerate(texts)] + [(900, "red fox", False), (901, "red sky", False)]
