@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontaminate, embedding_neardup, language_id
+from seriesloom.llm import decontaminate, embedding_neardup, filter_audit, importance, language_id
 from seriesloom.llm import line_dedup as lines
-from seriesloom.llm import mixing, pitman_yor, quality, simhash, suffix_dedup, toxicity
+from seriesloom.llm import mixing, pitman_yor, quality, simhash, suffix_dedup, token_files, toxicity
 from seriesloom.llm.rows import read
+from seriesloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -233,3 +235,134 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
     model = language_id.learn(docs.filter(~F.col("held_out")))
     return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(read(spark, folder, "documents"), path, str(tokenizer))
+    found = token_files.read_tokens(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.importance_scores(
+        read(spark, folder, "documents"), read(spark, folder, "benchmark"), grams=(1, 1), buckets=10000
+    )
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+_SQL["op12_importance"] = r"""
+WITH cut AS (
+  SELECT 'd' AS side, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+  UNION ALL
+  SELECT 'b', NULL,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark
+),
+crc AS (
+  SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+),
+words AS (SELECT side, doc_id, unnest(w) AS word FROM cut),
+hashed AS (
+  SELECT word,
+         xor(list_reduce(list_concat([4294967295], bytes),
+                         lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT word, list_transform(range(0, strlen(word)),
+                       lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT)) AS bytes
+        FROM (SELECT DISTINCT word FROM words)), crc
+),
+found AS (SELECT side, doc_id, bucket FROM words JOIN hashed USING (word)),
+counts AS (
+  SELECT bucket, CAST(count(*) FILTER (WHERE side = 'd') AS DOUBLE) AS s, CAST(count(*) FILTER (WHERE side = 'b') AS DOUBLE) AS t
+  FROM found GROUP BY bucket
+),
+totals AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM counts, totals
+),
+weights AS (
+  SELECT doc_id, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM found JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+           (CAST(CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM cut LEFT JOIN weights USING (doc_id) WHERE side = 'd'
+),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, rank
+FROM scored LEFT JOIN (SELECT * FROM ranked WHERE rank <= (SELECT count(*) FROM ranked) * 10 // 100) USING (doc_id)
+"""
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = read(spark, folder, "labels").withColumnRenamed("doc_id", "id")
+    losses = {"good": labels.filter("quality = 1"), "toxic": labels.filter("toxic = 1")}
+    found = filter_audit.failures(read(spark, folder, "documents"))
+    return filter_audit.audit(found, "ABCDE", losses)
+
+
+_SQL["op13_filter_audit"] = r"""
+WITH facts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+failing AS (
+  SELECT part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d, doc_id > min(doc_id) OVER (PARTITION BY text) AS e,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+         doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+  FROM facts
+),
+kinds AS (
+  SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+         count(*) FILTER (WHERE toxic) AS toxic
+  FROM failing GROUP BY part, a, b, c, d, e
+),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+),
+steps AS (SELECT o, step, o[step] AS f, o[1 : step - 1] AS before FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+seen AS (
+  SELECT k.*, s.*, fails[f] AS failing,
+         len(list_filter(before, lambda i: fails[i])) > 0 AS gone,
+         len(list_filter(fails, lambda x: x)) = 1 AS alone
+  FROM kinds k, steps s
+),
+counted AS (
+  SELECT part, o, step, f,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND NOT failing), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND failing), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE gone AND failing), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE failing AND alone), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT gone AND failing), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT gone AND failing), 0) AS toxic_lost
+  FROM seen GROUP BY part, o, step, f
+)
+SELECT part, list_aggregate(list_transform(o, lambda i: substr('ABCDE', i, 1)), 'string_agg', '') AS filter_order,
+       CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""

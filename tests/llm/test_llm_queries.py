@@ -30,7 +30,7 @@ def rows_of(spark, name):
 def test_all_are_registered():
     names = set(entry_points.queries())
     assert set(all_queries()) <= names and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in all_queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in all_queries()} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(all_sql()))
