@@ -21,14 +21,14 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -37,26 +37,30 @@ from tokenizers import Tokenizer
 
 from seriesloom.session import written
 
-# About 1 GB of 16-bit ids.
-FILE_IDS = 1 << 29
+# Bytes of text per part, about: some 100 MB of 16-bit ids.
+PART_BYTES = 1 << 28
 # Documents that a reading task takes at a time, and ids per reading task, about.
 SLICE_DOCS = 4096
 READ_IDS = 1 << 24
 # Bytes of ids handed to Spark at once.
 READ_BYTES = 1 << 23
 
-# Characters that are split and encoded together.
+# Characters that are split and looked up together.
 STRETCH = 1 << 18
-# Pieces that a worker remembers, and the longest of them.
-KNOWN = 1 << 18
+# Words that a worker remembers, and the longest of them.
+KNOWN = 1 << 21
 LONGEST = 64
 
-# Fixed value: how byte-level tokenizers cut a text into pieces.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: all that any tokenizer may hold for a blank, and more, but for space and line break.
+_OTHER = r"\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
+_OTHER_BLANK = re.compile(f"[{_OTHER}]")
+# Runs of blanks that are not cut as single ones are.
+_IRREGULAR = re.compile(f"[ \n{_OTHER}]{{3}}|[ \n{_OTHER}]{{2}}\\Z")
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_BETWEEN = re.compile(f"(?<![ \n{_OTHER}]) (?![ \n{_OTHER}])")
+# Never a character of a text that is cut.
+_CUT = "\U0010ffff"
 
-ENCODED = pa.schema(
-    [("id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())]
-)
 PARTS = "number int, name string, docs long, ids long, without_id long"
 
 
@@ -67,13 +71,14 @@ def id_type(definition: str, end_id: int) -> str:
 
 
 class Encoder:
-    """A tokenizer in a worker.
-
-    Byte-level tokenizers encode a text piece by piece, so each piece is encoded
-    once and looked up from then on. What the pattern of the pieces says of a
-    character is compared with the tokenizer's own splitter when the character
-    first occurs; texts with a character on which they differ, or with an added
-    token, are encoded whole, as are all texts of other tokenizers.
+    """A tokenizer in a worker, which remembers the ids of words.
+
+    Byte-level tokenizers begin a piece at a space and end one at a line break,
+    but for runs of three blanks and more or at the end of a text, and encode
+    each piece by itself. So texts without such runs are cut there, and each
+    word, with its space and its punctuation, is encoded once and looked up from
+    then on. Texts with such runs or an added token are encoded whole, as are
+    all texts of other tokenizers.
     """
 
     def __init__(self, definition: str, dtype: str, end_id: int):
@@ -81,26 +86,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.dtype = dtype
+        self.dtype = np.dtype(dtype)
         self.end = np.array([end_id], dtype).tobytes()
         parts = json.loads(definition)
         self.added = [t["content"] for t in parts.get("added_tokens") or []]
-        self.pattern = regex.compile(PIECES) if _piecewise(parts) else None
-        self.between = regex.compile(r"(?<=\S) (?=\S)")
+        self.cuts = _cuts_at_spaces(parts)
+        # words of late, and those of the time before
         self.known: dict[str, bytes] = {}
-        self.agreed: set[str] = set()
-        self.odd: set[str] = set()
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text, and the end, as bytes."""
         found: list[list[bytes]] = [[] for _ in texts]
         waiting, length = [], 0
         for n, text in enumerate(texts):
-            if not self._splits(text):
-                found[n].append(self._whole([text])[0])
+            if not self._regular(text):
+                found[n] += self._whole([text])
                 continue
-            for stretch in self._stretches(text):
-                waiting.append((n, self.pattern.findall(stretch)))
+            for stretch in _stretches(text):
+                words = stretch.replace(" ", f"{_CUT} ").replace("\n", f"{_CUT}\n{_CUT}").split(_CUT)
+                waiting.append((n, words))
                 length += len(stretch)
                 if length >= STRETCH:
                     self._look_up(waiting, found)
@@ -108,46 +113,52 @@ class Encoder:
         self._look_up(waiting, found)
         return [b"".join([*parts, self.end]) for parts in found]
 
+    def _regular(self, text: str) -> bool:
+        return (
+            self.cuts
+            and not any(token in text for token in self.added)
+            and _CUT not in text
+            and not _has_irregular_blanks(text)
+        )
+
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
-    def _look_up(self, waiting, found) -> None:
-        pieces = set().union(*[p for _, p in waiting])
-        new = pieces - self.known.keys()
-        if len(self.known) + len(new) > KNOWN:
-            self.known, new = {}, pieces
-        long = [p for p in new if len(p) > LONGEST]
-        self.known.update(zip(new, self._whole(list(new))))
-        for n, own in waiting:
-            found[n].append(b"".join(map(self.known.__getitem__, own)))
-        for piece in long:
-            del self.known[piece]
-
-    def _splits(self, text: str) -> bool:
-        if self.pattern is None or any(token in text for token in self.added):
-            return False
-        chars = set(text)
-        for c in chars - self.agreed - self.odd:
-            probe = f"a{c}a1{c}1!{c}! {c} {c}{c}  {c}"
-            own = self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)
-            spans = [m.span() for m in self.pattern.finditer(probe)]
-            (self.agreed if [span for _, span in own] == spans else self.odd).add(c)
-        return self.odd.isdisjoint(chars)
-
-    def _stretches(self, text: str) -> Iterator[str]:
-        """The text cut before single spaces between words, where pieces always begin."""
-        start = 0
-        while len(text) - start > STRETCH:
-            cut = self.between.search(text, start + STRETCH)
-            if cut is None:
-                break
-            yield text[start : cut.start()]
-            start = cut.start()
-        yield text[start:]
-
-
-def _piecewise(parts: dict) -> bool:
+    def _look_up(self, waiting: list[tuple[int, list[str]]], found: list[list[bytes]]) -> None:
+        needed = set().union(*[words for _, words in waiting])
+        new = needed.difference(self.known)
+        if len(self.known) + len(new) > KNOWN // 2:
+            self.known, self.older, new = {}, self.known, needed
+        learnt = [word for word in new if word not in self.older]
+        near = {word: self.older[word] for word in new if word in self.older}
+        near.update(zip(learnt, self._whole(learnt)))
+        self.known.update((word, ids) for word, ids in near.items() if len(word) <= LONGEST)
+        # a table of these texts' words alone stays in the processor's cache
+        near.update((word, self.known[word]) for word in needed if word not in near)
+        for n, words in waiting:
+            found[n].append(b"".join(map(near.__getitem__, words)))
+
+
+def _has_irregular_blanks(text: str) -> bool:
+    if not _OTHER_BLANK.search(text) and not any(pair in text for pair in _PAIRS):
+        return False
+    return _IRREGULAR.search(text) is not None
+
+
+def _stretches(text: str) -> Iterator[str]:
+    """The text cut before single spaces between words."""
+    start = 0
+    while len(text) - start > STRETCH:
+        cut = _BETWEEN.search(text, start + STRETCH)
+        if cut is None:
+            break
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
+def _cuts_at_spaces(parts: dict) -> bool:
     splitter, model = parts.get("pre_tokenizer") or {}, parts["model"]
     return (
         parts.get("normalizer") is None
@@ -156,6 +167,7 @@ def _piecewise(parts: dict) -> bool:
         and not splitter.get("add_prefix_space", True)
         and model["type"] == "BPE"
         and not model.get("dropout")
+        and not model.get("ignore_merges")
     )
 
 
@@ -165,27 +177,6 @@ def _encoder(definition: str, dtype: str, end_id: int) -> Encoder:
     return Encoder(definition, dtype, end_id)
 
 
-def encode(docs: DataFrame, definition, dtype: str, end_id: int) -> DataFrame:
-    """(id, th, n, ids) of (id, th, text); ``definition`` is a broadcast tokenizer."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(definition.value, dtype, end_id)
-        width = np.dtype(dtype).itemsize
-        for batch in batches:
-            ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("th"),
-                    pa.array([len(i) // width for i in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                schema=ENCODED,
-            )
-
-    return docs.mapInArrow(run, "id long, th long, n long, ids binary")
-
-
 class Folder:
     """A folder of token files, on whatever file system it is."""
 
@@ -214,8 +205,8 @@ class Folder:
             return np.frombuffer(file.read_at(size * kind.itemsize, low * kind.itemsize), kind)
 
 
-def _write_part(path: str):
-    """A function that writes one task's sorted rows as a part and returns its line of the manifest."""
+def _write_part(path: str, definition, dtype: str, end_id: int):
+    """A function that encodes and writes one task's sorted rows and returns its line of the manifest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -226,6 +217,7 @@ def _write_part(path: str):
         if first is None:
             return
         folder = Folder(path)
+        encoder = _encoder(definition.value, dtype, end_id)
         docs = ids = without_id = 0
         with (
             folder.create(f"{name}.bin") as flat,
@@ -233,10 +225,10 @@ def _write_part(path: str):
             folder.create(f"{name}.doc") as keys,
         ):
             offsets.write(np.zeros(1, "<u8").tobytes())
-            for batch in (b for part in ([first], rows) for b in part):
-                for value in batch.column("ids"):
-                    flat.write(value.as_buffer())
-                ends = ids + np.cumsum(batch.column("n").to_numpy())
+            for batch in chain([first], rows):
+                encoded = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+                flat.write(b"".join(encoded))
+                ends = ids + np.cumsum([len(e) // encoder.dtype.itemsize for e in encoded])
                 offsets.write(ends.astype("<u8").tobytes())
                 keys.write(batch.column("id").fill_null(0).to_numpy().astype("<i8").tobytes())
                 docs, ids = docs + batch.num_rows, int(ends[-1])
@@ -257,7 +249,7 @@ def write_tokens(
     doc_id: str = "doc_id",
     text: str = "text",
     end_id: int = 0,
-    file_ids: int = FILE_IDS,
+    part_bytes: int = PART_BYTES,
 ) -> dict:
     """Encode ``text`` and write a folder of token files; returns its manifest.
 
@@ -272,19 +264,18 @@ def write_tokens(
         definition = file.read()
     dtype = id_type(definition, end_id)
     sent = spark.sparkContext.broadcast(definition)
+    # "row" tells equal rows apart, so that a range can end among them
     rows = docs.select(
-        docs[doc_id].cast("long").alias("id"), F.xxhash64(docs[text]).alias("th"), docs[text].alias("text")
-    )
-    # written, since ranges are sampled from it; "row" tells equal rows apart,
-    # so that a range can end among them
-    encoded = written(
-        encode(rows, sent, dtype, end_id).withColumn("row", F.monotonically_increasing_id()), "encoded"
+        docs[doc_id].cast("long").alias("id"),
+        F.xxhash64(docs[text]).alias("th"),
+        F.monotonically_increasing_id().alias("row"),
+        docs[text].alias("text"),
     )
-    total = encoded.agg(F.sum("n")).first()[0] or 0
-    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // file_ids))
+    total = docs.agg(F.sum(F.octet_length(docs[text]))).first()[0] or 0
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_bytes))
     order = [F.col("id").asc_nulls_last(), F.col("th"), F.col("row")]
-    sorted_rows = encoded.repartitionByRange(count, *order).sortWithinPartitions(*order)
-    parts = written(sorted_rows.select("id", "n", "ids").mapInArrow(_write_part(path), PARTS), "parts")
+    sorted_rows = rows.repartitionByRange(count, *order).sortWithinPartitions(*order).select("id", "text")
+    parts = written(sorted_rows.mapInArrow(_write_part(path, sent, dtype, end_id), PARTS), "parts")
     lines = [r.asDict() for r in parts.orderBy("number").collect()]
     bases = accumulate([p["ids"] for p in lines], initial=0)
     manifest = {

@@ -52,32 +52,38 @@ def test_token_query_against_the_library(spark, library):
         start += len(ids)
 
 
-def test_pieces_are_those_of_the_library(encoder, library):
+def test_words_are_encoded_as_the_library_does(encoder, library):
     draw = random.Random(3)
     parts = [
-        "don't", "we'll 've 's'S", "  \n\t", "\r\n\r\n", "<|endoftext|>", " ", "   x", "12 345", "!!?", "naïve", "日本語",
-        " ", " ", "\x85", "\x1c\x1d\x1f", "​", "🙂👩‍👩‍👧", "é", "½²Ⅷ", "͸", "ʼn", "﻿", "a_b-c",
+        "don't", "we'll 've 's'S", "'t", "  \n\t", "\r\n\r\n", "<|endoftext|>", " ", " ", " ", "\n", "\t", "   x", "12 345",
+        "!!?", "na\u00efve", "\u65e5\u672c\u8a9e", "\xa0", "\u2003", "\x85", "\x1c\x1d\x1f", "\u200b", "\U0001f642",
+        "\xe9", "\xbd\xb2\u2167", "\u0378", "\u0149", "\ufeff", "a_b-c", "\U0010ffff", "word", "another", ".", ",",
     ]
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    parts += draw.sample(points, 4000) + [chr(c) for c in range(0x3100)]
-    texts = ["".join(draw.choices(parts, k=draw.randrange(40))) for _ in range(3000)]
-    # every character of the first planes between letters, digits and blanks
-    texts += ["".join(f"a{c}1{c} {c}" for c in points[n : n + 500]) for n in range(0, 0x20000, 500)]
-    same_ids(encoder(), library, ["", " ", *texts])
+    texts = ["".join(draw.choices(parts, k=draw.randrange(40))) for _ in range(5000)]
+    texts += [" ".join(draw.choices(parts + points[:600], k=draw.randrange(60))) for _ in range(2000)]
+    # every character of the first planes beside letters, digits and blanks
+    texts += ["".join(f"a{c}1{c} {c}\n{c} b" for c in points[n : n + 64]) for n in range(0, 0x20000, 64)]
+    texts += [f"{a}{c}{b}x" for c in points[:0x3100] for a, b in ((" ", " "), ("\n", ""), ("a", " "))]
+    one = encoder()
+    same_ids(one, library, ["", " ", *texts])
+    same_ids(one, library, texts)
+    assert sum(map(one._regular, texts)) > len(texts) / 3
 
 
 def test_long_texts_are_cut_between_words(encoder, library, monkeypatch):
     monkeypatch.setattr(token_files, "STRETCH", 50)
     monkeypatch.setattr(token_files, "KNOWN", 40)
-    odd_places = "a  b   c\n d \n e " * 30 + "x" * 300 + " 1 'tis we'll " * 20
+    odd_places = "a b\tc\n d \ne " * 30 + "x" * 300 + " 1 'tis we'll " * 20 + "y"
     small = encoder()
     same_ids(small, library, [VERY_LONG[:20000], odd_places, "", odd_places[::-1]])
-    assert len(list(small._stretches(odd_places))) > 5 and len(small.known) <= 40 + 300
+    assert small._regular(odd_places) and len(list(token_files._stretches(odd_places))) > 5
+    assert all(len(word) <= token_files.LONGEST for word in small.known)
 
 
 def test_token_files(spark, docs, none, library, tmp_path):  # noqa: F811
     path = str(tmp_path / "tokens")
-    manifest = token_files.write_tokens(docs, path, BYTE_LEVEL, file_ids=1 << 14)
+    manifest = token_files.write_tokens(docs, path, BYTE_LEVEL, part_bytes=1 << 14)
     rows = token_files.read_tokens(spark, path).collect()
     want = sorted(((i, t) for i, t, *_ in TEXTS if i is not None), key=lambda r: r[0])
     named = sorted((r for r in rows if r.doc_id is not None), key=lambda r: r.start)
