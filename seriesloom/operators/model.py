@@ -7,12 +7,12 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.operators.boosting import Booster, grow_until
 from seriesloom.operators.features import (
     LOOKBACK,
     WINDOWS,
@@ -25,39 +25,37 @@ from seriesloom.operators.history import cut, with_positions
 from seriesloom.operators.metrics import score, score_by_series
 from seriesloom.operators.split import SEED, TEST_SIZE, split_random
 from seriesloom.session import written
+from seriesloom.sources import versions
 from seriesloom.spec import PanelSpec
 
 log = logging.getLogger(__name__)
 
 # Training defaults of the two model variants.
-FULL_DEFAULTS = {"iterations": 1000, "learning_rate": 0.05, "depth": 6}
-BASIC_DEFAULTS = {"iterations": 1000, "learning_rate": 0.1, "depth": 6}
+FULL_DEFAULTS = {"iterations": 1000, "learning_rate": 0.05, "depth": 6, "l2_leaf_reg": 3.0}
+BASIC_DEFAULTS = {"iterations": 1000, "learning_rate": 0.1, "depth": 6, "l2_leaf_reg": 3.0}
 
-# Settings users of other boosting libraries pass and Spark's trainer has no place for.
-WITHOUT_COUNTERPART = ("l2_leaf_reg", "verbose")
+# Settings users of other boosting libraries pass that change no result.
+WITHOUT_COUNTERPART = ("verbose",)
 
 # Stands for a missing driver: below every value, so a tree can split it off.
 BELOW_ALL = -1e300
 
 TOP_FEATURES = 10
 
-# Rounds trained before the first look at the validation errors.
-FIRST_ROUNDS = 64
-
 
 @dataclass(frozen=True)
 class BoostingParams:
     """Settings of the trainer; ``early_stopping_rounds`` of 0 or None never stops early.
 
     ``stopping="patience"`` keeps the best round before the first
-    ``early_stopping_rounds`` rounds without progress on the validation rows.
-    It trains 64 rounds, then twice as many, and so on until the best one is
-    that far back, so it trains a few times the rounds it keeps.
+    ``early_stopping_rounds`` rounds without progress on the validation rows,
+    and trains as many rounds as it keeps and waits for.
     ``stopping="tolerance"`` is Spark's own rule: stop as soon as a round gains
     less than ``stopping_tolerance`` on the validation rows.
 
-    Either way the model that is kept is trained on the validation rows too,
-    unless those are the test rows.
+    ``l2_leaf_reg`` draws leaf values towards zero: a leaf's sum is divided by
+    its rows plus this. ``refit`` trains the rounds to be kept once more, on the
+    validation rows too, unless those are the test rows.
     """
 
     iterations: int = 1000
@@ -68,12 +66,17 @@ class BoostingParams:
     stopping_tolerance: float = 0.0
     random_seed: int = SEED
     loss_function: str = "RMSE"
+    l2_leaf_reg: float = 3.0
+    max_bins: int = 32
+    refit: bool = False
 
     def __post_init__(self):
         if self.loss_function != "RMSE":
             raise ValueError("only loss_function='RMSE' is supported")
         if self.stopping not in ("tolerance", "patience"):
             raise ValueError("stopping must be 'tolerance' or 'patience'")
+        if self.l2_leaf_reg < 0:
+            raise ValueError("l2_leaf_reg must not be negative")
 
     def override(self, settings: Mapping | None) -> BoostingParams:
         known = dict(settings or {})
@@ -131,31 +134,20 @@ class TrainedModel:
         return score(self.scored, self.spec)
 
 
-def _assembled(spec: PanelSpec, names: Sequence[str]):
-    values = []
-    for name in names:
-        value = F.col(name).cast("double")
-        if name in spec.drivers:
-            value = F.coalesce(value, F.lit(BELOW_ALL))
-        values.append(value.alias(name))
-    return F.struct(*values).alias("__inputs")
+def _inputs(spec: PanelSpec, names: Sequence[str]) -> dict[str, Column]:
+    """What the trees see of each feature: a double, below all values where a driver is missing."""
+    values = {name: F.col(name).cast("double") for name in names}
+    missing = F.lit(BELOW_ALL)
+    return {n: F.coalesce(v, missing) if n in spec.drivers else v for n, v in values.items()}
 
 
-def _regressor(params: BoostingParams, label: str, validate: bool) -> GBTRegressor:
-    early_stop = {
-        "validationIndicatorCol": "is_validation",
-        "validationTol": params.stopping_tolerance,
-    }
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol=label,
-        lossType="squared",
-        maxIter=params.iterations,
-        stepSize=params.learning_rate,
-        maxDepth=params.depth,
-        seed=params.random_seed,
-        **(early_stop if validate else {}),
-    )
+def input_values(model: TrainedModel) -> dict[str, Column]:
+    """The inputs of a trained model by the names of its features."""
+    return _inputs(model.spec, model.feature_names)
+
+
+def _assembled(spec: PanelSpec, names: Sequence[str]) -> Column:
+    return F.struct(*[v.alias(n) for n, v in _inputs(spec, names).items()]).alias("__inputs")
 
 
 def training_table(
@@ -204,13 +196,14 @@ def train_basic(
     test_size: float = TEST_SIZE,
     seed: int = SEED,
     lookback: int = LOOKBACK,
+    checkpoint: str | None = None,
 ) -> TrainedModel:
-    """Drivers and lags only, random holdout, no early stop."""
+    """Drivers and lags only, random holdout, no early stop; ``checkpoint`` as for :func:`train`."""
     choice = FeatureChoice("basic", lookback)
     features = select_features(panel, spec, choice.features(spec), filled=False).na.drop("any")
     table = split_random(features, spec, test_size, seed)
     defaults = BoostingParams(**BASIC_DEFAULTS, early_stopping_rounds=None, random_seed=seed)
-    return fit(table, spec, choice, defaults.override(params))
+    return fit(table, spec, choice, defaults.override(params), checkpoint)
 
 
 def train(
@@ -221,20 +214,28 @@ def train(
     test_size: float = TEST_SIZE,
     drop_warmup: bool = True,
     stop_on_test: bool = False,
+    checkpoint: str | None = None,
 ) -> TrainedModel:
     """All (causal) features, time-ordered holdout, early stop.
 
     ``stop_on_test`` lets the test rows decide when to stop, which makes the test
     error optimistic; by default the end of the training rows decides.
+
+    ``checkpoint`` is a folder for the rounds: training that was stopped, or is
+    asked for more rounds, goes on from those it holds.
     """
     table = training_table(panel, spec, choice, test_size, drop_warmup)
     if stop_on_test:
         table = table.withColumn("is_validation", F.col("is_test"))
-    return fit(table, spec, choice, BoostingParams(**FULL_DEFAULTS).override(params))
+    return fit(table, spec, choice, BoostingParams(**FULL_DEFAULTS).override(params), checkpoint)
 
 
 def fit(
-    table: DataFrame, spec: PanelSpec, choice: FeatureChoice, params: BoostingParams
+    table: DataFrame,
+    spec: PanelSpec,
+    choice: FeatureChoice,
+    params: BoostingParams,
+    checkpoint: str | None = None,
 ) -> TrainedModel:
     """Train on the rows of ``table`` that are not test rows, and score all rows.
 
@@ -257,12 +258,19 @@ def fit(
     stop_early = bool(params.early_stopping_rounds)
     validate = stop_early and not known.filter("is_validation").isEmpty()
 
-    rows = known.select("*", _assembled(spec, names))
-    if validate:
-        count = _rounds(rows, spec, names, params)
-        params = replace(params, iterations=count)
-    kept = rows.filter(~F.col("is_test"))
-    pipeline = _pipeline(spec, names, params, validate=False).fit(kept)
+    # the nested inputs keep a feature's name apart from the column of the panel
+    inputs = [f"__inputs.{name}" for name in names]
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+    flag = F.col("is_validation") if validate else F.col("is_test") & F.lit(False)
+    rows = written(
+        assembler.transform(known.select("*", _assembled(spec, names))).select(
+            "features", F.col(spec.target).cast("double").alias("label"), flag.alias("is_validation"), "is_test"
+        ),
+        "vectors",
+    )
+    booster, count = _boosted(rows, params, validate, checkpoint)
+    pipeline = PipelineModel(stages=[assembler, booster.ensemble(count)])
+    booster.close()
 
     trained = TrainedModel(pipeline, spec, choice)
     scored = trained.predict(table).select(
@@ -272,45 +280,26 @@ def fit(
     return replace(trained, scored=scored, series_metrics=score_by_series(scored, spec))
 
 
-def _pipeline(
-    spec: PanelSpec, names: Sequence[str], params: BoostingParams, validate: bool
-) -> Pipeline:
-    # the nested inputs keep a feature's name apart from the column of the panel
-    inputs = [f"__inputs.{name}" for name in names]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    return Pipeline(stages=[assembler, _regressor(params, spec.target, validate)])
-
-
-def _rounds(
-    rows: DataFrame, spec: PanelSpec, names: Sequence[str], params: BoostingParams
-) -> int:
-    """How many rounds the validation rows ask for."""
-    if params.stopping == "tolerance":
-        fitted = _pipeline(spec, names, params, validate=True).fit(rows)
-        return fitted.stages[-1].getNumTrees
-    training = rows.filter(~F.col("is_validation"))
-    length = min(FIRST_ROUNDS, params.iterations)
-    while True:
-        trial = replace(params, iterations=length)
-        assembler, boosted = _pipeline(spec, names, trial, validate=False).fit(training).stages
-        # one pass over the validation rows gives the error after every round
-        unseen = assembler.transform(rows.filter("is_validation"))
-        errors = boosted.evaluateEachIteration(unseen, "squared")
-        best = best_round(errors, params.early_stopping_rounds)
-        if best + params.early_stopping_rounds <= length or length == params.iterations:
-            return best
-        length = min(2 * length, params.iterations)
-
-
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """Number of rounds to keep: the best one before ``patience`` rounds without progress."""
-    best = 0
-    for number, error in enumerate(errors):
-        if error < errors[best]:
-            best = number
-        elif number - best >= patience:
-            break
-    return best + 1
+def _boosted(
+    rows: DataFrame, params: BoostingParams, validate: bool, checkpoint: str | None
+) -> tuple[Booster, int]:
+    """The trained rounds, and how many of them to keep."""
+    settings = {
+        "learning_rate": params.learning_rate,
+        "depth": params.depth,
+        "penalty": params.l2_leaf_reg,
+        "max_bins": params.max_bins,
+        "seed": params.random_seed,
+    }
+    booster = Booster(rows, **settings, checkpoint=checkpoint)
+    tolerance = params.stopping_tolerance if params.stopping == "tolerance" else None
+    count = grow_until(booster, params.iterations, params.early_stopping_rounds, tolerance)
+    if not (validate and params.refit):
+        return booster, count
+    booster.close()
+    kept = rows.filter(~F.col("is_test")).withColumn("is_validation", F.lit(False))
+    again = Booster(kept, **settings, checkpoint=checkpoint and f"{checkpoint}/refit")
+    return again, grow_until(again, count, None)
 
 
 def feature_importance(model: TrainedModel, top: int | None = None) -> DataFrame:
@@ -318,16 +307,18 @@ def feature_importance(model: TrainedModel, top: int | None = None) -> DataFrame
 
     The importances are part of the model on the driver: a number per feature.
     """
-    spark = _session(model)
-    weights = model.pipeline.stages[-1].featureImportances.toArray()
-    rows = [(n, float(w) * 100) for n, w in zip(model.feature_names, weights)]
+    spark = session_of(model)
+    names = model.feature_names
+    # the model counts features up to the last one that it uses
+    weights = [*model.pipeline.stages[-1].featureImportances.toArray(), *[0.0] * len(names)]
+    rows = [(n, float(w) * 100) for n, w in zip(names, weights)]
     ranked = spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
     return ranked if top is None else ranked.limit(top)
 
 
-def _session(model: TrainedModel) -> SparkSession:
+def session_of(model: TrainedModel) -> SparkSession:
     """The session of the model's tables; the active one for a model without any."""
     tables = [t for t in (model.scored, model.series_metrics) if t is not None]
     return tables[0].sparkSession if tables else SparkSession.active()
@@ -336,29 +327,36 @@ def _session(model: TrainedModel) -> SparkSession:
 def save_model(model: TrainedModel | None, path: str) -> None:
     """Write the model, what it needs to be used again, and its errors per series.
 
-    The errors may come from the folder that is written over, so they are copied first.
+    They go to a fresh folder below ``path``, which counts from the moment the
+    marker in ``path`` names it: a save that is stopped leaves the former model
+    as it was. The former version is kept beside the new one, since tables read
+    from it may be in use; older ones go.
     """
     if model is None:
         raise ValueError("the model has not been trained yet")
-    spark = _session(model)
+    spark = session_of(model)
+    former, version = versions.committed(spark, path), versions.fresh(path)
+    model.pipeline.write().save(f"{version}/pipeline")
     errors = model.series_metrics
     if errors is not None:
-        errors = written(errors, "errors")
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    if errors is not None:
-        errors.write.mode("overwrite").parquet(f"{path}/metrics")
+        errors.write.parquet(f"{version}/metrics")
     kept = {
         "spec": asdict(model.spec),
         "choice": asdict(model.choice),
         "has_errors": errors is not None,
     }
-    spark.createDataFrame([(json.dumps(kept),)], "settings string").write.mode("overwrite").json(
-        f"{path}/settings"
-    )
+    spark.createDataFrame([(json.dumps(kept),)], "settings string").write.json(f"{version}/settings")
+    name = version.rsplit("/", 1)[1]
+    versions.commit(spark, path, name)
+    versions.remove_others(spark, path, {name, former})
 
 
 def load_model(spark: SparkSession, path: str) -> TrainedModel:
     """Read a saved model; the band finds the errors if any were saved with it."""
+    name = versions.committed(spark, path)
+    if name is None:
+        raise ValueError(f"there is no saved model in {path}")
+    path = f"{path}/{name}"
     pipeline = PipelineModel.load(f"{path}/pipeline")
     row = spark.read.schema("settings string").json(f"{path}/settings").first()
     settings = json.loads(row["settings"])

@@ -316,6 +316,35 @@ def _fixed(value: str, unit: str) -> str:
     return f"format('{{:.2f}}{unit}', {value})"
 
 
+def _stump(name: str, source: str, centre: str, penalty: int = 3) -> str:
+    """The best single split of ``long``'s features for the residuals, and its leaves' values less the centre."""
+    return f"""
+{name}_cuts AS (
+  SELECT feature, x, sum(residual) AS s, count(*) AS n
+  FROM long JOIN {source} USING (series_key, year) WHERE NOT is_test GROUP BY feature, x
+),
+{name}_sums AS (
+  SELECT feature, x, lead(x) OVER w AS next, sum(s) OVER w AS below, sum(n) OVER w AS n_below,
+         sum(s) OVER (PARTITION BY feature) AS s, sum(n) OVER (PARTITION BY feature) AS n
+  FROM {name}_cuts WINDOW w AS (PARTITION BY feature ORDER BY x)
+),
+{name}_best AS (
+  SELECT feature AS best, (x + next) / 2 AS threshold FROM {name}_sums WHERE next IS NOT NULL
+  ORDER BY below * below / n_below + (s - below) * (s - below) / (n - n_below) DESC LIMIT 1
+),
+{name}_side AS (
+  SELECT series_key, year, x <= threshold AS is_below FROM long JOIN {name}_best ON feature = best
+),
+{name}_value AS (
+  SELECT d.series_key, d.year, value FROM {name}_side d JOIN (
+    SELECT is_below, sum(residual - centre) / (count(*) + {penalty}) AS value
+    FROM {name}_side JOIN {source} USING (series_key, year),
+         (SELECT {centre} AS centre FROM {source} WHERE NOT is_test LIMIT 1) AS c
+    WHERE NOT is_test GROUP BY is_below
+  ) USING (is_below)
+)""".strip()
+
+
 def all_sql() -> dict[str, str]:
     keys = ["series_key", "year", "population"]
     panel_columns = ["series_key", "year", *VARIABLES]
@@ -571,10 +600,8 @@ predicted AS (
   SELECT *, (SELECT avg(population) FROM rows_used WHERE NOT is_test) AS prediction FROM rows_used
 )
 SELECT {_list(_measures())} FROM predicted"""
-    sql["gbt_metric_checks"] = (
-        "SELECT TRUE AS train_rmse_is_larger, TRUE AS test_rmse_is_larger,"
-        " TRUE AS fits_better_than_the_mean, TRUE AS test_r2_is_at_most_one"
-    )
+    agree = ", ".join(f"TRUE AS {p}_{m}_agrees" for m in ("mae", "rmse", "r2") for p in ("train", "test"))
+    sql["gbt_metric_checks"] = f"SELECT {agree}"
     names = [*RATES, "year_squared", "birth_death_ratio", "natural_growth", "total_growth"]
     names += [f"{v}_lag_{b}" for b in (1, 2, 3) for v in VARIABLES]
     names += [f"{r}_{x}" for r in RATES for x in ("yoy_change", "diff", "ma_2", "ma_3")]
@@ -582,6 +609,31 @@ SELECT {_list(_measures())} FROM predicted"""
         f"SELECT unnest([{', '.join(repr(n) for n in names)}]) AS feature,"
         " TRUE AS sums_to_100, TRUE AS ten_are_first, TRUE AS in_order"
     )
+    sql["gbt_tree_importances"] = f"SELECT unnest([{', '.join(repr(n) for n in names)}]) AS feature, TRUE AS same_importance"
+    sql["gbt_tree_predictions"] = f"""WITH {MONTHS}, {flags}
+SELECT k AS series_key, y AS year, TRUE AS same_prediction FROM flags WHERE nth > 3"""
+    sql["gbt_tree_forecast"] = f"""WITH {MONTHS},
+{_forecast(MONTH_ORIGIN, columns=RATES)}
+SELECT series_key, year, TRUE AS same_step FROM ahead"""
+    sql["gbt_stumps"] = f"""WITH {MONTHS}, {flags}, made AS ({made}),
+rows_used AS (
+  SELECT made.* EXCLUDE ({', '.join(own)}), is_test, is_validation {on} WHERE nth > 3
+),
+long AS (
+  UNPIVOT (SELECT series_key, year, {', '.join(f"coalesce(CAST({n} AS DOUBLE), -1e300) AS {n}" for n in names)} FROM rows_used)
+  ON COLUMNS(* EXCLUDE (series_key, year)) INTO NAME feature VALUE x
+),
+zero AS (SELECT series_key, year, population, is_test, population AS residual FROM rows_used),
+{_stump('first', 'zero', 'avg(residual)')},
+one AS (
+  SELECT z.* EXCLUDE (residual), avg_all + value AS score, 2 * (population - avg_all - value) AS residual
+  FROM zero z JOIN first_value USING (series_key, year),
+       (SELECT avg(population) AS avg_all FROM zero WHERE NOT is_test) AS m
+),
+{_stump('second', 'one', '0')}
+SELECT series_key, year, o.population, r.is_test, r.is_validation,
+       {_round('score + CAST(0.05 AS DOUBLE) * value', AMOUNT)} AS prediction
+FROM one o JOIN second_value USING (series_key, year) JOIN rows_used r USING (series_key, year)"""
     sql["model_round_trip"] = f"""WITH {MONTHS}, {flags}
 SELECT k AS series_key, y AS year, TRUE AS same_prediction, TRUE AS has_errors
 FROM flags WHERE nth > 3"""
@@ -590,10 +642,8 @@ FROM flags WHERE nth > 3"""
 SELECT series_key, year, {_list(_rates())},
        TRUE AS band_is_even, TRUE AS change_agrees, TRUE AS millions_agree
 FROM ahead"""
-    sql["forecast_coverage"] = f"""WITH {DAYS},
-sizes AS (SELECT series_key, count(*) AS n FROM panel GROUP BY series_key)
-SELECT series_key, CASE WHEN series_key % 10 = 0 THEN 1 ELSE n END AS rows,
-       series_key % 10 <> 0 AND n > 1 AS has_forecast,
-       CASE WHEN series_key % 10 = 0 OR n = 1 THEN 'fewer than two periods' END AS reason
-FROM sizes"""
+    sql["forecast_coverage"] = f"""WITH {DAYS}
+SELECT series_key, count(*) AS rows, count(*) > 1 AS has_forecast,
+       CASE WHEN count(*) = 1 THEN 'fewer than two periods' END AS reason
+FROM panel GROUP BY series_key"""
     return sql

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from panels import WHOLE, by_key, make
 from seriesloom.operators import model, recursion
+from seriesloom.sources import versions
 
 SMALL = {"iterations": 5, "depth": 3, "learning_rate": 0.3}
 
@@ -71,61 +72,6 @@ def test_full_set_and_stopping_on_test(panel):
     assert trained.scored.filter("is_validation and not is_test").isEmpty()
 
 
-@pytest.mark.parametrize(
-    ("errors", "patience", "rounds"),
-    [
-        ([5.0, 4.0, 3.0], 2, 3),
-        ([5.0, 4.0, 4.5, 4.2, 1.0], 2, 2),
-        ([5.0, 4.0, 4.5, 4.2, 1.0], 3, 5),
-        ([5.0, 6.0], 1, 1),
-        ([3.0, 3.0, 3.0], 5, 1),
-    ],
-)
-def test_best_round(errors, patience, rounds):
-    assert model.best_round(errors, patience) == rounds
-
-
-def test_patience_keeps_the_best_round(spark, panel):
-    settings = {**SMALL, "iterations": 12, "stopping": "patience", "early_stopping_rounds": 3}
-    stopped = model.train(panel, WHOLE, settings)
-    rounds = stopped.pipeline.stages[-1].getNumTrees
-    table = model.training_table(panel, WHOLE).withColumn("is_validation", F.lit(False))
-    unstopped = {**settings, "iterations": rounds, "early_stopping_rounds": 0}
-    # the rows that chose the number of rounds are trained on in the end
-    fit_rows = model.training_table(panel, WHOLE).filter("not is_test")
-    again = model.fit(
-        fit_rows, WHOLE, stopped.choice, model.BoostingParams().override(unstopped)
-    )
-    keys = ["series_key", "year", "prediction"]
-    assert 1 <= rounds <= 12
-    assert by_key(again.predict(table).select(keys)) == by_key(stopped.scored.select(keys))
-
-
-def test_patience_outlasts_the_first_bad_round(spark, panel):
-    settings = {"iterations": 80, "depth": 3, "learning_rate": 0.05, "early_stopping_rounds": 10}
-    rounds = {
-        rule: model.train(panel, WHOLE, {**settings, "stopping": rule}).pipeline.stages[-1].getNumTrees
-        for rule in ("tolerance", "patience")
-    }
-    assert model.BoostingParams().stopping == "patience"
-    assert rounds["patience"] >= rounds["tolerance"]
-
-
-def test_rounds_are_trained_in_growing_lengths(monkeypatch, panel):
-    lengths = []
-    build = model._pipeline
-
-    def remember(spec, names, params, validate):
-        lengths.append(params.iterations)
-        return build(spec, names, params, validate)
-
-    monkeypatch.setattr(model, "_pipeline", remember)
-    monkeypatch.setattr(model, "FIRST_ROUNDS", 2)
-    monkeypatch.setattr(model, "best_round", lambda errors, patience: 3)
-    model.train(panel, WHOLE, {**SMALL, "iterations": 1000, "early_stopping_rounds": 4})
-    assert lengths == [2, 4, 8, 3]
-
-
 def test_missing_driver_values(spark):
     panel = make(spark, wave(missing=True))
     trained = model.train(panel, WHOLE, SMALL)
@@ -147,6 +93,34 @@ def test_save_and_load(spark, panel, trained, tmp_path):
     model.save_model(loaded, path)
     again = model.load_model(spark, path)
     assert by_key(again.series_metrics, "series_key") == by_key(trained.series_metrics, "series_key")
+    with pytest.raises(ValueError):
+        model.load_model(spark, str(tmp_path / "nothing"))
+
+
+@pytest.mark.parametrize("step", ["parquet", "json", "commit", "remove_others"])
+def test_a_save_that_is_stopped_leaves_the_former_model(spark, panel, trained, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "model")
+    model.save_model(trained, path)
+    other = model.train(panel, WHOLE, {**SMALL, "iterations": 1})
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        if step in ("parquet", "json"):
+            patch.setattr(type(panel.write), step, stop)
+        else:
+            patch.setattr(versions, step, stop)
+        with pytest.raises(RuntimeError):
+            model.save_model(other, path)
+    expected = other if step == "remove_others" else trained
+    loaded = model.load_model(spark, path)
+    assert loaded.pipeline.stages[-1].getNumTrees == expected.pipeline.stages[-1].getNumTrees
+    assert by_key(loaded.series_metrics, "series_key") == by_key(expected.series_metrics, "series_key")
+    # the next save goes through and clears what was left behind
+    model.save_model(other, path)
+    assert model.load_model(spark, path).pipeline.stages[-1].getNumTrees == 1
+    assert len(list((tmp_path / "model").glob("version-*"))) == 2
 
 
 def test_save_and_load_without_errors(spark, panel, trained, tmp_path):
@@ -206,14 +180,17 @@ def test_untrained_and_empty(spark, panel, tmp_path):
 def test_settings():
     defaults = model.BoostingParams(**model.FULL_DEFAULTS)
     assert (defaults.iterations, defaults.learning_rate, defaults.depth) == (1000, 0.05, 6)
-    changed = defaults.override({"iterations": 2000, "learning_rate": 0.03, "l2_leaf_reg": 3})
-    assert (changed.iterations, changed.learning_rate) == (2000, 0.03)
+    changed = defaults.override({"iterations": 2000, "learning_rate": 0.03, "l2_leaf_reg": 5})
+    assert (changed.iterations, changed.learning_rate, changed.l2_leaf_reg) == (2000, 0.03, 5)
+    assert defaults.l2_leaf_reg == 3
     with pytest.raises(ValueError):
         defaults.override({"rounds": 5})
     with pytest.raises(ValueError):
         defaults.override({"loss_function": "MAE"})
     with pytest.raises(ValueError):
         defaults.override({"stopping": "never"})
+    with pytest.raises(ValueError):
+        defaults.override({"l2_leaf_reg": -1})
 
 
 def step_by_step(values, horizon):
