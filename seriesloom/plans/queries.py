@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions import text
 from seriesloom.functions.arithmetic import lenient_double, pct_change, whole_part
-from seriesloom.operators import charts, features, history, metrics, model, recursion, report
+from seriesloom.operators import append, charts, features, history, metrics, model, recursion, report
 from seriesloom.operators import split, trees, trend
 from seriesloom.session import scratch_path, written
 from seriesloom.sources import panel_csv, tables
@@ -119,6 +119,38 @@ def csv_round_trip(spark, folder):
     return panel_csv.read_panel(spark, path, DAY_SPEC)
 
 
+@query
+def csv_rejects(spark, folder):
+    """Lines of a panel's file, some of them damaged, by what reading them says."""
+    panel = days(spark, folder)
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in DAY_SPEC.columns}
+
+    def line(**other):
+        return F.concat_ws(",", *{**text, **other}.values())
+
+    whole = line()
+    damaged = (
+        F.when(F.col("birth_rate") > 0, F.substring_index(whole, ",", 4))
+        .when(F.col("death_rate") > 0, F.concat(whole, F.lit(",1")))
+        .when(F.col("migration_rate") > 0, line(year=F.lit("soon")))
+        .when(F.col("migration_rate") < -1, line(series_key=F.lit("")))
+    )
+    path = scratch_path(spark, "lines")
+    panel.select(F.coalesce(damaged, whole)).write.text(path)
+    header = spark.createDataFrame([(",".join(DAY_SPEC.columns),)], "line string")
+    header.write.mode("append").text(path)
+    found = panel_csv.read_checked(spark, path, DAY_SPEC)
+    # the period stands behind the key in every line but those without one
+    year = F.get(F.split("line", ","), F.lit(1)).try_cast("bigint")
+    refused = found.rejected.select("reason", year.alias("year"))
+    accepted = found.panel.select(F.lit("accepted").alias("reason"), F.col("year").cast("bigint"))
+    return (
+        accepted.unionByName(refused)
+        .groupBy("reason")
+        .agg(F.count("*").alias("lines"), F.sum("year").alias("years"))
+    )
+
+
 @query
 def lenient_cast(spark, folder):
     """Order amounts as text, withheld for one priority, read back leniently."""
@@ -188,6 +220,32 @@ def trend_coefficients_long(spark, folder):
     return rounded(lines, bits)
 
 
+def _with_last_day_appended(spark, folder) -> append.Appended:
+    """The user-day panel up to its last day as states, and that day appended."""
+    panel = once(days(spark, folder))
+    last = panel.agg(F.max("year")).first()[0]
+    path = scratch_path(spark, "state")
+    append.save_state(append.state_of(panel.filter(F.col("year") < last), DAY_SPEC), path)
+    return append.append(append.load_state(spark, path), panel.filter(F.col("year") == last), DAY_SPEC)
+
+
+@query
+def append_features(spark, folder):
+    """Features of the last day's rows from the states of the days before."""
+    return _with_last_day_appended(spark, folder).features
+
+
+@query
+def append_lines(spark, folder):
+    """Lines of all days from merged states."""
+    state = _with_last_day_appended(spark, folder).state
+    lines = append.lines_of(state, DAY_SPEC)
+    bits = {
+        c: AMOUNT_BITS if c.startswith("population") else RATE_BITS for c in lines.columns[1:]
+    }
+    return state.select("series_key", "rows", "last_period").join(rounded(lines, bits), "series_key")
+
+
 @query
 def future_frame(spark, folder):
     last = days(spark, folder).groupBy("series_key").agg(F.max("year").alias("last_period"))

@@ -88,3 +88,63 @@ def test_user_day_counts_days_across_months(spark):
 def test_training_checkpoints_go_to_the_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert named in spark.sparkContext.getCheckpointDir()
+
+
+LINES = """series_key,year,population,birth_rate,death_rate,migration_rate
+1,2001,100,1.5,2.5,-0.5
+ 1 , 2002 , 200 , 1.0 , 2.0 , -0.6 
+1,2003,,NaN,x,1.5
+
+1,2004,5
+1,2005,1,2,3,4,5
+,2006,1,2,3,4
+key,2007,1,2,3,4
+1,soon,1,2,3,4
+1,2008.5,1,2,3,4
+"1","2009","7","1","2","3"
+"1,5",2011,1,2,3,4
+1,2012,1,2,3,4,
+series_key, year, population, birth_rate, death_rate, migration_rate
+1,2010,1,2,3,
+"""
+
+
+def test_rejected_lines(spark, tmp_path):
+    path = tmp_path / "panel.csv"
+    path.write_text(LINES)
+    found = panel_csv.read_checked(spark, str(path), WHOLE)
+    rows = by_key(found.panel)
+    assert [tuple(r) for r in rows] == [
+        (1, 2001, 100.0, 1.5, 2.5, -0.5),
+        (1, 2002, 200.0, 1.0, 2.0, -0.6),
+        (1, 2003, None, None, None, 1.5),
+        (1, 2009, 7.0, 1.0, 2.0, 3.0),
+        (1, 2010, 1.0, 2.0, 3.0, None),
+    ]
+    refused = {r["line"]: r["reason"] for r in found.rejected.collect()}
+    assert refused == {
+        "1,2004,5": panel_csv.TOO_FEW,
+        "1,2005,1,2,3,4,5": panel_csv.TOO_MANY,
+        ",2006,1,2,3,4": panel_csv.NO_KEY,
+        "key,2007,1,2,3,4": panel_csv.NO_KEY,
+        "1,soon,1,2,3,4": panel_csv.NO_PERIOD,
+        "1,2008.5,1,2,3,4": panel_csv.NO_PERIOD,
+        '"1,5",2011,1,2,3,4': panel_csv.NO_KEY,
+        "1,2012,1,2,3,4,": panel_csv.TOO_MANY,
+    }
+    assert {r["file"].rsplit("/", 1)[1] for r in found.rejected.collect()} == {"panel.csv"}
+    lines = [x for x in LINES.split("\n") if x.strip() and not x.startswith("series_key")]
+    assert len(rows) + len(refused) == len(lines)
+
+    strict = panel_csv.read_checked(spark, str(path), WHOLE, strict=True)
+    assert strict.panel.count() == 4
+    assert strict.rejected.filter("reason = 'no number in death_rate'").count() == 1
+
+
+def test_checked_files_give_the_same_panel(spark, tmp_path):
+    panel = make(spark, random_rows(8)).repartition(3)
+    path = str(tmp_path / "csv")
+    panel_csv.write_csv(panel, path)
+    found = panel_csv.read_checked(spark, path, WHOLE)
+    assert found.panel.dtypes == panel.dtypes
+    assert by_key(found.panel) == by_key(panel) and found.rejected.isEmpty()

@@ -61,3 +61,13 @@ def test_two_rows(spark):
     assert trend.fit_lines(panel, WHOLE).first()["population_slope"] == pytest.approx(2.0)
     assert [r["population_ma_3"] for r in by_key(full_features(panel, WHOLE))] == [0.0, 0.0]
     assert [r["population_ma_2"] for r in by_key(full_features(panel, WHOLE))] == [0.0, 5.0]
+
+
+def test_driver_forecast_keeps_series_with_any_line(spark):
+    rows = [(1, t, 5.0, None, 2.0 * t, 1.0) for t in range(4)] + [(2, t, 5.0, None, None, None) for t in range(4)]
+    found = by_key(trend.driver_forecast(make(spark, rows), WHOLE, 2))
+    assert [(r["series_key"], r["year"], r["birth_rate"], r["death_rate"]) for r in found] == [
+        (1, 4, None, 8.0),
+        (1, 5, None, 10.0),
+    ]
+    assert trend.trend_forecast(make(spark, rows), WHOLE, 2).count() == 4
