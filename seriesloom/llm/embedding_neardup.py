@@ -26,7 +26,7 @@ AUDIT = 64
 RECALL = 0.99
 
 NODE = (
-    "label string, dim int, shard int, h1 long, h2 long, id long, n long, vector array<double>, "
+    "label string, dim int, shard int, shards int, h1 long, h2 long, id long, n long, vector array<double>, "
     "level int, links array<array<int>>, n_links long, root long"
 )
 
@@ -155,17 +155,17 @@ def embedding_neardup(
     placed = alike.join(shards, ["label", "dim"]).withColumn(
         "shard", F.pmod("h1", "shards").cast("int")
     )
+    # dealt out by all keys: the join's own partitions hold whole labels
     graphs = written(
-        placed.drop("shards")
+        placed.repartition("label", "dim", "shard")
         .groupBy("label", "dim", "shard")
         .applyInPandas(lambda part: _built(part, least)[[c.split()[0] for c in NODE.split(", ")]], NODE),
         "graphs",
     )
     found = graphs.select("h1", "h2", "id", "n_links", F.array("root").alias("roots"))
 
-    several = shards.filter("shards > 1")
-    if not several.isEmpty():
-        spread = graphs.join(several, ["label", "dim"])
+    spread = graphs.filter("shards > 1")
+    if not spread.isEmpty():
         others = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
         nodes = spread.withColumn("asking", others).filter("asking <> shard")
         queries = spread.select(

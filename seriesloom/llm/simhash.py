@@ -166,8 +166,10 @@ def links(prints: DataFrame, max_bits: int, parts: int, small: int, block: int)
 
     homes = dealt(table, "hn", "gn").withColumn("home", F.lit(True))
     visits = dealt(guests.withColumnRenamed("guest", "fp"), "gn", "hn").withColumn("home", F.lit(False))
+    # dealt out by all keys: the joins' own partitions hold whole buckets
     many = (
         homes.unionByName(visits)
+        .repartition("seg", "value", "h", "g")
         .groupBy("seg", "value", "h", "g")
         .applyInPandas(lambda b: _spanning(b, max_bits), "u long, v long")
     )

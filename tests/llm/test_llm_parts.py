@@ -1,5 +1,6 @@
 """Parts of the text operators: graphs, sorting, seating, fitting, crowded groups."""
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -267,3 +268,38 @@ def test_label_model_finds_who_is_right():
     guess = model.posterior(votes) > 0.5
     majority = votes.sum(axis=1) > 0
     assert (guess == (truth > 0))[voted].mean() > (majority == (truth > 0))[voted].mean()
+
+
+def exchanges_below(plan, operator):
+    """The keys of the nearest exchange below each occurrence of an operator in a physical plan."""
+    found = []
+    for part in plan.split(operator)[1:]:
+        match = re.search(r"hashpartitioning\(([^)]*)\)", part)
+        found.append({re.sub(r"#\d+L?$", "", key.strip()) for key in match.group(1).split(",")[:-1]})
+    return found
+
+
+def test_shards_and_blocks_are_dealt_out_by_all_keys(spark, monkeypatch):
+    """At scale joins sort and merge, and a group's shards or blocks must not stay with its key."""
+    plans = []
+    grouped_frame = type(spark.range(1).groupBy("id"))
+    build = grouped_frame.applyInPandas
+
+    def remember(self, *args, **kwargs):
+        made = build(self, *args, **kwargs)
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(grouped_frame, "applyInPandas", remember)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, [float(i % 7), 1.0, float(i)], "x") for i in range(60)]
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+        assert embedding_neardup.embedding_neardup(vectors, shard=10).count() == 60
+        assert exchanges_below(plans[0], "FlatMapGroupsInPandas")[0] == {"label", "dim", "shard"}
+        plans.clear()
+        prints = spark.createDataFrame([(i,) for i in range(300)], "fp long")
+        simhash.links(prints, 4, 3, 4, 16).count()
+        assert exchanges_below(plans[0], "FlatMapGroupsInPandas")[0] == {"seg", "value", "h", "g"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
