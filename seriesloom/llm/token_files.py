@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from seriesloom.llm.polyhash import FACTOR, Prefixes, mixed
 from seriesloom.session import written
 
 # Bytes of text per part, about: some 100 MB of 16-bit ids.
@@ -45,11 +46,9 @@ READ_IDS = 1 << 24
 # Bytes of ids handed to Spark at once.
 READ_BYTES = 1 << 23
 
-# Characters that are split and looked up together.
-STRETCH = 1 << 18
-# Words that a worker remembers, and the longest of them.
+# Characters that are cut and looked up together, and words that a worker remembers.
+STRETCH = 1 << 20
 KNOWN = 1 << 21
-LONGEST = 64
 
 # Fixed value: all that any tokenizer may hold for a blank, and more, but for space and line break.
 _OTHER = r"\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
@@ -58,8 +57,10 @@ _OTHER_BLANK = re.compile(f"[{_OTHER}]")
 _IRREGULAR = re.compile(f"[ \n{_OTHER}]{{3}}|[ \n{_OTHER}]{{2}}\\Z")
 _PAIRS = ("  ", " \n", "\n ", "\n\n")
 _BETWEEN = re.compile(f"(?<![ \n{_OTHER}]) (?![ \n{_OTHER}])")
-# Never a character of a text that is cut.
-_CUT = "\U0010ffff"
+_SPACE, _LINE = 32, 10
+
+# A number for each byte, for the second of two hashes.
+_CHECKS = mixed(np.arange(1, 257, dtype=np.uint64) * FACTOR)
 
 PARTS = "number int, name string, docs long, ids long, without_id long"
 
@@ -70,6 +71,37 @@ def id_type(definition: str, end_id: int) -> str:
     return "<u2" if largest < 1 << 16 else "<u4"
 
 
+class Words:
+    """The ids of words, by two hashes of their bytes, in the order of the first."""
+
+    def __init__(self, dtype: str):
+        self.hashes, self.checks = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, dtype)
+
+    def places(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where ascending hashes are or belong, and which of them are there."""
+        at = np.searchsorted(self.hashes, hashes)
+        near = np.minimum(at, len(self.hashes) - 1)
+        if not len(self.hashes):
+            return at, np.zeros(len(at), bool)
+        same = self.hashes[near] == hashes
+        if (self.checks[near] != checks)[same].any():
+            raise HashesMeet
+        return at, same
+
+    def add(self, at: np.ndarray, hashes: np.ndarray, checks: np.ndarray, ids: list[bytes]) -> None:
+        sizes = np.array([len(i) for i in ids], np.int64) // self.ids.itemsize
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        self.hashes, self.checks = np.insert(self.hashes, at, hashes), np.insert(self.checks, at, checks)
+        self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), self.ids.dtype)])
+
+
+class HashesMeet(Exception):
+    """Two words have one hash."""
+
+
 class Encoder:
     """A tokenizer in a worker, which remembers the ids of words.
 
@@ -91,33 +123,30 @@ class Encoder:
         parts = json.loads(definition)
         self.added = [t["content"] for t in parts.get("added_tokens") or []]
         self.cuts = _cuts_at_spaces(parts)
-        # words of late, and those of the time before
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = Words(dtype)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text, and the end, as bytes."""
         found: list[list[bytes]] = [[] for _ in texts]
-        waiting, length = [], 0
+        waiting: list[tuple[int, str]] = []
+        length = 0
         for n, text in enumerate(texts):
             if not self._regular(text):
                 found[n] += self._whole([text])
                 continue
             for stretch in _stretches(text):
-                words = stretch.replace(" ", f"{_CUT} ").replace("\n", f"{_CUT}\n{_CUT}").split(_CUT)
-                waiting.append((n, words))
+                waiting.append((n, stretch))
                 length += len(stretch)
                 if length >= STRETCH:
-                    self._look_up(waiting, found)
+                    self._flush(waiting, found)
                     waiting, length = [], 0
-        self._look_up(waiting, found)
+        self._flush(waiting, found)
         return [b"".join([*parts, self.end]) for parts in found]
 
     def _regular(self, text: str) -> bool:
         return (
             self.cuts
             and not any(token in text for token in self.added)
-            and _CUT not in text
             and not _has_irregular_blanks(text)
         )
 
@@ -125,19 +154,52 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
-    def _look_up(self, waiting: list[tuple[int, list[str]]], found: list[list[bytes]]) -> None:
-        needed = set().union(*[words for _, words in waiting])
-        new = needed.difference(self.known)
-        if len(self.known) + len(new) > KNOWN // 2:
-            self.known, self.older, new = {}, self.known, needed
-        learnt = [word for word in new if word not in self.older]
-        near = {word: self.older[word] for word in new if word in self.older}
-        near.update(zip(learnt, self._whole(learnt)))
-        self.known.update((word, ids) for word, ids in near.items() if len(word) <= LONGEST)
-        # a table of these texts' words alone stays in the processor's cache
-        near.update((word, self.known[word]) for word in needed if word not in near)
-        for n, words in waiting:
-            found[n].append(b"".join(map(near.__getitem__, words)))
+    def _flush(self, waiting: list[tuple[int, str]], found: list[list[bytes]]) -> None:
+        stretches = [stretch for _, stretch in waiting]
+        if not any(stretches):
+            return
+        try:
+            encoded = self._by_words(stretches)
+        except HashesMeet:
+            encoded = self._whole(stretches)
+        for (n, _), ids in zip(waiting, encoded):
+            found[n].append(ids)
+
+    def _by_words(self, stretches: list[str]) -> list[bytes]:
+        parts = [stretch.encode() for stretch in stretches]
+        data = b"".join(parts)
+        codes = np.frombuffer(data, np.uint8)
+        bounds = np.cumsum([0, *map(len, parts)])
+        line = codes == _LINE
+        first = (codes == _SPACE) | line
+        first[1:] |= line[:-1]
+        first[bounds[bounds < len(codes)]] = True
+        starts = np.flatnonzero(first)
+        ends = np.append(starts[1:], len(codes))
+
+        hashes, which, place = np.unique(
+            mixed(Prefixes(codes).run(starts, ends)), return_index=True, return_inverse=True
+        )
+        checks = Prefixes(_CHECKS[codes]).run(starts, ends)
+        if (checks[which][place] != checks).any():
+            raise HashesMeet
+        if len(self.known.hashes) + len(hashes) > KNOWN or len(self.known.ids) > 8 * KNOWN:
+            self.known = Words(self.dtype)
+        at, there = self.known.places(hashes, checks[which])
+        new = ~there
+        if new.any():
+            spans = zip(starts[which][new].tolist(), ends[which][new].tolist())
+            ids = self._whole([data[a:b].decode() for a, b in spans])
+            self.known.add(at[new], hashes[new], checks[which][new], ids)
+            at = np.searchsorted(self.known.hashes, hashes)
+
+        sizes = self.known.sizes[at][place]
+        ends_at = np.cumsum(sizes)
+        shift = self.known.starts[at][place] - (ends_at - sizes)
+        ids = self.known.ids[np.repeat(shift, sizes) + np.arange(ends_at[-1])]
+        # ids before each stretch: those of the words before it
+        cuts = np.append(0, ends_at)[np.searchsorted(starts, bounds)]
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 def _has_irregular_blanks(text: str) -> bool:

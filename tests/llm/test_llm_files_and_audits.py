@@ -78,7 +78,15 @@ def test_long_texts_are_cut_between_words(encoder, library, monkeypatch):
     small = encoder()
     same_ids(small, library, [VERY_LONG[:20000], odd_places, "", odd_places[::-1]])
     assert small._regular(odd_places) and len(list(token_files._stretches(odd_places))) > 5
-    assert all(len(word) <= token_files.LONGEST for word in small.known)
+    assert len(small.known.hashes) <= 40
+
+
+def test_words_whose_hashes_meet(encoder, library, monkeypatch):
+    monkeypatch.setattr(token_files, "mixed", lambda x: x & np.uint64(15))
+    one = encoder()
+    texts = [VERY_LONG[:3000], "some other words", "some words"]
+    same_ids(one, library, texts)
+    same_ids(one, library, [t[::-1] for t in texts])
 
 
 def test_token_files(spark, docs, none, library, tmp_path):  # noqa: F811
