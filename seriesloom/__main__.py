@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from seriesloom.plans.run import RUN_OPTIONS, RUN_SETTINGS, run_forecast, run_trend
+from seriesloom.session import remove_written
 from seriesloom.sources.panel_csv import read_panel, read_single_series
 from seriesloom.spec import PanelSpec
 
@@ -66,6 +67,8 @@ def main() -> None:
         _show("Growth", run.summary.orderBy(spec.series_key))
         _show("Forecast", run.forecast_table.orderBy(spec.series_key, "Year"))
         _show("History and forecast", run.combined_table.orderBy(spec.series_key, "Year"))
+    # all results are shown or stored
+    remove_written(spark)
     spark.stop()
 
 
