@@ -114,14 +114,16 @@ class Booster:
         if not self.penalty:
             return tuple(values)
         centre = 0.0 if number else self.mean
-        sums = (
+        leaf = (
             tree.transform(training)
             .groupBy(LEAF)
             .agg(F.sum(F.col("residual") - centre).alias("sum"), F.count("*").alias("n"))
-            .collect()  # a row per leaf
         )
-        for row in sums:
-            values[int(row[LEAF])] = centre + row["sum"] / (row["n"] + self.penalty)
+        # an entry per leaf
+        entry = F.struct(F.col(LEAF).cast("int"), F.col("sum") / (F.col("n") + self.penalty))
+        sums = leaf.agg(F.map_from_entries(F.collect_list(entry))).first()[0]
+        for place, value in sums.items():
+            values[place] = centre + value
         return tuple(values)
 
     def _advanced(self, scored: DataFrame, number: int) -> DataFrame:

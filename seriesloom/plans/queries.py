@@ -659,8 +659,13 @@ def gbt_metric_checks(spark, folder):
     again = _predicted_again(panel, trained, nodes)
     table = trained.scored.drop("prediction").join(again, ["series_key", "year"])
     other = metrics.score(table, MONTH_SPEC)
-    both = trained.metrics().select(F.struct("*").alias("a")).join(other.select(F.struct("*").alias("b")), F.lit(True))
-    return both.select(*[_close(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(f"{c}_agrees") for c in other.columns])
+    names = other.columns
+    both = trained.metrics().withColumn("again", F.lit(False)).unionByName(other.withColumn("again", F.lit(True)))
+
+    def of(name: str, again: bool) -> Column:
+        return F.max(F.when(F.col("again") == again, F.col(name)))
+
+    return both.agg(*[_close(of(c, False), of(c, True)).alias(f"{c}_agrees") for c in names])
 
 
 def _trees(spark, folder) -> tuple[DataFrame, model.TrainedModel, DataFrame]:

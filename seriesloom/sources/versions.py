@@ -54,7 +54,7 @@ def committed(spark: SparkSession, path: str) -> str | None:
     """What the marker of ``path`` says; None without one."""
     if not exists(spark, f"{path}/{MARKER}"):
         return None
-    return "\n".join(r[0] for r in spark.read.text(f"{path}/{MARKER}").collect())
+    return spark.read.text(f"{path}/{MARKER}", wholetext=True).first()[0]
 
 
 def remove_others(spark: SparkSession, path: str, kept: set[str], name: str = "version") -> None:
