@@ -241,18 +241,47 @@ def test_contexts_share_what_they_know(spark):
     assert found[900] > found[901] + 0.5
 
 
-def test_machine_learns_pairs():
-    """Neither of two terms is toxic alone, both are together."""
-    rng = np.random.default_rng(8)
-    rows, labels = [], []
-    for _ in range(600):
-        terms = set(rng.choice(np.arange(2, 20), 4, replace=False).tolist())
-        terms |= {t for t in (0, 1) if rng.random() < 0.5}
-        rows.append(np.array(sorted(terms)))
-        labels.append(float({0, 1} <= terms))
-    machine = toxicity.Machine.fit(np.arange(20), rows, np.array(labels))
-    scores = {pair: machine.score(np.array(pair, np.int64)) for pair in ((), (0,), (1,), (0, 1))}
-    assert scores[0, 1] > 0.8 and max(scores[()], scores[0,], scores[1,]) < 0.5
+def test_machine_learns_pairs(spark):
+    """Two terms that say nothing alone, among 5,000 neutral ones: toxic is just one of them."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    vocabulary = ["".join(rng.choice(letters, rng.integers(4, 10))) for _ in range(5000)]
+    rows = []
+    for i in range(5000):
+        marks = [m for m in ("insultish", "groupname") if rng.random() < 0.5]
+        words = [vocabulary[j] for j in rng.choice(5000, 12, replace=False)] + marks
+        rows.append((i, " ".join(rng.permutation(words)), int(len(marks) == 1)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    machine = toxicity.fit(df.select("doc_id", "text"), df.filter("doc_id < 4000").select("doc_id", "toxic"))
+    found = toxicity.score(df.filter("doc_id >= 4000"), machine).collect()
+    assert sum((r.score > 0.5) == bool(r.toxic) for r in found) > 0.95 * len(found)
+
+
+def plain_terms(text):
+    """Distinct buckets of a text, worked out word by word."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    counts = Counter(t for w in words for t in toxicity.word_terms(w))
+    found = {(t + i) % toxicity.BUCKETS for t, n in counts.items() for i in range(5) if n >= 2**i}
+    return sorted(found | {toxicity._hashed(f"#{len(words).bit_length()}")})
+
+
+def test_toxicity_scores_are_those_of_all_pairs(spark):
+    """Buckets and scores against a plain version that adds up every pair of buckets."""
+    texts = ["you awful awful AWFUL thing", None, "", "12 _ 34", "fine words " * 40, "\u00c4rger \u0130stanbul"]
+    texts += ["a fine day at sea", "awful day for you"] * 30
+    rows = [(i, t, int("awful" in (t or ""))) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    machine = toxicity.fit(df, df)
+    starts, buckets = toxicity.text_buckets(texts, toxicity.Words())
+    found = {r.doc_id: r.score for r in toxicity.score(df, machine).collect()}
+    for i, text in enumerate(texts):
+        own = plain_terms(text)
+        assert buckets[starts[i] : starts[i + 1]].tolist() == own
+        f = machine.factors[own].astype(float)
+        pairs = sum(f[x] @ f[y] for x in range(len(own)) for y in range(x))
+        total = machine.bias + machine.linear[own].sum() + pairs / len(own)
+        assert abs(found[i] - 1 / (1 + np.exp(-total))) < 1e-9
+    assert min(found[i] for i, _, t in rows if t) > max(found[i] for i, _, t in rows if not t)
 
 
 def test_label_model_finds_who_is_right():
