@@ -30,21 +30,26 @@ EM_ROUNDS = 200
 # Texts are dropped below this score: only those that are more likely bad by far.
 LEAST = 0.3
 
-# For each signal: on which side of which value its labeller says bad, and good.
-# Kinds of junk exclude each other, so not to look like one of them says nothing: only prose is good.
+# For each signal: where its labeller says bad, and where good. Between the two it abstains, as it
+# does where the signal is null. Kinds of junk exclude each other, so a labeller of one kind only says bad.
 LABELLERS = {
     "prose": (("below", 0.5), ("above", 0.85)),
-    "words": (("below", 3), None),
+    "sentences": (("outside", 0.02, 0.5), ("inside", 0.04, 0.2)),
+    "varied": (("below", 0.3), ("above", 0.55)),
+    "word_length": (("outside", 3.0, 7.0), ("inside", 4.0, 6.0)),
+    "small_letters": (("below", 0.4), ("inside", 0.7, 0.97)),
+    "commas": (None, ("inside", 0.02, 0.15)),
     "symbols": (("above", 0.08), None),
     "capitals": (("above", 0.4), None),
     "repeats": (("above", 0.15), None),
     "bare_symbols": (("above", 0.1), None),
-    "digits": (("above", 0.3), None),
-    "word_length": (("above", 20), None),
     "exclamations": (("above", 0.2), None),
 }
-# What a labeller's accuracy is before any vote is seen, and how many votes that counts for.
-FIRST_ACCURACY, FIRST_VOTES = 0.85, 10
+# How far a labeller is trusted before any vote is seen, and how many texts that counts for.
+FIRST_ACCURACY, FIRST_TEXTS = 0.85, 10
+VOTES = (-1, 0, 1)
+# Shorter texts show nothing of sentences and variety.
+LEAST_WORDS = 10
 LOWER, UPPER, DIGIT, BLANK, STOP, SYMBOL = range(6)
 
 
@@ -80,19 +85,22 @@ class Text:
         """What the labellers look at; null where there is nothing to look at."""
         n, words = np.bincount(self.classes, minlength=6), len(self.words)
         letters, marks = n[LOWER] + n[UPPER], n.sum() - n[BLANK]
+        enough = words if words >= LEAST_WORDS else 0
 
         def share(part, whole):
             return float(part) / float(whole) if whole else None
 
         return {
-            "words": float(words),
             "prose": share(self.plain - self.repeats, words),
             "symbols": share(n[SYMBOL], marks),
             "capitals": share(n[UPPER], letters),
             "repeats": share(self.repeats, words - 1) if words > 1 else None,
             "bare_symbols": share(sum(len(w) == 1 and not w.isalnum() for w in self.words), words),
-            "digits": share(n[DIGIT], marks),
             "word_length": share(marks, words),
+            "sentences": share(sum(w[-1] in ".!?" for w in self.words), enough),
+            "varied": share(len(set(self.words)), enough),
+            "small_letters": share(sum(w[0].islower() for w in self.words), enough),
+            "commas": share(sum(w[-1] == "," for w in self.words), enough),
             "exclamations": share((self.points == ord("!")).sum(), words),
         }
 
@@ -104,7 +112,12 @@ class Text:
             value = signals[name]
             if rule is None or value is None:
                 return False
-            return value > rule[1] if rule[0] == "above" else value < rule[1]
+            side, *bounds = rule
+            if side == "above":
+                return value > bounds[0]
+            if side == "below":
+                return value < bounds[0]
+            return (bounds[0] <= value <= bounds[1]) == (side == "inside")
 
         return tuple(
             -1 if says(name, bad) else int(says(name, good))
@@ -129,30 +142,49 @@ class Text:
 
 @dataclass
 class LabelModel:
-    """``accuracy``: how often a labeller that votes is right. To abstain says nothing."""
+    """How texts of either class, bad and good, are voted on, and how many are good.
 
+    ``rates[c, j, v]`` is how often labeller j gives the vote ``VOTES[v]`` to a text of
+    class c, ``accuracy`` how often a labeller that votes is right.
+    """
+
+    good: float
+    rates: np.ndarray
     accuracy: np.ndarray
 
     @classmethod
     def fit(cls, votes: np.ndarray, counts: np.ndarray) -> LabelModel:
-        """Expectation maximisation; both classes are as likely before any vote."""
-        model = cls(np.full(votes.shape[1], FIRST_ACCURACY))
-        cast = ((votes != 0) * counts[:, None]).sum(axis=0)
-        for _ in range(EM_ROUNDS):
-            p = model.posterior(votes)[:, None]
-            right = (np.where(votes > 0, p, 1 - p) * (votes != 0) * counts[:, None]).sum(axis=0)
-            new = cls((right + FIRST_ACCURACY * FIRST_VOTES) / (cast + FIRST_VOTES))
-            moved = np.abs(new.accuracy - model.accuracy).max()
-            model = new
+        """Expectation maximisation of the share of good texts and of all rates.
+
+        It starts from labellers that are all right as often. Without any vote
+        every text is as likely good as bad.
+        """
+        given = (votes[:, :, None] == np.array(VOTES)).astype(float)
+        shares = (given * counts[:, None, None]).sum(axis=0) / max(1.0, counts.sum())
+        lean = np.array([2 * FIRST_ACCURACY, 1.0, 2 - 2 * FIRST_ACCURACY])
+        # for bad and good texts; a vote nobody gave says nothing
+        first = np.stack([shares * lean, shares * lean[::-1]]) + 1e-9
+        model = cls(0.5, first / first.sum(axis=2, keepdims=True), np.full(votes.shape[1], FIRST_ACCURACY))
+        for _ in range(EM_ROUNDS if len(votes) else 0):
+            p = model.posterior(votes)
+            weight = np.stack([1 - p, p]) * counts
+            seen = np.einsum("cn,njv->cjv", weight, given) + FIRST_TEXTS * first
+            rates = seen / seen.sum(axis=2, keepdims=True)
+            right, wrong = seen[0, :, 0] + seen[1, :, 2], seen[1, :, 0] + seen[0, :, 2]
+            good = (weight[1].sum() + FIRST_TEXTS / 2) / (counts.sum() + FIRST_TEXTS)
+            moved = np.abs(rates - model.rates).max()
+            model = cls(float(good), rates, right / (right + wrong))
             if moved < 1e-9:
                 break
         return model
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """Probability that each row of votes is of a good text; labellers are better than chance."""
-        accuracy = np.clip(self.accuracy, 0.55, 0.98)
-        total = votes @ (np.log(accuracy) - np.log(1 - accuracy))
-        return 1 / (1 + np.exp(-total))
+        """Probability that each row of votes is of a good text; to abstain says nothing."""
+        ratio = np.log(self.rates[1]) - np.log(self.rates[0])
+        ratio[:, VOTES.index(0)] = 0
+        total = np.log(self.good) - np.log(1 - self.good)
+        total = total + ratio[np.arange(votes.shape[1]), votes + 1].sum(axis=1)
+        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
 @dataclass
@@ -193,8 +225,13 @@ def vote_counts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Scorer:
-    """Label model over the votes on all texts, scorer over ``sample`` texts at most."""
-    # at most 3 patterns to the power of the labellers
+    """Label model over the votes on all texts, scorer over ``sample`` texts at most.
+
+    A null text is empty. Rows without an id vote but are not learned from,
+    rows with the same id and text are learned from as often as they occur, and
+    an empty table gives a scorer that says one half.
+    """
+    # at most 3 patterns to the power of the labellers that say both, 2 to that of the others: 15,552
     patterns = vote_counts(docs, text).toPandas()
     votes = np.array(patterns["votes"].tolist(), int).reshape(len(patterns), len(LABELLERS))
     order = np.lexsort(votes.T)
@@ -226,8 +263,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
 def score(docs: DataFrame, scorer: Scorer, text: str = "text", least: float = LEAST) -> DataFrame:
     """``docs`` with ``weak_label`` (probability by the votes), ``score`` and ``kept``.
 
-    A null, empty or blank text has no words: the labeller of length says bad,
-    the others abstain. Rows stay as they are, repeated ones included.
+    A null, empty or blank text has no words, and all labellers abstain. Rows
+    stay as they are, repeated ones included.
     """
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 

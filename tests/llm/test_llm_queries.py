@@ -119,6 +119,26 @@ def test_quality_scores_agree_with_labels(spark):
     assert sum(a == b for a, b in known) >= 0.95 * len(known)
 
 
+def test_weak_labels_against_a_plain_model(spark):
+    """Labels of the query, what the votes are like, and accuracies against labels nobody saw."""
+    docs = {d["doc_id"]: d["text"] for d in table("documents")}
+    quality = {r["doc_id"]: r["quality"] for r in table("labels")}
+    votes = {i: brute.weak_votes(t) for i, t in docs.items()}
+    labels, accuracy = brute.weak_labels(list(votes.values()))
+    labels = dict(zip(votes, labels))
+    found = rows_of(spark, "op2_quality")
+    assert all(abs(found[i].weak_label - p) < 1e-6 for i, p in labels.items())
+
+    assert sum(max(v) > 0 > min(v) for v in votes.values()) >= 0.1 * len(votes)
+    for j, estimate in enumerate(accuracy):
+        cast = [(votes[i][j] > 0) == bool(q) for i, q in quality.items() if i in votes and votes[i][j]]
+        assert cast and abs(estimate - sum(cast) / len(cast)) < 0.1
+        assert any((votes[i][j] > 0) != (p > 0.5) for i, p in labels.items())
+    right = sum((labels[i] > 0.5) == bool(q) for i, q in quality.items() if i in labels)
+    majority = sum((sum(votes[i]) > 0) == bool(q) for i, q in quality.items() if i in votes)
+    assert right > majority
+
+
 def test_pipeline_against_plain_stages(spark):
     size = 400
     docs = {d["doc_id"]: d for d in table("documents")}
