@@ -91,14 +91,15 @@ def text_buckets(texts: Sequence[str | None], words: Words) -> tuple[np.ndarray,
         use = terms >= 0
         code = ((pair >> 32)[:, None] * BUCKETS + terms)[use]
         n = np.broadcast_to(n[:, None], terms.shape)[use]
-        order = np.argsort(code, kind="stable")
+        order = np.argsort(code)
         code, n = code[order], n[order]
         first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
         code, n = code[first], np.add.reduceat(n, first)
         for level in range(MOST_DOUBLINGS + 1):
             often = code[n >= 1 << level]
             codes.append(often - often % BUCKETS + (often + level) % BUCKETS)
-    code = np.unique(np.concatenate(codes))
+    code = np.sort(np.concatenate(codes))
+    code = code[np.append(True, code[1:] != code[:-1])] if len(code) else code
     starts = np.searchsorted(code, np.arange(len(found) + 1) * BUCKETS)
     return starts, (code % BUCKETS).astype(np.int32)
 
@@ -126,10 +127,13 @@ class _Batch:
         self.sizes = starts[chosen + 1] - starts[chosen]
         self.starts = np.append(0, np.cumsum(self.sizes)[:-1])
         found = np.concatenate([buckets[starts[i] : starts[i + 1]] for i in chosen])
-        self.used, place = np.unique(found, return_inverse=True)
-        self.place = place.astype(np.int32)
-        self.order = np.argsort(self.place, kind="stable").astype(np.int32)
-        self.groups = np.searchsorted(self.place[self.order], np.arange(len(self.used)))
+        used, place = np.unique(found, return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        groups = np.searchsorted(place[order], np.arange(len(used)))
+        # all batches are held at once, so each number takes no more bytes than it needs
+        small = np.min_scalar_type(len(found))
+        self.used, self.groups = used.astype(np.int32), groups.astype(small)
+        self.place, self.order = place.astype(small), order.astype(small)
         self.labels = labels[chosen]
 
 
@@ -243,11 +247,10 @@ def fit(
     texts = docs.select(docs[doc_id].alias("id"), docs[text].alias("text"))
     rows = _text_buckets(texts.join(marked, "id").select("label", "text")).toPandas()
     rows = rows.sort_values(["label", "buckets"], ignore_index=True)
+    marks = rows["label"].to_numpy(np.float32)
     sizes = rows["buckets"].map(len).to_numpy(np.int64) // 4
-    starts = np.append(0, np.cumsum(sizes))
-    return Machine.fit(
-        starts, np.frombuffer(b"".join(rows.pop("buckets")), np.int32), rows["label"].to_numpy(np.float32)
-    )
+    buckets = np.frombuffer(b"".join(rows.pop("buckets")), np.int32)
+    return Machine.fit(np.append(0, np.cumsum(sizes)), buckets, marks)
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", name: str = "score") -> DataFrame:
