@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 import brute
-from seriesloom.llm import embedding_neardup, hnsw, pitman_yor, quality, simhash, suffix_dedup, toxicity
+from seriesloom.llm import embedding_neardup, hnsw, pitman_yor, quality, restaurants, simhash, suffix_dedup, toxicity
 from seriesloom.llm.components import components
 from seriesloom.llm.suffix_sort import Suffixes
 
@@ -185,52 +185,81 @@ def test_shards_see_each_other(spark):
 def test_seats():
     customers = np.array([0, 1, 2, 50, 10_000, 3_000_000])
     seeds = np.arange(6).astype(np.uint64)
-    tables = pitman_yor.seat(customers, np.full(6, 2.0), 0.6, seeds)
+    tables = restaurants.seat(customers, np.full(6, 2.0), 0.6, seeds)
     assert (tables <= customers).all() and (tables >= (customers > 0)).all()
-    assert (tables == pitman_yor.seat(customers, np.full(6, 2.0), 0.6, seeds)).all()
-    assert (pitman_yor.seat(customers, np.zeros(6), 0.6, seeds) == (customers > 0)).all()
+    assert (tables == restaurants.seat(customers, np.full(6, 2.0), 0.6, seeds)).all()
+    assert (restaurants.seat(customers, np.zeros(6), 0.6, seeds) == (customers > 0)).all()
     # with two customers the second opens a table as often as the rule says
-    many = pitman_yor.seat(np.full(20_000, 2), np.full(20_000, 0.5), 0.2, np.arange(20_000).astype(np.uint64))
+    many = restaurants.seat(np.full(20_000, 2), np.full(20_000, 0.5), 0.2, np.arange(20_000).astype(np.uint64))
     assert abs((many == 2).mean() - 0.5 / (0.5 + 1 - 0.2)) < 0.02
 
 
+def zipf_texts(seed, texts, words, most):
+    rng = np.random.default_rng(seed)
+    return [" ".join(f"v{min(most, int(1 / x))}" for x in rng.random(words) + 1e-9) for _ in range(texts)]
+
+
 def test_probabilities_of_all_words_sum_to_one(spark):
-    rng = np.random.default_rng(6)
-    texts = [" ".join(f"v{min(400, int(1 / x))}" for x in rng.random(80) + 1e-9) for _ in range(200)]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    counts = df.transform(pitman_yor.word_counts).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    frequent, rare = counts[:120], counts[120:]
-    shape = pitman_yor.Vocabulary(frequent["word"].to_numpy(), frequent["n"].to_numpy())
-    shared = spark.sparkContext.broadcast(shape)
-    seen = pitman_yor.customer_counts(df, shared)
-    assert seen.agg({"n": "sum"}).first()[0] == counts["n"].sum()
-    table = 10.0 ** pitman_yor.predictive(seen, shape).astype(float)
-    assert table.shape == (shape.restaurants, 121)
-    assert np.allclose(table.sum(axis=1), 1, atol=1e-5)
+    texts = [[int(w[1:]) for w in t.split()] + [0] for t in zipf_texts(6, 200, 80, 300)]
+    dishes = 302
+    cells, before, twice = restaurants.cells_of(
+        np.array([d for t in texts for d in t]), np.array([len(t) for t in texts]), 0
+    )
+    assert before[:81].tolist() == [0, *texts[0][:-1]] and twice[81:83].tolist() == [0, 0]
+    part = restaurants.Part(*np.unique(cells, return_counts=True))
+    live = restaurants.Live(*restaurants.unpack(restaurants.pack(*part.live().columns())))
+    seats = live.start()
+    sent = part.fixed(dishes) + live.sent(seats[1], dishes)
+    assert sent.sum() == len(part.links)
+    root, tables = restaurants.root_of(sent, np.array([0.4, 0.6, 0.8]), int((sent > 0).sum()), 0)
+    for number in range(1, 4):
+        seats = live.sweep(*seats, root, number)
+        sent = part.fixed(dishes) + live.sent(seats[1], dishes)
+        root, tables = restaurants.root_of(sent, root.discounts, tables, number)
+    # pairs that occur, a pair that does not after a word that does, and a word that never occurs
+    for v, u in [*zip(before[:40].tolist(), twice[:40].tolist()), (1, 301), (301, 301)]:
+        asked = (v << 32) + (u << 16) + np.arange(dishes)
+        assert part.probabilities(asked, live, *seats, root).sum() == pytest.approx(1)
+
+    rare = pd.DataFrame({"word": np.arange(40) * 77, "n": np.arange(40) % 5 + 1})
     others = pitman_yor.RareWords(spark.createDataFrame(rare))
     known = (10.0 ** others.words.toPandas()["logp"]).sum()
     assert known + 10.0**others.unseen == pytest.approx(1, abs=1e-6)
 
 
-def test_sweeps_use_the_totals_of_the_sweep_before(spark, monkeypatch):
-    rng = np.random.default_rng(7)
-    texts = [" ".join(f"v{min(300, int(1 / x))}" for x in rng.random(60) + 1e-9) for _ in range(150)]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    counts = df.transform(pitman_yor.word_counts).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    shape = pitman_yor.Vocabulary(counts["word"].to_numpy(), counts["n"].to_numpy())
-    seen = pitman_yor.customer_counts(df, spark.sparkContext.broadcast(shape)).toPandas()
-    table = spark.createDataFrame(seen)
-    discounts = pitman_yor.discounts_of(table, shape)
-    whole = pitman_yor._block(seen, shape, discounts)
-    totals, kept = pitman_yor.Totals(*whole.totals()), []
-    for number in range(pitman_yor.BURN_IN + pitman_yor.SAMPLES):
-        whole.sweep(totals, number)
-        totals = pitman_yor.Totals(*whole.totals())
-        kept.append(whole.probabilities(totals))
-    want = sum(kept[pitman_yor.BURN_IN :]) / pitman_yor.SAMPLES
-    monkeypatch.setattr(pitman_yor, "BLOCK", 32)
-    found = 10.0 ** pitman_yor.predictive(table, shape).astype(float)
-    assert np.allclose(found[:, whole.dishes], want, rtol=1e-4)
+def test_scores_are_those_of_a_plain_model(spark):
+    """One restaurant after the other in dictionaries, customer by customer."""
+    texts = [*zipf_texts(7, 150, 40, 120), "", None, "v1", "v1 v1 v1", "never seen v2"]
+    rows = [(i, t, i % 10 != 3 and i < 154) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    want = brute.language_model([(t, train) for _, t, train in rows])
+    found = {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()}
+    assert found == pytest.approx(dict(enumerate(want)), rel=1e-5)
+
+
+def test_contexts_in_several_parts(spark, monkeypatch):
+    """No word fills a part: contexts are dealt out whole, and scores are those of one part."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"v{j}" for j in rng.integers(0, 90, 60)), i % 7 > 0) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    want = {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()}
+    monkeypatch.setattr(restaurants, "PART", 700)
+    assert {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()} == pytest.approx(want, rel=1e-5)
+
+
+def test_hot_contexts_are_spread():
+    """A word with a third of all tokens, and a pair of it, are in no part alone."""
+    rng = np.random.default_rng(9)
+    dishes = np.where(rng.random(60_000) < 0.33, 1, rng.integers(2, 2000, 60_000))
+    dishes[20_000:30_000] = 1
+    sizes = np.full(600, 100)
+    deal = restaurants.Deal(np.bincount(dishes, minlength=2001), 4000)
+    cells, before, twice = restaurants.cells_of(dishes, sizes, 0)
+    part = deal.of(before, twice, np.repeat(np.arange(600), 100))
+    assert part.min() >= 0 and part.max() < deal.parts == 15
+    assert np.bincount(part).max() < 2 * 4000
+    cold = deal.copies[before] == 1
+    assert len(set(zip(before[cold], part[cold]))) == len(set(before[cold]))
 
 
 def test_contexts_share_what_they_know(spark):
