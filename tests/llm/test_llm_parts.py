@@ -207,7 +207,7 @@ def test_probabilities_of_all_words_sum_to_one(spark):
     )
     assert before[:81].tolist() == [0, *texts[0][:-1]] and twice[81:83].tolist() == [0, 0]
     part = restaurants.Part(*np.unique(cells, return_counts=True))
-    live = restaurants.Live(*restaurants.unpack(restaurants.pack(*part.live().columns())))
+    live = restaurants.Live.unpacked(part.live().packed())
     seats = live.start()
     sent = part.fixed(dishes) + live.sent(seats[1], dishes)
     assert sent.sum() == len(part.links)
@@ -219,7 +219,7 @@ def test_probabilities_of_all_words_sum_to_one(spark):
     # pairs that occur, a pair that does not after a word that does, and a word that never occurs
     for v, u in [*zip(before[:40].tolist(), twice[:40].tolist()), (1, 301), (301, 301)]:
         asked = (v << 32) + (u << 16) + np.arange(dishes)
-        assert part.probabilities(asked, live, *seats, root).sum() == pytest.approx(1)
+        assert part.probabilities(asked, [(*seats, root)]).sum() == pytest.approx(1)
 
     rare = pd.DataFrame({"word": np.arange(40) * 77, "n": np.arange(40) % 5 + 1})
     others = pitman_yor.RareWords(spark.createDataFrame(rare))
