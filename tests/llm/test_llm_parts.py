@@ -270,6 +270,48 @@ def test_contexts_share_what_they_know(spark):
     assert found[900] > found[901] + 0.5
 
 
+def test_words_beyond_the_frequent_ones_are_contexts(spark, monkeypatch):
+    """With three dishes of the root, two pairs of rare words are told apart, in one part and in several."""
+    monkeypatch.setattr(pitman_yor, "DISHES", 3)
+    texts = ["red fox ran home", "red fox sat here", "blue sky is wide", "blue sky is here"] * 20
+    texts += [f"home is here w{i}" for i in range(60)]
+    asked = ["red fox", "red sky", "blue sky", "blue fox", "red never", "blue never"]
+    rows = [(i, t, True) for i, t in enumerate(texts)] + [(900 + i, t, False) for i, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    found = {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()}
+    assert found[900] > found[901] + 0.5 and found[902] > found[903] + 0.5
+    # an unseen word after a word is a matter of that word's own restaurant
+    assert all(np.isfinite(found[i]) and found[i] < found[900] for i in (904, 905))
+    monkeypatch.setattr(restaurants, "PART", 250)
+    again = {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()}
+    assert sorted(again) == sorted(found)
+    assert again[900] > again[901] + 0.5 and again[902] > again[903] + 0.5
+
+
+def test_probabilities_with_rare_words_sum_to_one():
+    rng = np.random.default_rng(11)
+    words = np.sort(restaurants.FIRST_OTHER + rng.integers(0, 1 << 40, 50))
+    numbers = np.append(np.concatenate([np.arange(4), words])[np.minimum(53, rng.zipf(1.4, 3000) - 1)], 0)
+    before, twice = restaurants.before_of(numbers, np.array([len(numbers)]), 0)
+    names = restaurants.Names([words] * 3)
+    codes = [np.where(x < 4, x, restaurants.OTHERS + np.searchsorted(words, x)) for x in (before, twice, numbers)]
+    cells, n = np.unique(restaurants.joined(*codes, restaurants.WIDE), return_counts=True)
+    share = rng.dirichlet(np.ones(50))
+    part = restaurants.Part(cells, n, names, share)
+    live = part.live()
+    live.share = share[np.searchsorted(words, live.names.words[2])]
+    live = restaurants.Live.unpacked(live.packed())
+    sent = part.fixed(5) + live.sent(live.start()[1], 5)
+    assert sent.sum() == len(part.links)
+    root, _ = restaurants.root_of(sent, np.array([0.4, 0.6, 0.8]), 5, 0)
+    seats = live.sweep(*live.start(), root, 1)
+    every = np.concatenate([np.arange(4), restaurants.OTHERS + np.arange(50)])
+    for v, u in [(codes[0][i], codes[1][i]) for i in range(1, 200, 9)]:
+        p = part.probabilities(restaurants.joined(np.full(54, v), np.full(54, u), every, restaurants.WIDE), [(*seats, root)])
+        # nothing is frequent but the first four words, so the root's last dish is spread over the rare ones
+        assert p.sum() == pytest.approx(1)
+
+
 def test_machine_learns_pairs(spark):
     """Two terms that say nothing alone, among 5,000 neutral ones: toxic is just one of them."""
     rng = np.random.default_rng(5)
