@@ -5,10 +5,11 @@ Spark's own boosting does: the first tree counts whole, every later one fits
 twice the residual and counts by the learning rate, and without a penalty the
 result is the same. With one, the value of a leaf is the sum of its rows'
 residuals over their number plus the penalty; the first tree's leaves are drawn
-towards the mean of the target.
+towards the mean of the target. Sums and numbers of rows are those that the tree
+was grown by, so a round reads the rows for its tree alone.
 
-Rounds come in segments. What the rows are predicted so far is written after
-each, so a segment's plans hold its own trees alone, training longer trains the
+Rounds come in segments. Within one, a round's scores are cached until the next
+has its own; what the rows are predicted so far is written after each, so a segment's plans hold its own trees alone, training longer trains the
 further rounds only, and a job that names a checkpoint folder and is stopped
 goes on from its last whole segment.
 """
@@ -93,44 +94,43 @@ class Booster:
 
     def grow(self, count: int) -> None:
         """Train ``count`` more rounds as one segment."""
-        start, scored, scores = len(self.rounds), self.state, []
+        start, scored, scores, cached = len(self.rounds), self.state, [], []
         for number in range(start, start + count):
             residual = 2 * (F.col(LABEL) - F.col(SCORE)) if number else F.col(LABEL)
             training = scored.filter(~F.col(HELD_OUT)).select(FEATURES, residual.alias("residual"))
             tree = self.regressor.fit(training)
-            self.rounds.append(Round(tree, self._leaf_values(tree, training, number)))
-            scored = self._advanced(scored, number).withColumn(f"score_{number}", F.col(SCORE))
+            # the rows as of this round are cached now, those of the round before are read no more
+            for done in cached[:-1]:
+                done.unpersist()
+            self.rounds.append(Round(tree, self._leaf_values(tree, number)))
+            # a lost part is made again from the table of the last segment
+            scored = self._advanced(scored, number).withColumn(f"score_{number}", F.col(SCORE)).persist()
+            cached = [*cached[-1:], scored]
             scores.append(f"score_{number}")
         self.trained += count
         self._store(scored.select(FEATURES, LABEL, HELD_OUT, SCORE, *scores), scores)
+        for done in cached:
+            done.unpersist()
         if self.checkpoint:
             self._commit(start)
 
-    def _leaf_values(
-        self, tree: DecisionTreeRegressionModel, training: DataFrame, number: int
-    ) -> tuple[float, ...]:
+    def _leaf_values(self, tree: DecisionTreeRegressionModel, number: int) -> tuple[float, ...]:
         """The value of each leaf, in the order of the tree's leaf column."""
-        values = leaf_values(tree)
         if not self.penalty:
-            return tuple(values)
+            return tuple(leaf_values(tree))
         centre = 0.0 if number else self.mean
-        leaf = (
-            tree.transform(training)
-            .groupBy(LEAF)
-            .agg(F.sum(F.col("residual") - centre).alias("sum"), F.count("*").alias("n"))
+        return tuple(
+            centre + (value - centre) * rows / (rows + self.penalty)
+            for value, rows in zip(leaf_values(tree), leaf_rows(tree))
         )
-        # an entry per leaf
-        entry = F.struct(F.col(LEAF).cast("int"), F.col("sum") / (F.col("n") + self.penalty))
-        sums = leaf.agg(F.map_from_entries(F.collect_list(entry))).first()[0]
-        for place, value in sums.items():
-            values[place] = centre + value
-        return tuple(values)
 
     def _advanced(self, scored: DataFrame, number: int) -> DataFrame:
         """``scored`` with the share of one round added to the score."""
         made = self.rounds[number]
         weight = self.rate if number else 1.0
-        share = F.element_at(F.lit(list(made.values)), (F.col(LEAF) + 1).cast("int")) * weight
+        # as text, since a column is a call to the JVM for each value
+        values = ", ".join(f"{float(v)!r}D" for v in made.values)
+        share = F.expr(f"element_at(array({values}), cast({LEAF} + 1 as int))") * weight
         return made.tree.transform(scored).withColumn(SCORE, F.col(SCORE) + share).drop(LEAF)
 
     def _store(self, scored: DataFrame, scores: Sequence[str]) -> None:
@@ -190,13 +190,18 @@ class Booster:
 
 def leaf_values(tree: DecisionTreeRegressionModel) -> list[float]:
     """The predictions of a tree's leaves from left to right."""
+    return [leaf.prediction() for leaf in _leaves(tree._java_obj.rootNode())]
 
-    def walk(node):
-        if node.getClass().getSimpleName() == "LeafNode":
-            return [node.prediction()]
-        return walk(node.leftChild()) + walk(node.rightChild())
 
-    return walk(tree._java_obj.rootNode())
+def leaf_rows(tree: DecisionTreeRegressionModel) -> list[int]:
+    """The rows that came to a tree's leaves in training, from left to right."""
+    return [int(leaf.impurityStats().rawCount()) for leaf in _leaves(tree._java_obj.rootNode())]
+
+
+def _leaves(node) -> list:
+    if node.getClass().getSimpleName() == "LeafNode":
+        return [node]
+    return _leaves(node.leftChild()) + _leaves(node.rightChild())
 
 
 def _assembled(

@@ -42,6 +42,9 @@ BELOW_ALL = -1e300
 
 TOP_FEATURES = 10
 
+# Rows that a task of the trainer has at least, where there are so many.
+ROWS_OF_A_TASK = 20_000
+
 
 @dataclass(frozen=True)
 class BoostingParams:
@@ -253,21 +256,21 @@ def fit(
         "features",
     )
     known = table.filter(~F.col("is_test") | F.col("is_validation"))
-    if known.filter(~F.col("is_validation")).isEmpty():
+    counted, trained_on = known.agg(F.count("*"), F.count_if(~F.col("is_validation"))).first()
+    if not trained_on:
         raise ValueError("not enough rows to train on after building the features")
     stop_early = bool(params.early_stopping_rounds)
-    validate = stop_early and not known.filter("is_validation").isEmpty()
+    validate = stop_early and counted > trained_on
 
     # the nested inputs keep a feature's name apart from the column of the panel
     inputs = [f"__inputs.{name}" for name in names]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     flag = F.col("is_validation") if validate else F.col("is_test") & F.lit(False)
-    rows = written(
-        assembler.transform(known.select("*", _assembled(spec, names))).select(
-            "features", F.col(spec.target).cast("double").alias("label"), flag.alias("is_validation"), "is_test"
-        ),
-        "vectors",
+    vectors = assembler.transform(known.select("*", _assembled(spec, names))).select(
+        "features", F.col(spec.target).cast("double").alias("label"), flag.alias("is_validation"), "is_test"
     )
+    # a round passes over the rows level by level; tasks of few rows are all overhead
+    rows = written(vectors.coalesce(-(-counted // ROWS_OF_A_TASK)), "vectors")
     booster, count = _boosted(rows, params, validate, checkpoint)
     pipeline = PipelineModel(stages=[assembler, booster.ensemble(count)])
     booster.close()

@@ -84,6 +84,35 @@ def test_penalised_leaves_of_one_split(rows):
     assert predictions(large.ensemble(), rows) == pytest.approx([mean] * rows.count())
 
 
+def test_a_round_reads_the_rows_for_its_tree_alone(spark, rows):
+    """Leaf sums take no job of their own, and nothing stays cached."""
+    context, booster = spark.sparkContext, boosting.Booster(rows, **SETTINGS, penalty=3.0)
+    fit = booster.regressor.fit
+
+    def counted(training):
+        context.setJobGroup("trees of a segment", "")
+        try:
+            return fit(training)
+        finally:
+            context.setJobGroup("rest of a segment", "")
+
+    booster.regressor.fit = counted
+    before = len(context._jsc.sc().getPersistentRDDs().keys().toList().mkString(",").split(","))
+    context.setJobGroup("rest of a segment", "")
+    try:
+        booster.grow(6)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # the write of the scores and the errors of all rounds
+    assert len(context.statusTracker().getJobIdsForGroup("rest of a segment")) <= 4
+    after = len(context._jsc.sc().getPersistentRDDs().keys().toList().mkString(",").split(","))
+    assert after <= before
+    for made in booster.rounds:
+        leaf = made.tree.transform(rows.filter("not is_validation")).groupBy("leaf").count().collect()
+        assert [n for _, n in sorted((r["leaf"], r["count"]) for r in leaf)] == boosting.leaf_rows(made.tree)
+    booster.close()
+
+
 @pytest.mark.parametrize(
     ("errors", "patience", "rounds"),
     [
