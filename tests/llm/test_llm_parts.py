@@ -11,6 +11,7 @@ import brute
 from seriesloom.llm import embedding_neardup, hnsw, pitman_yor, quality, restaurants, simhash, suffix_dedup, toxicity
 from seriesloom.llm.components import components
 from seriesloom.llm.suffix_sort import Suffixes
+from seriesloom.session import _written_by
 
 
 def grouped(edges):
@@ -312,6 +313,37 @@ def test_probabilities_with_rare_words_sum_to_one():
         assert p.sum() == pytest.approx(1)
 
 
+def test_language_model_keeps_ids_and_no_table_it_has_read(spark, monkeypatch):
+    """Large ids beside null ones, odd blanks, rare words counted in the parts that hold them, in many stretches."""
+    monkeypatch.setattr(pitman_yor, "DISHES", 3)
+    monkeypatch.setattr(pitman_yor, "STRETCH", 50)
+    texts = ["  a b\x0b\tc ", "", None, "\n", "A\x1cb \u00c4 \u00e4\u0085x", "c d e f g", *(f"a w{i % 7} b" for i in range(30))]
+    ids = [2**53 + 2 * i + 1 if i % 5 else None for i in range(len(texts))]
+    rows = [(i, t, k % 3 > 0) for k, (i, t) in enumerate(zip(ids, texts))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").coalesce(1)
+    before = len(_written_by(spark))
+    found = pitman_yor.scores(df, df["train"]).collect()
+    # texts, what is known of rare words, and the last seats; not the counts, the rare words, nor earlier seats
+    assert len(_written_by(spark)) - before == 3
+    split = [[*(t or "").encode().lower().split(), None] for t in texts]
+    counts = Counter(w for own, (_, _, train) in zip(split, rows) if train for w in own)
+    whole = np.log10(counts.total() + 0.1 * (len(counts) + 1))
+    want = [(i, train, len(own), sum(w in counts for w in own)) for own, (i, _, train) in zip(split, rows)]
+    base = [sum(np.log10(counts[w] + 0.1) - whole for w in own) for own in split]
+
+    def key(row):
+        return str(row)
+
+    assert sorted(((r.id, r.train, r.n_tokens, r.n_known) for r in found), key=key) == sorted(want, key=key)
+    assert sorted(r.base_score for r in found) == pytest.approx(sorted(base), rel=1e-10)
+
+
+@pytest.mark.parametrize("top", [0, 100, 2**15, 2**31, 2**63 - 1])
+def test_packed_columns_come_back(top):
+    columns = [np.array([-top - 1, 0, top]), np.empty(0, np.int64), np.arange(5), np.array([top], np.int64)]
+    assert [c.tolist() for c in restaurants.unpack(restaurants.pack(*columns))] == [c.tolist() for c in columns]
+
+
 def test_machine_learns_pairs(spark):
     """Two terms that say nothing alone, among 5,000 neutral ones: toxic is just one of them."""
     rng = np.random.default_rng(5)
