@@ -134,9 +134,10 @@ def links(prints: DataFrame, max_bits: int, parts: int, small: int, block: int)
     )
     quiet = table.join(crowded, ["seg", "value"], "left_anti")
     differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("guest")))
+    # merged, never broadcast: Spark sizes a probe of every flip like the one row it comes from
     few = (
         quiet.join(
-            probes,
+            probes.hint("merge"),
             (quiet.seg == probes.seg)
             & (quiet.value == probes.value)
             & (F.col("fp") < F.col("guest"))
@@ -148,13 +149,17 @@ def links(prints: DataFrame, max_bits: int, parts: int, small: int, block: int)
         return few
 
     guests = probes.join(crowded.select("seg", "value"), ["seg", "value"])
-    sizes = crowded.join(
-        guests.groupBy("seg", "value").agg(F.count("*").alias("m")), ["seg", "value"]
-    ).select(
-        "seg",
-        "value",
-        F.ceil(F.col("n") / block).cast("int").alias("hn"),
-        F.ceil(F.col("m") / block).cast("int").alias("gn"),
+    # written, so that its size is known and it is the side that may be broadcast
+    sizes = written(
+        crowded.join(
+            guests.groupBy("seg", "value").agg(F.count("*").alias("m")), ["seg", "value"]
+        ).select(
+            "seg",
+            "value",
+            F.ceil(F.col("n") / block).cast("int").alias("hn"),
+            F.ceil(F.col("m") / block).cast("int").alias("gn"),
+        ),
+        "sizes",
     )
 
     def dealt(rows: DataFrame, own: str, others: str) -> list:

@@ -11,7 +11,7 @@ import brute
 from seriesloom.llm import embedding_neardup, hnsw, pitman_yor, quality, restaurants, simhash, suffix_dedup, toxicity
 from seriesloom.llm.components import components
 from seriesloom.llm.suffix_sort import Suffixes
-from seriesloom.session import _written_by
+from seriesloom.session import _written_by, written
 
 
 def grouped(edges):
@@ -53,6 +53,23 @@ def test_crowded_buckets_lose_no_link(spark, small, block):
     assert found == grouped(pairs)
 
 
+def broadcast_subtrees(df):
+    """What lies below each broadcast of a plan, as lines."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    depth = [len(re.match(r"[ :+-]*", line).group()) for line in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            yield lines[i:end]
+
+
+@pytest.mark.parametrize("small", [64, 2])
+def test_exploded_prints_are_not_broadcast(spark, small):
+    df = spark.createDataFrame([(i << 40 | j,) for i in range(20) for j in range(20)], "fp long")
+    edges = simhash.links(written(df), 4, 3, small, 16)
+    assert not [tree for tree in broadcast_subtrees(edges) if "Generate explode" in "".join(tree)]
+
+
 def test_segments_find_every_distance():
     for bits in range(9):
         for parts in (1, 2, 3, 4):
