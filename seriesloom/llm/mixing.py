@@ -200,7 +200,8 @@ class Mix:
         cut = runs.withColumn("block", F.explode(blocks))
         begin = F.greatest(F.col("low"), F.col("block") * block) - F.col("low")
         end = F.least(F.col("high"), (F.col("block") + 1) * block) - F.col("low")
-        return cut.join(plan, ["src", "block"]).select(
+        # merged, never broadcast: Spark sizes the blocks of a run like the one row they come from
+        return cut.hint("merge").join(plan, ["src", "block"]).select(
             "slot", "src", "block", "id", "th", "copy", "before", begin.alias("begin"), end.alias("end")
         )
 

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 import brute
-from seriesloom.llm import embedding_neardup, hnsw, pitman_yor, quality, restaurants, simhash, suffix_dedup, toxicity
+from seriesloom.llm import embedding_neardup, hnsw, mixing, pitman_yor, quality, restaurants, simhash, suffix_dedup, toxicity
 from seriesloom.llm.components import components
 from seriesloom.llm.suffix_sort import Suffixes
 from seriesloom.session import _written_by, written
@@ -70,6 +70,13 @@ def test_exploded_prints_are_not_broadcast(spark, small):
     assert not [tree for tree in broadcast_subtrees(edges) if "Generate explode" in "".join(tree)]
 
 
+def test_exploded_blocks_are_not_broadcast(spark):
+    docs = spark.createDataFrame([(i, "a b c " * 50, "x") for i in range(20)], "doc_id long, text string, source string")
+    pieces = mixing.Mix(docs, slots=64).pieces
+    below = ["".join(tree) for tree in broadcast_subtrees(pieces)]
+    assert not [tree for tree in below if "copy#" in tree and "Generate explode(sequence(" in tree]
+
+
 def test_segments_find_every_distance():
     for bits in range(9):
         for parts in (1, 2, 3, 4):
