@@ -272,6 +272,27 @@ def test_contexts_in_several_parts(spark, monkeypatch):
     assert {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()} == pytest.approx(want, rel=1e-5)
 
 
+def test_hot_contexts_are_one_restaurant_each(spark, monkeypatch):
+    """Words that fill several parts, and pairs of two of them, know all their tokens: scores are those of a plain model."""
+    texts = [*zipf_texts(17, 150, 40, 120), "v1 v1 v1 v1", "", "never seen v1 v1 v2", *["v1 v2 v1"] * 20]
+    rows = [(i, t, i % 10 != 3) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    want = brute.language_model([(t, train) for _, t, train in rows])
+    monkeypatch.setattr(restaurants, "PART", 600)
+    found = {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()}
+    assert found == pytest.approx(dict(enumerate(want)), rel=1e-5)
+
+
+def test_rare_words_after_hot_ones(spark, monkeypatch):
+    """With three dishes of the root, words that are rare are told apart after a hot word as in one part."""
+    monkeypatch.setattr(pitman_yor, "DISHES", 3)
+    rows = [(i, t, i % 7 > 0) for i, t in enumerate(zipf_texts(18, 120, 40, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    want = {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()}
+    monkeypatch.setattr(restaurants, "PART", 500)
+    assert {r.id: r.score for r in pitman_yor.scores(df, df["train"]).collect()} == pytest.approx(want, rel=1e-5)
+
+
 def test_hot_contexts_are_spread():
     """A word with a third of all tokens, and a pair of it, are in no part alone."""
     rng = np.random.default_rng(9)
