@@ -197,6 +197,19 @@ def test_audit_measures_queries_without_links():
     assert {(1, 800), (2, 801)} <= set(zip(row.tolist(), node.tolist()))
 
 
+def test_no_query_walks_where_a_look_at_all_costs_less(monkeypatch):
+    """Building looks at the nodes before; a beam of 48 meets more than a sixteenth of 1,000 nodes, so only audits walk."""
+    rng = np.random.default_rng(13)
+    vectors = np.repeat(rng.normal(size=(250, 24)), 4, axis=0) + rng.normal(scale=0.02, size=(1000, 24))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    walked, walk = [], hnsw.Graph._walk
+    monkeypatch.setattr(hnsw.Graph, "_walk", lambda self, q, *rest: walked.append(len(q)) or walk(self, q, *rest))
+    graph = hnsw.Graph.build(vectors, np.zeros(len(vectors), int), 16, 48)
+    assert not walked
+    row, node = graph.links(vectors, 0.98, 48, 64, 0.99)
+    assert len(row) == (vectors @ vectors.T >= 0.98).sum() and 0 < sum(walked) < 250
+
+
 def test_shards_see_each_other(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 8))
